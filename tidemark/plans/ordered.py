@@ -40,6 +40,7 @@ ARROW = {
     T.DoubleType(): pa.float64(),
     T.BooleanType(): pa.bool_(),
     T.StringType(): pa.string(),
+    T.ArrayType(T.DoubleType()): pa.list_(pa.float64()),
 }
 
 
@@ -97,10 +98,12 @@ def run_ordered(
     outputs: T.StructType,
     make: Callable[[dict], Machine],
     slice_rows: int | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Feed ``inputs`` of every key through ``make(key)`` in ``order``.
 
-    Returns keys, inputs and the machine's outputs. ``inputs[0]`` must be ``order``.
+    Returns keys, inputs and the machine's outputs. ``inputs[0]`` must be ``order``. ``bounded`` says
+    that no key can exceed ``slice_rows`` (the key is a block), which saves counting.
     """
     keys, inputs = list(keys), list(inputs)
     if inputs[0] != order:
@@ -109,7 +112,7 @@ def run_ordered(
     size = slice_rows or int(spark.conf.get("spark.tidemark.sliceRows", str(DEFAULT_SLICE_ROWS)))
     rows = df.select(*keys, *inputs)
     plain = T.StructType([*rows.schema.fields, *outputs.fields])
-    longest = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    longest = 0 if bounded else rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if longest <= size:
         ordered = rows.repartition(*keys).sortWithinPartitions(*keys, order)
         return ordered.mapInArrow(_runner(make, keys, inputs, outputs, False), _nullable(plain))
