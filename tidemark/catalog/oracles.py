@@ -63,7 +63,7 @@ shift0 AS (
   HAVING count(*) FILTER (WHERE instance < drift_instance) > 0 AND count(*) FILTER (WHERE instance > drift_instance) > 0),
 shifts AS (
   SELECT dataset, task, model, drift_instance, round(before_mean, 6) AS before_mean, round(after_mean, 6) AS after_mean,
-    round(after_mean - before_mean, 6) AS shift, round(abs(after_mean - before_mean), 6) AS shift_magnitude,
+    round(after_mean - before_mean, 6) + 0.0::DOUBLE AS shift, round(abs(after_mean - before_mean), 6) AS shift_magnitude,
     CASE WHEN after_mean - before_mean < 0 THEN 'decrease' ELSE 'increase' END AS shift_type
   FROM shift0)"""
 
@@ -143,21 +143,21 @@ FROM per p JOIN tot USING ({keys})"""
 
 def linear_sql(task: str, loss: str, rate: str) -> str:
     """Recursive run of one linear learner per user."""
-    y = "CASE WHEN value > 50 THEN 1.0 ELSE 0.0 END" if task == "classification" else "value"
+    y = "CASE WHEN value > 50 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END" if task == "classification" else "value"
     score = "(r.w1 * k.x1 + r.w2 * k.x2 + r.b)"
-    sign = "(CASE WHEN k.y > 0.5 THEN 1.0 ELSE -1.0 END)"
+    sign = "(CASE WHEN k.y > 0.5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END)"
 
     def step(score: str) -> str:
         if loss == "squared":
             return f"-({rate}) * ({score} - k.y)"
         if loss == "hinge":
-            return f"CASE WHEN {sign} * {score} < 1 THEN ({rate}) * {sign} ELSE 0.0 END"
+            return f"CASE WHEN {sign} * {score} < 1 THEN ({rate}) * {sign} ELSE 0.0::DOUBLE END"
         if loss == "perceptron":
-            return f"CASE WHEN {sign} * {score} <= 0 THEN ({rate}) * {sign} ELSE 0.0 END"
-        norm = "(1.0 + k.x1 * k.x1 + k.x2 * k.x2)"
-        return f"{sign} * least(1.0, greatest(0.0, 1.0 - {sign} * {score}) / {norm})"
+            return f"CASE WHEN {sign} * {score} <= 0 THEN ({rate}) * {sign} ELSE 0.0::DOUBLE END"
+        norm = "(1.0::DOUBLE + k.x1 * k.x1 + k.x2 * k.x2)"
+        return f"{sign} * least(1.0::DOUBLE, greatest(0.0::DOUBLE, 1.0::DOUBLE - {sign} * {score}) / {norm})"
 
-    shown = score if task == "regression" else f"CASE WHEN {score} > 0 THEN 1.0 ELSE 0.0 END"
+    shown = score if task == "regression" else f"CASE WHEN {score} > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
     first, later = step("0.0::DOUBLE"), step(score)
     return f"""RECURSIVE k AS (
   SELECT f.*, ({y})::DOUBLE AS y, row_number() OVER (PARTITION BY user_id ORDER BY instance_id) AS t FROM ({FEATURES}) f),
@@ -169,7 +169,7 @@ r AS (
     r.w1 + ({later}) * k.x1, r.w2 + ({later}) * k.x2, r.b + ({later})
   FROM r JOIN k ON k.user_id = r.user_id AND k.t = r.t + 1),
 run AS (SELECT user_id, instance_id, prediction,
-  {"abs(prediction - y)" if task == "regression" else "CASE WHEN prediction <> y THEN 1.0 ELSE 0.0 END"} AS e FROM r)"""
+  {"abs(prediction - y)" if task == "regression" else "CASE WHEN prediction <> y THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"} AS e FROM r)"""
 
 
 INVERSE = "0.01::DOUBLE / pow(k.t, 0.25::DOUBLE)"
@@ -184,7 +184,7 @@ LINEAR = {
 
 def _linear(name: str) -> str:
     return (
-        f"WITH {linear_sql(*LINEAR[name])} SELECT user_id, instance_id, round(prediction, 6) AS prediction, "
+        f"WITH {linear_sql(*LINEAR[name])} SELECT user_id, instance_id, round(prediction, 6) + 0.0::DOUBLE AS prediction, "
         "round(CASE WHEN prediction IS NOT NULL THEN e END, 6) AS error FROM run"
     )
 
@@ -192,7 +192,7 @@ def _linear(name: str) -> str:
 def _knn(regression: bool) -> str:
     features = "v.embedding[2:64]" if regression else "v.embedding"
     other = features.replace("v.", "m.")
-    actual = "round(embedding[1]::DOUBLE * 1000)" if regression else "label::DOUBLE"
+    actual = "round(embedding[1]::DOUBLE * 1000) + 0.0::DOUBLE" if regression else "label::DOUBLE"
     answer = (
         "SELECT id, avg(y) AS prediction FROM near GROUP BY id"
         if regression
@@ -209,7 +209,7 @@ SELECT v.id AS instance_id, prediction, v.y AS actual FROM v LEFT JOIN vote USIN
 
 def _tidy(section: str, model: str, source: str, group: str, metrics: dict[str, str]) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{section}' AS section, {model} AS model, '{name}' AS metric, round(({sql})::DOUBLE, 4) AS value FROM {source} {group}"
+        f"SELECT '{section}' AS section, {model} AS model, '{name}' AS metric, round(({sql})::DOUBLE, 4) + 0.0::DOUBLE AS value FROM {source} {group}"
         for name, sql in metrics.items()
     )
 
@@ -393,20 +393,31 @@ ORACLES: dict[str, str] = {
     "knn_classify": _knn(False),
     "knn_regress": _knn(True),
     "sgd_stream_blocked": f"""WITH RECURSIVE k AS (SELECT f.*, row_number() OVER (PARTITION BY event_type ORDER BY instance_id) AS t FROM ({FEATURES}) f),
-      r AS (SELECT event_type, instance_id, t, NULL::DOUBLE AS prediction, 0.01 * value * x1 AS w1, 0.01 * value * x2 AS w2, 0.01 * value AS b FROM k WHERE t = 1
+      r AS (SELECT event_type, instance_id, t, NULL::DOUBLE AS prediction, 0.01::DOUBLE * value * x1 AS w1, 0.01::DOUBLE * value * x2 AS w2, 0.01::DOUBLE * value AS b FROM k WHERE t = 1
         UNION ALL SELECT k.event_type, k.instance_id, k.t, r.w1 * k.x1 + r.w2 * k.x2 + r.b,
           r.w1 - {INVERSE} * (r.w1 * k.x1 + r.w2 * k.x2 + r.b - k.value) * k.x1,
           r.w2 - {INVERSE} * (r.w1 * k.x1 + r.w2 * k.x2 + r.b - k.value) * k.x2,
           r.b - {INVERSE} * (r.w1 * k.x1 + r.w2 * k.x2 + r.b - k.value)
         FROM r JOIN k ON k.event_type = r.event_type AND k.t = r.t + 1)
-      SELECT event_type, instance_id, round(prediction, 6) AS prediction FROM r""",
+      SELECT event_type, instance_id, round(prediction, 6) + 0.0::DOUBLE AS prediction FROM r""",
+    "split_statistics": """WITH l AS (SELECT label AS cls, (unnest(range(64)))::INT AS f, unnest(embedding)::DOUBLE AS x FROM embeddings),
+      c AS (SELECT f, least(greatest(floor((x + 1) / 2 * 16), 0), 15)::INT AS bin, cls, count(*)::DOUBLE AS w FROM l GROUP BY ALL),
+      s AS (SELECT k.f, k.cut, c.cls, coalesce(sum(w) FILTER (WHERE bin <= k.cut), 0) AS a, coalesce(sum(w) FILTER (WHERE bin > k.cut), 0) AS b
+            FROM (SELECT DISTINCT f, unnest(range(15))::INT AS cut FROM c) k JOIN c ON c.f = k.f GROUP BY ALL),
+      n AS (SELECT f, cut, sum(a) AS an, sum(b) AS bn FROM s GROUP BY ALL HAVING sum(a) > 0 AND sum(b) > 0),
+      g AS (SELECT n.f, n.cut, an + bn AS n, round(
+          sum(CASE WHEN a + b > 0 THEN -(a + b) / (an + bn) * log2((a + b) / (an + bn)) ELSE 0 END)
+          - an / (an + bn) * sum(CASE WHEN a > 0 THEN -a / an * log2(a / an) ELSE 0 END)
+          - bn / (an + bn) * sum(CASE WHEN b > 0 THEN -b / bn * log2(b / bn) ELSE 0 END), 9) AS gain
+        FROM n JOIN s ON s.f = n.f AND s.cut = n.cut GROUP BY n.f, n.cut, an, bn)
+      SELECT f, n, cut, gain FROM g QUALIFY row_number() OVER (PARTITION BY f ORDER BY gain DESC, cut) = 1""",
     "multi_learner_compare": _multi(),
     "mean_shift": with_(SHIFT, "SELECT * FROM shifts"),
     "accuracy_variance": with_(
         MET + SPREAD,
         "SELECT dataset, model, drift_instance, "
         + ", ".join(
-            f"round({c}, 6) AS {c}"
+            f"round({c}, 6) + 0.0::DOUBLE AS {c}"
             for c in ("before_mean_acc", "after_mean_acc", "before_std", "after_std", "accuracy_drop", "variance_change")
         )
         + " FROM spread",
@@ -420,7 +431,7 @@ ORACLES: dict[str, str] = {
         MET + IMPACT,
         f"SELECT {KEYS}, drift_instance, "
         + ", ".join(
-            f"round({c}, 6) AS {c}"
+            f"round({c}, 6) + 0.0::DOUBLE AS {c}"
             for c in (
                 "before_performance",
                 "immediate_after_performance",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import adwin, analysis, blocked_sgd, compare, inject, learners, metrics, neighbours, preprocess
+from tidemark.operators import adwin, analysis, blocked_sgd, compare, inject, learners, metrics, neighbours, preprocess, trees
 from tidemark.operators.prequential import TOY_DETECTION, TestThenTrain, compare_learners, prequential
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import logs, streams, tables
@@ -364,6 +364,32 @@ def preq_with_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_learners(both, models)
 
 
+def _trees(task: str, members: int, wide: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if wide:
+            rows, size = tables.feature_vectors(spark, sf_dir).withColumn("actual", F.col("label")), 64
+            options = trees.TreeOptions(task, members, min_chunk_rows=100, grace_rows=50, split_delta=1e-3)
+        else:
+            rows, size = tables.instances_regression(spark, sf_dir).withColumn("actual", F.col("target")), 2
+            options = trees.TreeOptions(task, members, min_chunk_rows=100)
+        scaled = preprocess.normalize_stream(rows, ["dataset", "task"], size)
+        return trees.prequential_trees(scaled, ["dataset", "task"], size, options)
+
+    return run
+
+
+def split_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best cut of every embedding coordinate for telling the labels apart, at the root."""
+    cells = (
+        tables.feature_vectors(spark, sf_dir)
+        .select(F.lit(0).alias("node"), F.col("label").alias("cls"), F.posexplode("features").alias("f", "x"))
+        .groupBy("node", "f", trees.bin_of((F.col("x") + 1) / 2, 16).alias("bin"), "cls")
+        .agg(F.count(F.lit(1)).cast("double").alias("w"), F.lit(0.0).alias("sy"), F.lit(0.0).alias("syy"))
+    )
+    gains = trees.split_gains(cells, ["node"], 16, "classification").withColumn("gain", F.round("gain", 9))
+    return trees.best_cuts(gains, ["node"]).select("f", "n", "cut", "gain")
+
+
 # analysis
 
 
@@ -592,6 +618,7 @@ QUERIES: dict[str, Query] = {
         sgd_stream_blocked,
         multi_learner_compare,
         preq_with_drift,
+        split_statistics,
         mean_shift,
         accuracy_variance,
         class_ratio,
@@ -626,4 +653,8 @@ QUERIES |= {
     "sgd_classify_keyed": _keyed("classification", "sgd"),
     "perceptron_keyed": _keyed("classification", "perceptron"),
     "pa_keyed": _keyed("classification", "passive_aggressive"),
+    "hoeffding_tree_preq": _trees("classification", 1, wide=True),
+    "fimtdd_preq": _trees("regression", 1, wide=False),
+    "arf_classify_preq": _trees("classification", learners.ENSEMBLE_SIZE, wide=True),
+    "arf_regress_preq": _trees("regression", learners.ENSEMBLE_SIZE, wide=False),
 }

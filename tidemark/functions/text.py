@@ -31,11 +31,11 @@ def number(x: Column) -> Column:
 
 
 def four_places(x: Column) -> Column:
-    return F.coalesce(F.format_string("%.4f", x), F.lit(MISSING))
+    return with_places(x, 4)
 
 
 def with_places(x: Column, places: int) -> Column:
-    return F.coalesce(F.format_string(f"%.{places}f", x), F.lit(MISSING))
+    return F.when(x.isNotNull(), F.format_string(f"%.{places}f", x)).otherwise(F.lit(MISSING))
 
 
 def thousands(x: Column) -> Column:
@@ -51,7 +51,7 @@ def run_file_name(dataset: Column, task: Column, model: Column, suffix: str) ->
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e6)
+    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(1e6)
 
 
 def shift_type(shift: Column) -> Column:

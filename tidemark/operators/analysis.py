@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import shift_type
+from tidemark.functions.text import four_places, shift_type
 from tidemark.plans.blocked import Scan, prefix_scan
 
 KEYS = ("dataset", "task", "model")
@@ -244,7 +244,7 @@ def drift_report(drifts: DataFrame, shifts: DataFrame, impact: DataFrame, spread
 def report_lines(report: DataFrame) -> DataFrame:
     """The report as text lines, ready for ``write.text``."""
     return report.select(
-        F.concat_ws(" ", "section", "model", F.concat("metric", F.lit(":")), F.coalesce(F.format_string("%.4f", "value"), F.lit("N/A"))).alias("value")
+        F.concat_ws(" ", "section", "model", F.concat("metric", F.lit(":")), four_places(F.col("value"))).alias("value")
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import four_places
+from tidemark.functions.text import four_places, seconds_between
 from tidemark.operators.analysis import KEYS, performance, recent_performance
 
 METRICS = (
@@ -86,7 +86,7 @@ def processing_rate(snapshots: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Instances per second between consecutive snapshots (``at``, ``instances``); 0 when not growing."""
     order = Window.partitionBy(*keys).orderBy("at")
     grown = F.col("instances") - F.lag("instances").over(order)
-    seconds = (F.unix_micros("at") - F.unix_micros(F.lag("at").over(order))) / F.lit(1e6)
+    seconds = seconds_between(F.lag("at").over(order), F.col("at"))
     return snapshots.select(
         *keys,
         "at",

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import fill, scale
-from tidemark.plans.blocked import Scan, prefix_scan
+from tidemark.plans.blocked import BLOCK, Scan, attach, prefix_scan, with_block
 
 WARMUP_ROWS = 100
+WIDE = 16
 
 
 def _known(x: Column) -> Column:
@@ -59,7 +62,12 @@ def normalize_stream(
     block_rows: int | None = None,
 ) -> DataFrame:
     """Replace ``features`` by its scaled form: raw during the first ``warmup_rows - 1`` rows, then
-    min-max with the range seen so far; missing cells become 0."""
+    min-max with the range seen so far; missing cells become 0.
+
+    Up to ``WIDE`` features are scanned as columns; longer vectors as arrays.
+    """
+    if n_features > WIDE and not sticky_nan:
+        return _normalize_wide(df, keys, order, features, warmup_rows, block_rows)
     ranged = running_range(df, keys, n_features, order, features, sticky_nan, block_rows)
     cells = [
         fill(
@@ -72,6 +80,50 @@ def normalize_stream(
     return ranged.withColumn(features, F.array(*cells)).select(*df.columns)
 
 
+def _normalize_wide(
+    df: DataFrame, keys: Sequence[str], order: str, features: str, warmup_rows: int, block_rows: int | None
+) -> DataFrame:
+    """Block ranges come from a map-side aggregate per (block, feature); inside a block, which holds a
+    bounded number of rows, the running range is a cumulative minimum over a matrix."""
+    keys = list(keys)
+    src = with_block(df, order, block_rows)
+    cells = src.select(*keys, BLOCK, F.posexplode(features).alias("__f", "__x"))
+    known = _known(F.col("__x"))
+    ranges = cells.groupBy(*keys, BLOCK, "__f").agg(
+        F.min(known).alias("__lo"), F.max(known).alias("__hi"), F.count(F.lit(1)).alias("__rows")
+    )
+    earlier = Window.partitionBy(*keys, "__f").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranges.select(
+        *keys,
+        BLOCK,
+        "__f",
+        F.min("__lo").over(earlier).alias("__lo"),
+        F.max("__hi").over(earlier).alias("__hi"),
+        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__seen"),
+    )
+    # one element per feature
+    carry = carried.groupBy(*keys, BLOCK).agg(
+        F.sort_array(F.collect_list(F.struct("__f", "__lo", "__hi"))).alias("__r"), F.max("__seen").alias("__seen")
+    ).select(*keys, BLOCK, "__seen", F.col("__r.__lo").alias("__lo"), F.col("__r.__hi").alias("__hi"))
+
+    columns = df.columns
+
+    def scaled(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values(order, ignore_index=True)
+        x = np.stack(block[features].to_numpy()).astype("float64")
+        low, high = (np.array([np.nan if v is None else v for v in block[c].iloc[0]], "float64") for c in ("__lo", "__hi"))
+        low = np.fmin.accumulate(np.vstack([low, x]))[1:]
+        high = np.fmax.accumulate(np.vstack([high, x]))[1:]
+        span = np.where(high == low, 1.0, high - low)
+        n = block["__seen"].iloc[0] + np.arange(1, len(block) + 1)
+        with np.errstate(invalid="ignore"):
+            z = np.where((n < warmup_rows)[:, None], x, (x - low) / span)
+        block[features] = list(np.nan_to_num(z, nan=0.0))
+        return block[columns]
+
+    return attach(src, carry, [*keys, BLOCK]).groupBy(*keys, BLOCK).applyInPandas(scaled, df.schema)
+
+
 def running_moments(
     df: DataFrame, keys: Sequence[str], value: Column, order: str = "instance_id", block_rows: int | None = None
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK = "__blk"
 TILE = "__tile"
@@ -198,24 +199,33 @@ def rolling(
 ) -> DataFrame:
     """Sums over the last ``rows`` rows, current one included, in constant work per row.
 
-    A sliding frame re-adds the whole window for every row. Here positions are cut into chunks of
-    ``rows``; a window is the tail of one chunk plus the head of the next, so two running sums and
-    one shift give every window, without subtracting (no cancellation on doubles).
+    A sliding frame re-adds the whole window for every row. Integers and decimals use a running sum
+    minus itself ``rows`` positions earlier, which is exact. For doubles that would cancel, so
+    positions are cut into chunks of ``rows`` instead: a window is the tail of one chunk plus the
+    head of the next, that is two running sums and one shift.
     """
     keys = list(keys)
-    # one shuffle by tile serves all three windows below
+    # one shuffle by tile serves all windows below
     tiled = with_halo(df, dense, rows, block_rows).repartition(*keys, TILE)
-    tiled = tiled.withColumn("__chunk", F.expr(f"(`{dense}` - 1) div {rows}"))
-    chunk = Window.partitionBy(*keys, TILE, "__chunk")
-    head = chunk.orderBy(dense).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tail = chunk.orderBy(F.col(dense).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    shift = Window.partitionBy(*keys, TILE).orderBy(dense)
-    parts = tiled.withColumns({f"__b_{n}": F.sum(v).over(tail) for n, v in sums.items()}).withColumns(
-        {f"__a_{n}": F.sum(v).over(head) for n, v in sums.items()}
-    )
-    shifted = parts.withColumns({f"__b_{n}": F.lag(f"__b_{n}", rows).over(shift) for n in sums})
-    a_b = {n: (F.col(f"__a_{n}"), F.col(f"__b_{n}")) for n in sums}
-    return shifted.filter(OWN).select(*df.columns, *[F.coalesce(a + b, a, b).alias(n) for n, (a, b) in a_b.items()])
+    order = Window.partitionBy(*keys, TILE).orderBy(dense)
+    types = df.select(*[v.alias(n) for n, v in sums.items()]).schema
+    if all(isinstance(f.dataType, (T.IntegralType, T.DecimalType)) for f in types.fields):
+        upto_now = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        run = tiled.withColumns({f"__a_{n}": F.sum(v).over(upto_now) for n, v in sums.items()})
+        out = run.withColumns({f"__b_{n}": F.lag(f"__a_{n}", rows).over(order) for n in sums})
+        merged = {n: F.coalesce(F.col(f"__a_{n}") - F.col(f"__b_{n}"), F.col(f"__a_{n}")) for n in sums}
+    else:
+        chunk = Window.partitionBy(*keys, TILE, "__chunk")
+        head = chunk.orderBy(dense).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        tail = chunk.orderBy(F.col(dense).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        cut = tiled.withColumn("__chunk", F.expr(f"(`{dense}` - 1) div {rows}"))
+        tails = cut.withColumns({f"__b_{n}": F.sum(v).over(tail) for n, v in sums.items()})
+        heads = tails.withColumns({f"__a_{n}": F.sum(v).over(head) for n, v in sums.items()})
+        out = heads.withColumns({f"__b_{n}": F.lag(f"__b_{n}", rows).over(order) for n in sums})
+        merged = {
+            n: F.coalesce(F.col(f"__a_{n}") + F.col(f"__b_{n}"), F.col(f"__a_{n}"), F.col(f"__b_{n}")) for n in sums
+        }
+    return out.filter(OWN).select(*df.columns, *[c.alias(n) for n, c in merged.items()])
 
 
 def rolling_distinct(
