@@ -368,10 +368,10 @@ def _trees(task: str, members: int, wide: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if wide:
             rows, size = tables.feature_vectors(spark, sf_dir).withColumn("actual", F.col("label")), 64
-            options = trees.TreeOptions(task, members, min_chunk_rows=100, grace_rows=50, split_delta=1e-3)
+            options = trees.TreeOptions(task, members, chunks=5, min_chunk_rows=100, grace_rows=50, split_delta=1e-3)
         else:
             rows, size = tables.instances_regression(spark, sf_dir).withColumn("actual", F.col("target")), 2
-            options = trees.TreeOptions(task, members, min_chunk_rows=100)
+            options = trees.TreeOptions(task, members, chunks=5, min_chunk_rows=100)
         scaled = preprocess.normalize_stream(rows, ["dataset", "task"], size)
         return trees.prequential_trees(scaled, ["dataset", "task"], size, options)
 

@@ -412,7 +412,7 @@ def prequential_trees(
             ]
         ),
     )
-    state, cell = None, [*member, "node", "f", "bin", "cls"]
+    state, drifts, cell = None, None, [*member, "node", "f", "bin", "cls"]
     count = -(-longest // size)
     for chunk in range(count):
         part = spark.read.schema(placed.schema).parquet(f"{base}/rows/chunk={chunk}")
@@ -434,23 +434,23 @@ def prequential_trees(
         )
         if o.detect:
             state = materialize(_detect(scored, state, keys, o), "tree-detector")
-            state.filter("drift_n is not null and member = -1").select(*keys, "drift_n").write.mode("append").parquet(f"{base}/drifts")
             gone = state.filter("drift_n is not null")
+            found = gone.filter("member = -1").select(*keys, F.col("drift_n").alias("n"))
+            drifts = found if drifts is None else drifts.unionByName(found)
             reset = gone.filter("member = -1").select(*keys, F.explode(F.sequence(F.lit(0), F.lit(o.members - 1))).alias("member"))
             reset = reset.unionByName(gone.filter("member >= 0").select(*member)).distinct()
             stats = stats.join(reset, member, "left_anti")
-            splits = materialize(splits.join(reset, member, "left_anti"), "tree-splits")
+            splits = splits.join(reset, member, "left_anti")
     scored_schema = T.StructType(
         [*placed.schema.fields, T.StructField("prediction", T.DoubleType()), T.StructField("error", T.DoubleType())]
     )
+    plain = [*keys, order, "actual", "prediction", "error"]
     if not count:
-        return spark.createDataFrame([], scored_schema).select(*keys, order, "actual", "prediction", "error", F.lit(False).alias("drift"), F.lit(0).cast("long").alias("segment"))
+        empty = spark.createDataFrame([], scored_schema).select(*plain)
+        return empty.withColumns({"drift": F.lit(False), "segment": F.lit(0).cast("long")})
     out = spark.read.schema(scored_schema).parquet(*[f"{base}/scored/chunk={c}" for c in range(count)])
-    out = out.select(*keys, order, "n", "actual", "prediction", "error")
-    if not o.detect:
-        return out.select(*keys, order, "actual", "prediction", "error", F.lit(False).alias("drift"), F.lit(0).cast("long").alias("segment"))
-    drift_schema = T.StructType([*[placed.schema[k] for k in keys], T.StructField("drift_n", T.LongType())])
-    drifts = spark.read.schema(drift_schema).parquet(f"{base}/drifts")
-    flagged = out.join(drifts.withColumnRenamed("drift_n", "n").withColumn("drift", F.lit(True)), [*keys, "n"], "left")
+    if drifts is None:
+        return out.select(*plain).withColumns({"drift": F.lit(False), "segment": F.lit(0).cast("long")})
+    flagged = out.select(*plain, "n").join(drifts.withColumn("drift", F.lit(True)), [*keys, "n"], "left")
     flagged = flagged.withColumn("drift", F.coalesce("drift", F.lit(False)))
     return prefix_scan(flagged, keys, order, {"segment": Scan("count", F.col("drift"))}).drop("n")

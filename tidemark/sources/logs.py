@@ -79,10 +79,14 @@ def read_metric_logs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFra
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("ignoreCorruptFiles", True)
             .option("pathGlobFilter", "*.csv")
+            # a bad cell must reject the line whichever columns a query reads
+            .option("columnPruning", False)
             .csv(f"{root}/*_{task}_*_metrics.csv")
         )
         read = lines.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        bad = lines.filter(F.col(CORRUPT).isNotNull()).select("file", CORRUPT)
+        # Spark refuses queries on the corrupt column alone, so the test also reads a data column
+        parsed = F.coalesce(F.col("instance"), F.lit(0)) >= F.lit(-(1 << 62))
+        bad = lines.filter(F.col(CORRUPT).isNotNull() & parsed).select("file", CORRUPT)
         good = read if good is None else good.unionByName(read, allowMissingColumns=True)
         rejects = bad if rejects is None else rejects.unionByName(bad)
     return good, rejects

@@ -61,7 +61,7 @@ def read_topic(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 
 
 def read_files(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", files_per_trigger: int | None = None, **options: str
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "json", files_per_trigger: int | None = None, **options: str
 ) -> DataFrame:
     """The same stream from a folder that files are added to."""
     reader = spark.readStream.schema(schema).format(fmt).options(**options)
