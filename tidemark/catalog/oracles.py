@@ -460,6 +460,9 @@ ORACLES: dict[str, str] = {
     ),
     "shift_bounds": with_(SHIFT, "SELECT least(min(before_mean), min(after_mean)) AS low, greatest(max(before_mean), max(after_mean)) AS high FROM shifts"),
     "drift_timeline": with_(MET, f"SELECT {KEYS}, drift_instance AS instance FROM drifts"),
+    "drift_gaps": with_(
+        MET, f"SELECT {KEYS}, drift_instance AS instance_id, drift_instance - lag(drift_instance) OVER (PARTITION BY {KEYS} ORDER BY drift_instance) AS gap FROM drifts"
+    ),
     "metric_trajectory": with_(
         MET,
         """SELECT p.dataset, p.task, p.model, instance, value AS metric, drift_instance IS NOT NULL AS is_drift
@@ -517,4 +520,34 @@ ORACLES: dict[str, str] = {
         FROM log WHERE dataset = 'events' AND model = 'last' AND instance % 1000 = 0""",
     ),
 }
+
+
+def _chunked(loss: str) -> str:
+    """Four chunks of one stream, the weights moving between chunks by the mean step."""
+    sign = "(CASE WHEN y > 0.5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END)"
+    score = "(coalesce(w1, 0) * x1 + coalesce(w2, 0) * x2 + coalesce(b, 0))"
+    step = (
+        f"CASE WHEN {sign} * {score} < 1 THEN 0.5::DOUBLE * {sign} ELSE 0.0::DOUBLE END"
+        if loss == "hinge"
+        else f"{sign} * least(1.0::DOUBLE, greatest(0.0::DOUBLE, 1.0::DOUBLE - {sign} * {score}) / (1.0::DOUBLE + x1 * x1 + x2 * x2))"
+    )
+    ctes = [
+        f"k AS (SELECT instance_id, x1, x2, CASE WHEN value > 50 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y, "
+        f"(row_number() OVER (ORDER BY instance_id) - 1) // ((count(*) OVER () + 3) // 4) AS chunk FROM ({FEATURES}))",
+        "m0 AS (SELECT NULL::DOUBLE AS w1, NULL::DOUBLE AS w2, NULL::DOUBLE AS b)",
+    ]
+    for i in range(3):
+        ctes.append(
+            f"m{i + 1} AS (SELECT coalesce(max(w1), 0) + avg(({step}) * x1) AS w1, coalesce(max(w2), 0) + avg(({step}) * x2) AS w2, "
+            f"coalesce(max(b), 0) + avg({step}) AS b FROM k, m{i} WHERE chunk = {i})"
+        )
+    parts = " UNION ALL ".join(
+        f"SELECT 'events' AS dataset, 'classification' AS task, instance_id, CASE WHEN w1 IS NULL THEN NULL "
+        f"WHEN w1 * x1 + w2 * x2 + b > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, y AS actual FROM k, m{i} WHERE chunk = {i}"
+        for i in range(4)
+    )
+    return "WITH " + ", ".join(ctes) + " " + parts
+
+
 ORACLES |= {name: _linear(name) for name in LINEAR}
+ORACLES |= {"pa_chunked": _chunked("passive_aggressive"), "sgd_classify_chunked": _chunked("hinge")}

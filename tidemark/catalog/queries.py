@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import adwin, analysis, blocked_sgd, compare, inject, learners, metrics, neighbours, preprocess, trees
+from tidemark.operators import adwin, analysis, blocked_sgd, chunk_linear, compare, inject, learners, metrics, neighbours, preprocess, trees
 from tidemark.operators.prequential import TOY_DETECTION, TestThenTrain, compare_learners, prequential
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import logs, streams, tables
@@ -339,6 +339,14 @@ def sgd_stream_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out.select("event_type", "instance_id", "prediction"))
 
 
+def _chunked(task: str, loss: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = _user_stream(spark, sf_dir, task, loss)
+        return _rounded(chunk_linear.chunked_linear(rows, ["dataset", "task"], loss, chunks=4, eta=0.5))
+
+    return run
+
+
 def multi_learner_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All linear learners on all user streams in one job, then one line per learner."""
     cls = _user_stream(spark, sf_dir, "classification", "").drop("model", "label")
@@ -439,6 +447,10 @@ def drift_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.drift_timeline(_drifts(spark, sf_dir), ["last", "last_user"])
 
 
+def drift_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.gap_between_drifts(_drifts(spark, sf_dir))
+
+
 def metric_trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.metric_trajectory(_log(spark, sf_dir), _drifts(spark, sf_dir))
 
@@ -628,6 +640,7 @@ QUERIES: dict[str, Query] = {
         shift_histogram,
         shift_bounds,
         drift_timeline,
+        drift_gaps,
         metric_trajectory,
         series_cumulative,
         series_rolling,
@@ -653,6 +666,8 @@ QUERIES |= {
     "sgd_classify_keyed": _keyed("classification", "sgd"),
     "perceptron_keyed": _keyed("classification", "perceptron"),
     "pa_keyed": _keyed("classification", "passive_aggressive"),
+    "pa_chunked": _chunked("classification", learners.PASSIVE_AGGRESSIVE),
+    "sgd_classify_chunked": _chunked("classification", learners.HINGE),
     "hoeffding_tree_preq": _trees("classification", 1, wide=True),
     "fimtdd_preq": _trees("regression", 1, wide=False),
     "arf_classify_preq": _trees("classification", learners.ENSEMBLE_SIZE, wide=True),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -248,11 +248,52 @@ def report_lines(report: DataFrame) -> DataFrame:
     )
 
 
+def quantiles(df: DataFrame, value: str, points: Mapping[str, float], group: str = "model", bins: int = 4096) -> DataFrame:
+    """Exact interpolated quantiles per group without gathering a group.
+
+    Equal values are counted first; a histogram of ``bins`` cells per group then tells which cells hold
+    the ranks asked for, and only the values of those cells are ranked.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("c"))
+    spans = counted.groupBy(group).agg(
+        F.min(value).alias("lo"), F.max(value).alias("hi"), F.sum("c").alias("total")
+    )
+    x, lo, hi = F.col(value), F.col("lo"), F.col("hi")
+    cell = F.when(hi == lo, 0).otherwise(F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)))
+    placed = counted.join(spans, group).withColumn("cell", cell.cast("int"))
+    cells = placed.groupBy(group, "cell").agg(F.sum("c").alias("size"), F.max("total").alias("total"))
+    # at most ``bins`` rows per group
+    before = Window.partitionBy(group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("seen", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    wanted = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), rank.cast("long").alias("rank"), (at - F.floor(at)).alias("share"))
+                for name, q in points.items()
+                for at in (q * (F.col("total") - 1),)
+                for side, rank in ((0, F.floor(at)), (1, F.ceil(at)))
+            ]
+        )
+    ).alias("r")
+    asked = cells.select(group, "cell", "seen", "size", wanted).select(group, "cell", "seen", "size", "r.*")
+    asked = asked.filter((F.col("rank") >= F.col("seen")) & (F.col("rank") < F.col("seen") + F.col("size")))
+    inside = Window.partitionBy(group, "cell").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = placed.join(asked.select(group, "cell").distinct(), [group, "cell"], "left_semi")
+    ranked = held.select(group, "cell", value, "c", F.sum("c").over(inside).alias("upto"))
+    offset = F.col("rank") - F.col("seen")
+    found = asked.join(ranked, [group, "cell"]).filter((offset < F.col("upto")) & (offset >= F.col("upto") - F.col("c")))
+
+    def interpolate(name: str) -> Column:
+        low, high = (F.max(F.when((F.col("name") == name) & (F.col("side") == s), F.col(value))) for s in (0, 1))
+        share = F.max(F.when(F.col("name") == name, F.col("share")))
+        return (low + (high - low) * share).alias(name)
+
+    return found.groupBy(group).agg(*[interpolate(name) for name in points])
+
+
 def box_stats(df: DataFrame, value: str, group: str = "model") -> DataFrame:
     """Quartiles, and whiskers at the last value within 1.5 interquartile ranges."""
-    quartiles = df.groupBy(group).agg(
-        F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-    ).select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    quartiles = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, group)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col(value) >= F.col("q1") - reach) & (F.col(value) <= F.col("q3") + reach)
     return (
@@ -268,14 +309,13 @@ def box_stats(df: DataFrame, value: str, group: str = "model") -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int = 10, group: str = "model") -> DataFrame:
     """Counts per group in ``bins`` equal bins over the global range; the maximum is in the last bin."""
-    span = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    x, lo, hi = F.col(value), F.col("lo"), F.col("hi")
+    x = F.col(value)
+    lo, hi = df.agg(F.min(value)).scalar(), df.agg(F.max(value)).scalar()
     bin_ = F.when(hi == lo, 1).otherwise(F.least(F.floor((x - lo) / (hi - lo) * bins) + 1, F.lit(bins)))
-    # one-row side: the aggregate without keys
     return (
         df.filter(x.isNotNull())
-        .crossJoin(F.broadcast(span))
-        .groupBy(group, bin_.cast("int").alias("bin"))
+        .select(group, bin_.cast("int").alias("bin"))
+        .groupBy(group, "bin")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
 
@@ -309,5 +349,6 @@ def metric_trajectory(metrics: DataFrame, drifts: DataFrame) -> DataFrame:
 
 def gap_between_drifts(drifts: DataFrame) -> DataFrame:
     """Instances from one drift to the next of the same run."""
-    order = Window.partitionBy(*KEYS).orderBy("instance_id")
-    return drifts.select(*KEYS, "instance_id", (F.col("instance_id") - F.lag("instance_id").over(order)).alias("gap"))
+    at = F.col("instance_id")
+    before = prefix_scan(drifts, KEYS, "instance_id", {"__before": Scan("last", at, exclusive=True)})
+    return before.select(*KEYS, at, (at - F.col("__before")).alias("gap"))

@@ -57,29 +57,22 @@ def series(
 
 def best_runs(summary: DataFrame, by: Sequence[str] = ("dataset", "task")) -> DataFrame:
     """Best run per group: highest accuracy, lowest error; ties by name; no row when all are null."""
-    score = F.when(F.col("task") == "classification", F.col("cumulative_accuracy")).otherwise(-F.col("cumulative_mae"))
-    order = Window.partitionBy(*by).orderBy(F.col("__score").desc(), *KEYS)
-    return (
-        summary.withColumn("__score", score)
-        .filter("__score is not null")
-        .withColumn("__place", F.row_number().over(order))
-        .filter("__place = 1")
-        .select(*KEYS, performance().alias("value"))
-    )
+    score = F.when(F.col("task") == "classification", -F.col("cumulative_accuracy")).otherwise(F.col("cumulative_mae"))
+    fields = [k for k in KEYS if k not in by]
+    first = F.min(F.struct(score.alias("score"), *fields, performance().alias("value"))).alias("first")
+    best = summary.filter(score.isNotNull()).groupBy(*by).agg(first)
+    return best.select(*by, *[F.col(f"first.{f}") for f in fields], "first.value").select(*KEYS, "value")
 
 
 def live_stats(log: DataFrame, drifts: DataFrame) -> DataFrame:
     """One row: furthest instance, sum of run lengths, drift events, mean accuracy, active models."""
-    state = latest(log)
-    figures = state.agg(
+    figures = latest(log).agg(
         F.max("instance").alias("max_instance"),
         F.sum("instance").alias("total_instances"),
         F.avg(F.when(F.col("task") == "classification", F.col("cumulative_accuracy"))).alias("average_accuracy"),
         F.count_distinct("model").alias("active_models"),
     )
-    events = drifts.agg(F.count(F.lit(1)).alias("drift_events"))
-    # both sides are aggregates without keys: one row each
-    return figures.crossJoin(F.broadcast(events))
+    return figures.withColumn("drift_events", drifts.agg(F.count(F.lit(1))).scalar())
 
 
 def processing_rate(snapshots: DataFrame, keys: Sequence[str]) -> DataFrame:

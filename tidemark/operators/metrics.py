@@ -237,13 +237,20 @@ def run_summary(
     )
 
 
-def with_drift_details(summary: DataFrame, events: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the nested event list of the run-summary record. The list of one run is the record's
-    own shape (one element per drift, at least a cool-down apart)."""
-    details = events.groupBy(*keys).agg(
+def with_drift_details(
+    summary: DataFrame, events: DataFrame, keys: Sequence[str], page_rows: int = 100_000
+) -> DataFrame:
+    """Attach the nested event list of the run-summary record.
+
+    A run has one record (``page`` 0) unless it has more than ``page_rows`` drifts; then the list
+    goes on in further records, so no list grows without bound.
+    """
+    keys = list(keys)
+    ranked = prefix_scan(events, keys, "instance_id", {"__r": Scan("count", F.lit(True))})
+    details = ranked.groupBy(*keys, F.expr(f"(__r - 1) div {page_rows}").alias("page")).agg(
         F.sort_array(F.collect_list(F.struct("instance_id", "detector", "timestamp"))).alias("drift_details")
     )
-    return summary.join(details, list(keys), "left")
+    return summary.join(details, keys, "left").withColumn("page", F.coalesce("page", F.lit(0)))
 
 
 def rows_since_drift(

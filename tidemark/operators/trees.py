@@ -132,6 +132,8 @@ def best_cuts(gains: DataFrame, keys: Sequence[str]) -> DataFrame:
 def decide_splits(stats: DataFrame, keys: Sequence[str], o: TreeOptions) -> DataFrame:
     """Leaves to split now: node, feature, cut."""
     node = [*keys, "member", "node"]
+    # a leaf's histogram is bounded, and everything below groups within a leaf: one shuffle
+    stats = stats.repartition(*node)
     cells = stats.filter("f >= 0")
     best = best_cuts(split_gains(cells, node, o.bins, o.task), node)
     place = Window.partitionBy(*node).orderBy(F.col("gain").desc(), "f")
@@ -156,47 +158,67 @@ def decide_splits(stats: DataFrame, keys: Sequence[str], o: TreeOptions) -> Data
     return top.filter(ready & (F.col("node") < (1 << 60))).select(*node, "feature", "cut")
 
 
-def children_mass(stats: DataFrame, decided: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Starting mass of the new leaves, taken from the histogram of the split feature."""
-    node = [*keys, "member", "node"]
-    side = F.when(F.col("bin") <= F.col("cut"), 1).otherwise(2)
-    return (
-        stats.join(decided.withColumnRenamed("feature", "f"), [*node, "f"])
-        .withColumn("node", F.col("node") * 2 + side)
-        .groupBy(*node, "cls")
-        .agg(F.sum("w").alias("w"), F.sum("sy").alias("sy"), F.sum("syy").alias("syy"))
-        .withColumns({"f": F.lit(-1), "bin": F.lit(0)})
+def apply_splits(stats: DataFrame, decided: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Statistics after the splits: of a split leaf only the histogram of the split feature stays, as
+    the starting mass of the two new leaves. Rows are summed by the next reader."""
+    met = stats.join(decided, [*keys, "member", "node"], "left")
+    stays = F.col("feature").isNull()
+    child = F.col("node") * 2 + F.when(F.col("bin") <= F.col("cut"), 1).otherwise(2)
+    return met.filter(stays | (F.col("f") == F.col("feature"))).select(
+        *keys,
+        "member",
+        F.when(stays, F.col("node")).otherwise(child).alias("node"),
+        F.when(stays, F.col("f")).otherwise(-1).alias("f"),
+        F.when(stays, F.col("bin")).otherwise(0).alias("bin"),
+        "cls",
+        "w",
+        "sy",
+        "syy",
     )
 
 
 def _models(stats: DataFrame, splits: DataFrame, keys: Sequence[str], o: TreeOptions) -> DataFrame:
     """One row per key: per member its split map, leaf guesses and vote weight. As large as the trees
-    themselves, which grow with chunks and learners but not with rows."""
+    themselves, which grow with chunks and learners but not with rows; one shuffle by key."""
     member = [*keys, "member"]
-    mass = stats.filter("f = -1")
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("feature", "int"), ("threshold", "double"))]
+    known = stats.filter("f < 0").select(*member, "node", "f", "cls", "w", "sy", *nothing)
+    inner = splits.select(
+        *member,
+        "node",
+        F.lit(0).alias("f"),
+        F.lit(0).alias("cls"),
+        *[F.lit(None).cast("double").alias(c) for c in ("w", "sy")],
+        "feature",
+        "threshold",
+    )
+    by_class = (
+        known.unionByName(inner)
+        .repartition(*keys)
+        .groupBy(*member, "node", "f", "cls")
+        .agg(*[F.sum(c).alias(c) for c in ("w", "sy")], *[F.max(c).alias(c) for c in ("feature", "threshold")])
+    )
+    is_mass = F.col("f") == -1
     if o.task == "classification":
-        guess = F.max_by("cls", F.struct(F.col("w"), -F.col("cls"))).cast("double")
+        guess = -F.max(F.when(is_mass, F.struct(F.col("w"), (-F.col("cls").cast("double")).alias("c"))))["c"]
     else:
-        guess = F.sum("sy") / F.sum("w")
-    leaves = mass.groupBy(*member, "node").agg(guess.alias("g")).groupBy(*member).agg(
-        F.map_from_entries(F.collect_list(F.struct("node", "g"))).alias("guess")
+        guess = F.sum(F.when(is_mass, F.col("sy"))) / F.sum(F.when(is_mass, F.col("w")))
+    by_node = by_class.groupBy(*member, "node").agg(
+        guess.alias("g"),
+        F.max("feature").alias("feature"),
+        F.max("threshold").alias("threshold"),
+        F.max(F.when(F.col("f") == -2, F.col("sy") / F.col("w"))).alias("vote"),
     )
-    inner = splits.groupBy(*member).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(F.col("node"), F.struct("feature", "threshold").alias("s")))
-        ).alias("split")
+    cut = F.struct(F.col("node"), F.struct("feature", "threshold").alias("s"))
+    by_member = by_node.groupBy(*member).agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("feature").isNotNull(), cut))).alias("split"),
+        F.map_from_entries(F.collect_list(F.when(F.col("g").isNotNull(), F.struct("node", "g")))).alias("guess"),
+        F.coalesce(F.max("vote"), F.lit(1.0)).alias("vote"),
     )
-    record = stats.filter("f = -2").groupBy(*member).agg((F.sum("sy") / F.sum("w")).alias("vote"))
-    return (
-        leaves.join(inner, member, "left")
-        .join(record, member, "left")
-        .groupBy(*keys)
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("member", "split", "guess", F.coalesce("vote", F.lit(1.0)).alias("vote"))),
-                lambda a, b: a["member"] - b["member"],
-            ).alias("trees")
-        )
+    return by_member.groupBy(*keys).agg(
+        F.array_sort(
+            F.collect_list(F.struct("member", "split", "guess", "vote")), lambda a, b: a["member"] - b["member"]
+        ).alias("trees")
     )
 
 
@@ -274,26 +296,32 @@ def chunk_stats(scored: DataFrame, keys: Sequence[str], o: TreeOptions, n_featur
     )
     weight = F.lit(1) if o.members == 1 else poisson_weight(o.poisson_mean, F.lit(o.seed), F.col("n"), F.col("member"))
     weighted = flat.withColumn("w", weight.cast("double"))
-    pairs = [F.struct(F.lit(-1).alias("f"), F.lit(0).alias("bin"))]
     chosen = min(n_features, int(math.sqrt(n_features)) + 1) if o.members > 1 else n_features
-    for i in range(n_features):
-        keep = F.lit(True)
-        if chosen < n_features:
-            keep = F.pmod(F.xxhash64(F.lit(o.seed), "member", "node", F.lit(i)), F.lit(n_features)) < chosen
-        pairs.append(
-            F.struct(F.when(keep, F.lit(i)).alias("f"), bin_of(F.col("features")[i], o.bins).alias("bin"))
-        )
+    # one extra cell per row carries the leaf's mass
+    cells = weighted.filter("w > 0").select(
+        *keys,
+        "member",
+        "node",
+        "w",
+        "actual",
+        F.posexplode(F.concat("features", F.array(F.lit(0.0)))).alias("pos", "x"),
+    )
+    is_mass = F.col("pos") == n_features
+    if chosen < n_features:
+        draw = F.pmod(F.xxhash64(F.lit(o.seed), "member", "node", "pos"), F.lit(n_features))
+        cells = cells.filter(is_mass | (draw < chosen))
     cls = F.col("actual").cast("int") if o.task == "classification" else F.lit(0)
-    cells = (
-        weighted.filter("w > 0")
-        .select(*keys, "member", "node", cls.alias("cls"), "w", "actual", F.explode(F.array(*pairs)).alias("p"))
-        .filter("p.f is not null")
-        .groupBy(*keys, "member", "node", F.col("p.f").alias("f"), F.col("p.bin").alias("bin"), "cls")
-        .agg(
-            F.sum("w").alias("w"),
-            F.sum(F.col("w") * F.col("actual")).alias("sy"),
-            F.sum(F.col("w") * F.col("actual") * F.col("actual")).alias("syy"),
-        )
+    cells = cells.groupBy(
+        *keys,
+        "member",
+        "node",
+        F.when(is_mass, -1).otherwise(F.col("pos")).alias("f"),
+        F.when(is_mass, 0).otherwise(bin_of(F.col("x"), o.bins)).alias("bin"),
+        cls.alias("cls"),
+    ).agg(
+        F.sum("w").alias("w"),
+        F.sum(F.col("w") * F.col("actual")).alias("sy"),
+        F.sum(F.col("w") * F.col("actual") * F.col("actual")).alias("syy"),
     )
     if o.members == 1:
         return cells
@@ -428,7 +456,7 @@ def prequential_trees(
         )
         stats = materialize(merged, "tree-stats")
         decided = materialize(decide_splits(stats, keys, o), "tree-splits")
-        stats = stats.join(decided, [*member, "node"], "left_anti").unionByName(children_mass(stats, decided, keys))
+        stats = apply_splits(stats, decided, keys)
         splits = splits.unionByName(
             decided.select(*member, "node", "feature", ((F.col("cut") + 1) / o.bins).alias("threshold"))
         )

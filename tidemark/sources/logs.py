@@ -48,8 +48,11 @@ def write_run_summaries(summary: DataFrame, root: str) -> None:
     named = summary.withColumn(
         "run", run_file_name(F.col("dataset"), F.col("task"), F.col("model"), "_metrics_results.json")
     )
-    kept = [c for c in summary.columns if c not in ("dataset", "task", "model")]
-    named.select("run", *kept).repartition("run").write.mode("append").partitionBy("run").json(root)
+    kept = [c for c in summary.columns if c not in ("dataset", "task", "model", "page")]
+    # the reader takes one object per file
+    pages = ["run", "page"] if "page" in summary.columns else ["run"]
+    one = named.repartition(*pages).sortWithinPartitions(*pages).select("run", *kept)
+    one.write.option("maxRecordsPerFile", 1).mode("append").partitionBy("run").json(root)
 
 
 def _with_run(df: DataFrame) -> DataFrame:
@@ -83,9 +86,9 @@ def read_metric_logs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFra
             .option("columnPruning", False)
             .csv(f"{root}/*_{task}_*_metrics.csv")
         )
-        read = lines.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
         # Spark refuses queries on the corrupt column alone, so the test also reads a data column
         parsed = F.coalesce(F.col("instance"), F.lit(0)) >= F.lit(-(1 << 62))
+        read = lines.filter(F.col(CORRUPT).isNull() & parsed).drop(CORRUPT)
         bad = lines.filter(F.col(CORRUPT).isNotNull() & parsed).select("file", CORRUPT)
         good = read if good is None else good.unionByName(read, allowMissingColumns=True)
         rejects = bad if rejects is None else rejects.unionByName(bad)
@@ -102,7 +105,8 @@ def read_run_summaries(spark: SparkSession, root: str) -> DataFrame:
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(f"{root}/*_results.json")
     )
-    return read.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    parsed = F.coalesce(F.col("total_instances"), F.lit(0)) >= F.lit(-(1 << 62))
+    return read.filter(F.col(CORRUPT).isNull() & parsed).drop(CORRUPT)
 
 
 def drift_details(summaries: DataFrame) -> DataFrame:
