@@ -90,8 +90,8 @@ def main() -> None:
                 "events": events,
                 "instances_per_second": {
                     name: round(events / seconds[name])
-                    for name in ("sgd_regress_keyed", "pa_keyed", "sgd_stream_blocked", "hoeffding_tree_preq")
-                    if name in seconds and name != "hoeffding_tree_preq"
+                    for name in ("sgd_regress_keyed", "pa_keyed", "sgd_stream_blocked")
+                    if name in seconds
                 },
             }
         )

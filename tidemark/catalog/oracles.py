@@ -340,7 +340,7 @@ ORACLES: dict[str, str] = {
              r AS (PARTITION BY user_id ORDER BY instance_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
     "prediction_diversity": with_(
         SEG,
-        f"""SELECT {KEYS}, instance_id, n, list_unique(list(prediction) OVER r)::INT AS unique_predictions, list_unique(list(actual) OVER r)::INT AS unique_actuals
+        f"""SELECT {KEYS}, instance_id, n, list_unique(list(prediction) OVER r)::BIGINT AS unique_predictions, list_unique(list(actual) OVER r)::BIGINT AS unique_actuals
         FROM num WHERE prediction IS NOT NULL
         WINDOW r AS (PARTITION BY {KEYS} ORDER BY instance_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)""",
     ),

@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -419,6 +419,8 @@ def prequential_trees(
     placed = materialize(numbered, "tree-rows")
     longest = placed.agg(F.max("n")).first()[0] or 0
     size = max(o.min_chunk_rows, -(-longest // o.chunks))
+    # the detector reads at most about a thousand groups per run and chunk, however long the chunk
+    o = replace(o, detector_grain=max(o.detector_grain, size // 1000))
     size = -(-size // o.detector_grain) * o.detector_grain
     base = scratch_path(spark, "trees")
     placed.withColumn("chunk", F.expr(f"cast((n - 1) div {size} as int)")).write.partitionBy("chunk").parquet(f"{base}/rows")
