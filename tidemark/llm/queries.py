@@ -4,17 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash
+from tidemark.llm import capfilter, simhash
 from tidemark.llm.common import table
 
 
+def op4_capfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilter.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op4_capfilter": op4_capfilter,
     "op8_simhash": op8_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_capfilter": """
+with recursive unit as (
+  select vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) as norm
+  from (select vec_id, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings)
+  where v is not null and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+),
+links as (
+  select a.vec_id as src, b.vec_id as dst
+  from unit a join unit b on a.vec_id <> b.vec_id and a.norm > 0 and b.norm > 0
+   and list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.9
+),
+reach as (
+  select vec_id as node, vec_id as seen from embeddings
+  union
+  select r.node, l.dst from reach r join links l on l.src = r.seen
+),
+counts as (select src, count(*) as n from links group by src)
+select e.vec_id, coalesce(c.n, 0) as n_links, r.component_id, e.vec_id = r.component_id as kept
+from embeddings e
+join (select node, min(seen) as component_id from reach group by node) r on r.node = e.vec_id
+left join counts c on c.src = e.vec_id
+""",
+}
