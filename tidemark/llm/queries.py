@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import capfilter, simhash
+from tidemark.llm import capfilter, invindex, simhash
 from tidemark.llm.common import table
 
 
@@ -17,9 +17,15 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op10_invindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return invindex.contamination(invindex.matches(docs, benchmark))
+
+
 QUERIES = {
     "op4_capfilter": op4_capfilter,
     "op8_simhash": op8_simhash,
+    "op10_invindex": op10_invindex,
 }
 
 ORACLES: dict[str, str] = {
@@ -44,5 +50,31 @@ select e.vec_id, coalesce(c.n, 0) as n_links, r.component_id, e.vec_id = r.compo
 from embeddings e
 join (select node, min(seen) as component_id from reach group by node) r on r.node = e.vec_id
 left join counts c on c.src = e.vec_id
+""",
+    "op10_invindex": r"""
+with d as (
+  select doc_id, row_number() over () as r, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w from documents
+),
+i as (
+  select item_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w from benchmark
+),
+phrases as (
+  select distinct item_id, len(w[p : p + 9]) as n, array_to_string(w[p : p + 9], ' ') as phrase
+  from (select item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) as p from i where len(w) > 0)
+),
+sizes as (select distinct n from phrases),
+spots as (select r, unnest(range(1, len(w) + 1)) as p, w from d),
+runs as (
+  select r, p, n, array_to_string(w[p : p + n - 1], ' ') as phrase from spots, sizes where p + n - 1 <= len(w)
+),
+found as (select r, p, n, item_id from runs join phrases using (n, phrase)),
+hit as (select r, count(distinct q) as n_hit from (select r, unnest(range(p, p + n)) as q from found) group by r),
+items as (
+  select r, count(*) as n_items, string_agg(item, ',' order by item) as list
+  from (select distinct r, cast(item_id as varchar) as item from found) group by r
+)
+select d.doc_id, len(d.w) as n_words, coalesce(hit.n_hit, 0) as n_hit, coalesce(items.n_items, 0) as n_items,
+       sha256(coalesce(items.list, '')) as items_sha256, hit.n_hit is not null as contaminated
+from d left join hit using (r) left join items using (r)
 """,
 }
