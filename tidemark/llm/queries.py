@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import capfilter, invindex, simhash
+from tidemark.llm import capfilter, invindex, simhash, tokenpack
 from tidemark.llm.common import table
 
 
@@ -12,6 +12,14 @@ def op4_capfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capfilter.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_tokenpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    path = tokenpack.write_ids(table(spark, sf_dir, "documents"), vocabulary, end_id=2)
+    return tokenpack.read_ids(spark, path, with_ids=False)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -24,6 +32,7 @@ def op10_invindex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_capfilter": op4_capfilter,
+    "op7_tokenpack": op7_tokenpack,
     "op8_simhash": op8_simhash,
     "op10_invindex": op10_invindex,
 }
