@@ -3,15 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import capfilter, invindex, simhash, tokenpack
+from tidemark.llm import capfilter, invindex, labelled, quality, simhash, tokenpack, toxicity
 from tidemark.llm.common import table
 
 
+def _judged(scored: DataFrame, least: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        labelled.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= least).cast("int").alias("predicted"),
+        *[c for c in scored.columns if c not in ("doc_id", "score")],
+    )
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _judged(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), 0.5)
+
+
 def op4_capfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capfilter.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _judged(quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"))), 0.3)
+
+
 def op7_tokenpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -31,7 +52,9 @@ def op10_invindex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_capfilter": op4_capfilter,
+    "op5_quality": op5_quality,
     "op7_tokenpack": op7_tokenpack,
     "op8_simhash": op8_simhash,
     "op10_invindex": op10_invindex,
