@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import capfilter, invindex, labelled, quality, simhash, tokenpack, toxicity
+from tidemark.llm import (
+    binpack,
+    capfilter,
+    invindex,
+    labelled,
+    maglev,
+    quality,
+    simhash,
+    tokenpack,
+    toxicity,
+    warc,
+)
 from tidemark.llm.common import table
 
 
@@ -24,6 +35,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), 0.5)
 
 
+SHARDS = [f"shard-{i:03d}" for i in range(256)]
+
+
+def op3_maglev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return maglev.place(docs, "doc_id", SHARDS)
+
+
 def op4_capfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capfilter.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -33,6 +52,18 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"))), 0.3)
 
 
+def damaged(pages: DataFrame) -> DataFrame:
+    """A replica with faults: some pages with one character replaced, some lost."""
+    broken = F.concat(F.substring("html", 1, 10), F.lit("#"), F.expr("substring(html, 12)"))
+    html = F.when(F.col("page_id") % 101 == 7, broken).otherwise(F.col("html"))
+    return pages.filter(~F.coalesce(F.col("page_id") % 499 == 11, F.lit(False))).withColumn("html", html)
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.audit(warc.replica(pages), warc.replica(damaged(pages)))
+
+
 def op7_tokenpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -46,6 +77,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op9_binpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binpack.pack(binpack.measured(table(spark, sf_dir, "documents")))
+
+
 def op10_invindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return invindex.contamination(invindex.matches(docs, benchmark))
@@ -53,10 +88,13 @@ def op10_invindex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_maglev": op3_maglev,
     "op4_capfilter": op4_capfilter,
     "op5_quality": op5_quality,
+    "op6_warc": op6_warc,
     "op7_tokenpack": op7_tokenpack,
     "op8_simhash": op8_simhash,
+    "op9_binpack": op9_binpack,
     "op10_invindex": op10_invindex,
 }
 
@@ -82,6 +120,43 @@ select e.vec_id, coalesce(c.n, 0) as n_links, r.component_id, e.vec_id = r.compo
 from embeddings e
 join (select node, min(seen) as component_id from reach group by node) r on r.node = e.vec_id
 left join counts c on c.src = e.vec_id
+""",
+    "op6_warc": """
+with b as (
+  select page_id, url, case when page_id % 101 = 7
+    then substring(html, 1, 10) || '#' || substring(html, 12) else html end as html
+  from pages where page_id % 499 <> 11
+),
+both_sides as (
+  select 'a' as side, page_id, url, html from pages union all select 'b', page_id, url, html from b
+),
+records as (
+  select side, page_id, url,
+    'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
+    || 'WARC-Record-ID: <urn:md5:' || md5(page_id::varchar || chr(10) || url) || '>' || chr(13) || chr(10)
+    || 'Content-Type: text/html' || chr(13) || chr(10)
+    || 'Content-Length: ' || octet_length(encode(html))::varchar || chr(13) || chr(10) || chr(13) || chr(10)
+    || html || chr(13) || chr(10) || chr(13) || chr(10) as whole
+  from both_sides
+),
+summed as (select side, page_id, url, octet_length(encode(whole)) as n, sha256(whole) as digest from records),
+ranked as (
+  select a.page_id, a.url, a.n as length, a.digest as digest_a, b.digest as digest_b,
+         row_number() over (order by a.page_id, a.url) - 1 as r
+  from summed a left join summed b on b.side = 'b' and b.page_id = a.page_id and b.url = a.url
+  where a.side = 'a'
+),
+placed as (
+  select *, r // 4096 as archive, r % 4096 as record_no,
+         coalesce(sum(length) over (partition by r // 4096 order by r rows between unbounded preceding and 1 preceding), 0)
+           as start
+  from ranked
+)
+select page_id, url, archive::bigint as archive, record_no::bigint as record_no, start::bigint as "offset",
+       length::bigint as length, case when digest_b is null then 'missing' else 'changed' end as status,
+       digest_a, digest_b
+from placed where digest_b is null or digest_a <> digest_b
 """,
     "op10_invindex": r"""
 with d as (
