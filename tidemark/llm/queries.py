@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     binpack,
     capfilter,
+    htmltext,
     invindex,
     labelled,
     maglev,
@@ -20,6 +21,10 @@ from tidemark.llm import (
 from tidemark.llm.common import table
 
 
+def op1_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def _judged(scored: DataFrame, least: float) -> DataFrame:
     return scored.select(
         "doc_id",
@@ -87,6 +92,7 @@ def op10_invindex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_htmltext": op1_htmltext,
     "op2_toxicity": op2_toxicity,
     "op3_maglev": op3_maglev,
     "op4_capfilter": op4_capfilter,
