@@ -56,14 +56,15 @@ class SimHash:
     recall: float = 0.97
 
 
-def jaccard_simhash(words: int = 5, similarity: float = 0.8, bits: int = 512) -> SimHash:
+def jaccard_simhash(words: int = 5, similarity: float = 0.8, bits: int = 1024) -> SimHash:
     """Links of shingle sets with Jaccard ``similarity`` or more, judged by the Hamming distance.
 
-    Sets of Jaccard J have cosine 2J/(1+J); a bit differs with probability angle/pi. The radius is two
-    standard deviations above the mean distance at ``similarity``.
+    Sets of Jaccard J have cosine 2J/(1+J); a bit differs with probability angle/pi. The radius is 1.64
+    standard deviations above the mean distance at ``similarity``, which keeps 95 % of the pairs at just that
+    similarity, over 99.9 % from 0.85 on, and links few pairs below 0.72.
     """
     p = flip_probability(similarity)
-    radius = math.floor(bits * p + 2 * math.sqrt(bits * p * (1 - p)))
+    radius = math.floor(bits * p + 1.64 * math.sqrt(bits * p * (1 - p)))
     return SimHash(words, bits, radius, True, similarity=similarity)
 
 
