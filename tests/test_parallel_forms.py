@@ -17,7 +17,7 @@ def test_chunks_of_one_row_are_the_exact_learner(spark, loss):
         x = [rng.random(), rng.random()]
         rows.append(("a", i, x, float(x[0] > 0.5) if loss != learners.SQUARED else 5 * x[0]))
     df = spark.createDataFrame(rows, "k string, instance_id long, features array<double>, actual double")
-    out = chunk_linear.chunked_linear(df, ["k"], loss, eta=0.5, chunk_rows=1)
+    out = chunk_linear.chunked_linear(df, ["k"], loss, eta=0.5, first_rows=1, most_rows=1)
     got = {r.instance_id: r.prediction for r in out.collect()}
     model = learners.Linear(loss, eta=0.5, schedule="constant")
     for _, i, x, y in rows:
@@ -32,7 +32,7 @@ def test_chunked_learner_separates(spark):
     df = spark.createDataFrame(rows, "k string, instance_id long, features array<double>").withColumn(
         "actual", (F.col("features")[0] > 0).cast("double")
     )
-    out = chunk_linear.chunked_linear(df, ["k"], learners.PASSIVE_AGGRESSIVE, chunks=4)
+    out = chunk_linear.chunked_linear(df, ["k"], learners.PASSIVE_AGGRESSIVE, first_rows=500)
     late = out.filter("instance_id > 2000").agg(F.avg((F.col("prediction") == F.col("actual")).cast("int"))).first()[0]
     assert out.count() == 4000 and late > 0.9
 

@@ -54,7 +54,7 @@ def concept(n, task, flip_at=None, seed=2):
 @pytest.mark.parametrize("task,members", [("classification", 1), ("classification", 3), ("regression", 1), ("regression", 3)])
 def test_learns_the_concept(spark, task, members):
     df = spark.createDataFrame(concept(2000, task), SCHEMA)
-    o = trees.TreeOptions(task, members, chunks=4, min_chunk_rows=500, detect=False)
+    o = trees.TreeOptions(task, members, first_rows=500, detect=False)
     out = trees.prequential_trees(df, ["dataset"], 3, o)
     assert out.count() == 2000
     assert out.filter("instance_id <= 500 and prediction is not null").count() == 0
@@ -64,7 +64,7 @@ def test_learns_the_concept(spark, task, members):
 
 def test_drift_starts_a_new_tree(spark):
     df = spark.createDataFrame(concept(6000, "classification", flip_at=3001), SCHEMA)
-    o = trees.TreeOptions(chunks=6, min_chunk_rows=1000)
+    o = trees.TreeOptions(first_rows=1000, most_rows=1000)
     out = trees.prequential_trees(df, ["dataset"], 3, o)
     drifts = [r.instance_id for r in out.filter("drift").orderBy("instance_id").collect()]
     assert any(3000 < d <= 4000 for d in drifts)
@@ -74,7 +74,7 @@ def test_drift_starts_a_new_tree(spark):
 
 def test_partitioning_does_not_change_the_result(spark):
     df = spark.createDataFrame(concept(1200, "classification"), SCHEMA)
-    o = trees.TreeOptions(members=2, chunks=3, min_chunk_rows=400, detect=False)
+    o = trees.TreeOptions(members=2, first_rows=400, detect=False)
     a = trees.prequential_trees(df.repartition(1), ["dataset"], 3, o)
     b = trees.prequential_trees(df.repartition(7), ["dataset"], 3, o)
     assert a.select("instance_id", "prediction").exceptAll(b.select("instance_id", "prediction")).count() == 0
@@ -83,3 +83,25 @@ def test_partitioning_does_not_change_the_result(spark):
 def test_poisson_weights(spark):
     r = spark.range(20000).select(trees.poisson_weight(6.0, F.lit(1), F.col("id")).alias("w")).agg(F.avg("w"), F.var_samp("w")).first()
     assert abs(r[0] - 6) < 0.1 and abs(r[1] - 6) < 0.3
+
+
+def test_subsets_have_the_exact_size(spark):
+    picked = trees.feature_subset(64, 9, F.lit(1), "id")
+    sizes = spark.range(200).select(F.size(F.array_distinct(picked)).alias("s"), F.array_max(picked).alias("m"))
+    assert {r.s for r in sizes.collect()} == {9} and max(r.m for r in sizes.collect()) <= 63
+
+
+def test_more_rows_and_other_streams_change_nothing_earlier(spark):
+    long = [("long", *r[1:]) for r in concept(1700, "classification", seed=5)]
+    short = [("short", *r[1:]) for r in concept(900, "classification", seed=6)]
+    o = trees.TreeOptions(first_rows=100, grace_rows=50, split_delta=1e-3)
+
+    def run(rows):
+        out = trees.prequential_trees(spark.createDataFrame(rows, SCHEMA), ["dataset"], 3, o)
+        return {(r.dataset, r.instance_id): (r.prediction, r.drift, r.segment) for r in out.collect()}
+
+    alone, both = run(short), run(short + long)
+    assert {k: v for k, v in both.items() if k[0] == "short"} == alone
+    prefix = run(long[:700])
+    assert {k: both[k] for k in prefix} == prefix
+    assert sum(v[0] is not None for v in alone.values()) == 800

@@ -522,8 +522,12 @@ ORACLES: dict[str, str] = {
 }
 
 
+CHUNKS = 5  # enough for the 10,000 rows that the oracle runs on
+
+
 def _chunked(loss: str) -> str:
-    """Four chunks of one stream, the weights moving between chunks by the mean step."""
+    """Doubling chunks of one stream, the weights moving between chunks by the mean step."""
+    chunk = "CASE " + " ".join(f"WHEN n <= {1250 << i} THEN {i}" for i in range(CHUNKS)) + " END"
     sign = "(CASE WHEN y > 0.5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END)"
     score = "(coalesce(w1, 0) * x1 + coalesce(w2, 0) * x2 + coalesce(b, 0))"
     step = (
@@ -533,10 +537,10 @@ def _chunked(loss: str) -> str:
     )
     ctes = [
         f"k AS (SELECT instance_id, x1, x2, CASE WHEN value > 50 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y, "
-        f"(row_number() OVER (ORDER BY instance_id) - 1) // ((count(*) OVER () + 3) // 4) AS chunk FROM ({FEATURES}))",
+        f"{chunk} AS chunk FROM (SELECT *, row_number() OVER (ORDER BY instance_id) AS n FROM ({FEATURES})))",
         "m0 AS (SELECT NULL::DOUBLE AS w1, NULL::DOUBLE AS w2, NULL::DOUBLE AS b)",
     ]
-    for i in range(3):
+    for i in range(CHUNKS - 1):
         ctes.append(
             f"m{i + 1} AS (SELECT coalesce(max(w1), 0) + avg(({step}) * x1) AS w1, coalesce(max(w2), 0) + avg(({step}) * x2) AS w2, "
             f"coalesce(max(b), 0) + avg({step}) AS b FROM k, m{i} WHERE chunk = {i})"
@@ -544,7 +548,7 @@ def _chunked(loss: str) -> str:
     parts = " UNION ALL ".join(
         f"SELECT 'events' AS dataset, 'classification' AS task, instance_id, CASE WHEN w1 IS NULL THEN NULL "
         f"WHEN w1 * x1 + w2 * x2 + b > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, y AS actual FROM k, m{i} WHERE chunk = {i}"
-        for i in range(4)
+        for i in range(CHUNKS)
     )
     return "WITH " + ", ".join(ctes) + " " + parts
 

@@ -342,7 +342,7 @@ def sgd_stream_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _chunked(task: str, loss: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = _user_stream(spark, sf_dir, task, loss)
-        return _rounded(chunk_linear.chunked_linear(rows, ["dataset", "task"], loss, chunks=4, eta=0.5))
+        return _rounded(chunk_linear.chunked_linear(rows, ["dataset", "task"], loss, first_rows=1250, eta=0.5))
 
     return run
 
@@ -376,10 +376,10 @@ def _trees(task: str, members: int, wide: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if wide:
             rows, size = tables.feature_vectors(spark, sf_dir).withColumn("actual", F.col("label")), 64
-            options = trees.TreeOptions(task, members, chunks=5, min_chunk_rows=100, grace_rows=50, split_delta=1e-3)
+            options = trees.TreeOptions(task, members, first_rows=100, grace_rows=50, split_delta=1e-3)
         else:
             rows, size = tables.instances_regression(spark, sf_dir).withColumn("actual", F.col("target")), 2
-            options = trees.TreeOptions(task, members, chunks=5, min_chunk_rows=100)
+            options = trees.TreeOptions(task, members)
         scaled = preprocess.normalize_stream(rows, ["dataset", "task"], size)
         return trees.prequential_trees(scaled, ["dataset", "task"], size, options)
 

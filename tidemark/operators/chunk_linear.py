@@ -2,8 +2,8 @@
 
 Within a chunk the weights stay fixed: its rows are predicted with them (test-then-train at chunk
 grain) and their update steps are summed by one map-side aggregate, to be applied before the next
-chunk. With one row per chunk this is the row-by-row learner. The number of chunks is a setting and
-does not grow with the data, so a single huge stream costs ``chunks`` parallel passes over its parts.
+chunk. With one row per chunk this is the row-by-row learner. Chunks double in size, so a single huge
+stream costs a number of parallel passes over its parts that grows with the logarithm of its length.
 """
 
 from __future__ import annotations
@@ -16,9 +16,12 @@ from pyspark.sql import types as T
 
 from tidemark.operators.learners import HINGE, PASSIVE_AGGRESSIVE, PERCEPTRON, SQUARED
 from tidemark.plans.blocked import Scan, prefix_scan
+from tidemark.plans.chunks import chunk_count, chunk_of
 from tidemark.session import materialize, scratch_path
 
 SALTS = 64
+FIRST_ROWS = 1000
+MOST_ROWS = 4_000_000
 
 
 def step_size(loss: str, score: Column, y: Column, squared_norm: Column, eta: float, c: float = 1.0) -> Column:
@@ -47,11 +50,14 @@ def chunked_linear(
     order: str = "instance_id",
     eta: float = 0.01,
     c: float = 1.0,
-    chunks: int = 8,
-    chunk_rows: int | None = None,
+    first_rows: int = FIRST_ROWS,
+    most_rows: int = MOST_ROWS,
     mean_step: bool = True,
 ) -> DataFrame:
-    """Predictions of the chunk-synchronous learner (no prediction in a key's first chunk).
+    """Predictions of the chunk-synchronous learner (no prediction in a key's first ``first_rows`` rows).
+
+    The chunks (``plans.chunks``) depend on the row position only: a longer stream, or other streams beside,
+    never change earlier predictions.
 
     ``mean_step`` divides a chunk's summed step by its rows, which keeps large chunks stable.
     """
@@ -62,14 +68,13 @@ def chunked_linear(
     )
     placed = materialize(prefix_scan(rows, keys, order, {"n": Scan("count", F.lit(True))}), "linear-rows")
     longest = placed.agg(F.max("n")).first()[0] or 0
-    size = chunk_rows or max(1, -(-longest // chunks))
     base = scratch_path(spark, "linear")
-    placed.withColumn("chunk", F.expr(f"cast((n - 1) div {size} as int)")).write.partitionBy("chunk").parquet(f"{base}/rows")
+    placed.withColumn("chunk", chunk_of(F.col("n"), first_rows, most_rows)).write.partitionBy("chunk").parquet(f"{base}/rows")
     weights = spark.createDataFrame(
         [], T.StructType([*[placed.schema[k] for k in keys], T.StructField("w", T.ArrayType(T.DoubleType()))])
     )
     out_schema = None
-    count = -(-longest // size)
+    count = chunk_count(longest, first_rows, most_rows)
     for chunk in range(count):
         part = spark.read.schema(placed.schema).parquet(f"{base}/rows/chunk={chunk}")
         # one weight row per key, copied to every salt: a large stream meets it on many partitions

@@ -3,8 +3,9 @@
 A stream is cut into chunks. The rows of a chunk are predicted by the trees as they stood before it
 (test-then-train at chunk grain), then added to per-leaf histograms, from which leaves are split
 (Domingos and Hulten 2000; Ikonomovska et al. 2011; Gomes et al. 2017). The work inside a chunk is
-one parallel aggregate over its rows, however large; the number of chunks does not grow with the
-data. A tree is two small tables:
+one parallel aggregate over its rows, however large; chunks double in size up to a ceiling and depend
+on the row position only (``plans.chunks``), so more rows or other streams never change earlier output. A
+tree grows by at most one level per chunk, to 60 levels at most (node numbers are longs). A tree is two small tables:
 
 ``splits``: keys, member, node, feature, threshold (children of node i are 2i+1 and 2i+2)
 ``stats``: keys, member, node, f, bin, cls, w, sy, syy
@@ -18,7 +19,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.adwin import DELTA, Adwin, Gate
 from tidemark.plans.blocked import Scan, prefix_scan
+from tidemark.plans.chunks import chunk_count, chunk_of
 from tidemark.plans.ordered import run_ordered
 from tidemark.session import materialize, scratch_path
 
@@ -41,8 +43,8 @@ class TreeOptions:
     grace_rows: int = 200
     split_delta: float = 1e-7
     tie: float = 0.05
-    chunks: int = 8
-    min_chunk_rows: int = 1000
+    first_rows: int = 1000
+    most_rows: int = 4_000_000
     poisson_mean: float = 6.0
     seed: int = 1
     detect: bool = True
@@ -50,6 +52,10 @@ class TreeOptions:
     detector_grain: int = 100
     cooldown: int = 2000
 
+    def __post_init__(self) -> None:
+        if self.detect and (self.first_rows % self.detector_grain or self.most_rows % self.detector_grain):
+            raise ValueError("chunk sizes must be multiples of the detector's grain")
+
 
 def bin_of(x: Column, bins: int) -> Column:
     return F.least(F.greatest(F.floor(x * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
@@ -66,6 +72,14 @@ def poisson_weight(mean: float, *keys: Column) -> Column:
     return draw
 
 
+def feature_subset(n_features: int, chosen: int, *keys: Column | str) -> Column:
+    """Exactly ``chosen`` of the features 0, 1, ..., drawn by a hash of ``keys``."""
+    ranked = F.transform(
+        F.sequence(F.lit(0), F.lit(n_features - 1)), lambda p: F.struct(F.xxhash64(*keys, p).alias("h"), p.alias("p"))
+    )
+    return F.transform(F.slice(F.array_sort(ranked), 1, chosen), lambda c: c["p"])
+
+
 def _xlogx(x: Column) -> Column:
     return F.when(x > 0, x * F.log2(x)).otherwise(F.lit(0.0))
 
@@ -294,22 +308,22 @@ def chunk_stats(scored: DataFrame, keys: Sequence[str], o: TreeOptions, n_featur
     flat = scored.select(*keys, "n", "features", "actual", F.explode("visits").alias("v")).select(
         *keys, "n", "features", "actual", "v.member", F.col("v.leaf").alias("node"), "v.guess"
     )
-    weight = F.lit(1) if o.members == 1 else poisson_weight(o.poisson_mean, F.lit(o.seed), F.col("n"), F.col("member"))
+    weight = F.lit(1) if o.members == 1 else poisson_weight(o.poisson_mean, F.lit(o.seed), *keys, F.col("n"), F.col("member"))
     weighted = flat.withColumn("w", weight.cast("double"))
     chosen = min(n_features, int(math.sqrt(n_features)) + 1) if o.members > 1 else n_features
+    weighted = weighted.filter("w > 0")
     # one extra cell per row carries the leaf's mass
-    cells = weighted.filter("w > 0").select(
-        *keys,
-        "member",
-        "node",
-        "w",
-        "actual",
-        F.posexplode(F.concat("features", F.array(F.lit(0.0)))).alias("pos", "x"),
-    )
-    is_mass = F.col("pos") == n_features
     if chosen < n_features:
-        draw = F.pmod(F.xxhash64(F.lit(o.seed), "member", "node", "pos"), F.lit(n_features))
-        cells = cells.filter(is_mass | (draw < chosen))
+        picked = F.transform(
+            feature_subset(n_features, chosen, F.lit(o.seed), *keys, "member", "node"),
+            lambda p: F.struct(p.alias("pos"), F.get("features", p).alias("x")),
+        )
+        mass = F.array(F.struct(F.lit(n_features).alias("pos"), F.lit(0.0).alias("x")))
+        cells = weighted.select(*keys, "member", "node", "w", "actual", F.inline(F.concat(picked, mass)))
+    else:
+        every = F.posexplode(F.concat("features", F.array(F.lit(0.0)))).alias("pos", "x")
+        cells = weighted.select(*keys, "member", "node", "w", "actual", every)
+    is_mass = F.col("pos") == n_features
     cls = F.col("actual").cast("int") if o.task == "classification" else F.lit(0)
     cells = cells.groupBy(
         *keys,
@@ -418,12 +432,8 @@ def prequential_trees(
     numbered = prefix_scan(rows, keys, order, {"n": Scan("count", F.lit(True))})
     placed = materialize(numbered, "tree-rows")
     longest = placed.agg(F.max("n")).first()[0] or 0
-    size = max(o.min_chunk_rows, -(-longest // o.chunks))
-    # the detector reads at most about a thousand groups per run and chunk, however long the chunk
-    o = replace(o, detector_grain=max(o.detector_grain, size // 1000))
-    size = -(-size // o.detector_grain) * o.detector_grain
     base = scratch_path(spark, "trees")
-    placed.withColumn("chunk", F.expr(f"cast((n - 1) div {size} as int)")).write.partitionBy("chunk").parquet(f"{base}/rows")
+    placed.withColumn("chunk", chunk_of(F.col("n"), o.first_rows, o.most_rows)).write.partitionBy("chunk").parquet(f"{base}/rows")
     member = [*keys, "member"]
     fields = [placed.schema[k] for k in keys] + [
         T.StructField("member", T.IntegerType()),
@@ -443,7 +453,7 @@ def prequential_trees(
         ),
     )
     state, drifts, cell = None, None, [*member, "node", "f", "bin", "cls"]
-    count = -(-longest // size)
+    count = chunk_count(longest, o.first_rows, o.most_rows)
     for chunk in range(count):
         part = spark.read.schema(placed.schema).parquet(f"{base}/rows/chunk={chunk}")
         scored = score_chunk(part, _models(stats, splits, keys, o), keys, o, min(chunk, 60))
