@@ -13,7 +13,7 @@ leave-one-out votes makes them probabilities. Index and examples are bounded by
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
@@ -23,34 +23,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import labelled
-from tidemark.llm.common import mapped, text_bytes, texts
+from tidemark.llm.common import mapped, small_batches, text_bytes, texts
 from tidemark.llm.invindex import words
 
 TERMS = 1024
 CHI_SQUARE = 30.0  # some one in ten million by chance
 NEIGHBOURS = 15
 BLOCK = 64
+VISIT_FIRST = 4
 SOFTEN = 0.05
 PREFIXES = (4, 5, 6, 7, 8)
 LEVELS = (2, 4)
 COMMON_WEIGHT = 8.0
 
 
-def analyze(text: bytes, known: frozenset[bytes] | None = None) -> dict[bytes, int]:
+class Known:
+    """The words and word beginnings that a fitted model asks for."""
+
+    def __init__(self, terms: Iterable[bytes] = ()):
+        plain = {t.partition(b"#")[0] for t in terms}
+        starts = {t[:-1] for t in plain if t.endswith(b"*")}
+        self.words = frozenset(t for t in plain if not t.endswith(b"*"))
+        self.starts = {n: frozenset(s for s in starts if len(s) == n) for n in PREFIXES}
+
+
+def analyze(text: bytes, known: Known | None = None) -> dict[bytes, int]:
     """Counts of words and of the beginnings (a trailing star) of longer words; ``term#2`` marks repeated terms.
 
-    With ``known`` terms only those (without marks) are counted, which is all that a fitted model asks for.
+    With ``known`` terms only those and their marks are counted.
     """
     single: dict[bytes, int] = {}
     for word in words(text):
         single[word] = single.get(word, 0) + 1
-    counts = dict(single) if known is None else {w: single[w] for w in single.keys() & known}
-    for word, count in single.items():
-        for size in PREFIXES:
-            if len(word) > size:
-                start = word[:size] + b"*"
-                if known is None or start in known:
-                    counts[start] = counts.get(start, 0) + count
+    counts = dict(single) if known is None else {w: single[w] for w in single.keys() & known.words}
+    for size in PREFIXES:
+        starts = None if known is None else known.starts[size]
+        for word, count in single.items():
+            start = word[:size]
+            if (starts is None or start in starts) and len(word) > size:
+                start += b"*"
+                counts[start] = counts.get(start, 0) + count
     for term, count in list(counts.items()):
         for level in LEVELS:
             if count >= level:
@@ -58,49 +70,57 @@ def analyze(text: bytes, known: frozenset[bytes] | None = None) -> dict[bytes, i
     return counts
 
 
-def without_marks(terms: Iterable[bytes]) -> frozenset[bytes]:
-    return frozenset(t.partition(b"#")[0] for t in terms)
-
-
 @dataclass
 class BlockMaxIndex:
     """Unit example vectors as postings by term, with the largest weight of each term in each block."""
 
-    rows: list[np.ndarray]
-    weights: list[np.ndarray]
+    rows: np.ndarray  # all postings, term by term, each in row order
+    weights: np.ndarray
+    cuts: np.ndarray  # (terms, blocks + 1): where each block's postings of a term begin
     bounds: np.ndarray  # (terms, blocks)
-    cuts: np.ndarray  # (terms, blocks + 1): where a block's postings begin
     size: int
 
     @classmethod
     def build(cls, matrix: np.ndarray) -> BlockMaxIndex:
         size, terms = matrix.shape
         blocks = max(1, -(-size // BLOCK))
-        rows = [np.flatnonzero(matrix[:, t]) for t in range(terms)]
-        weights = [matrix[r, t] for t, r in enumerate(rows)]
+        term, row = np.nonzero(matrix.T)
+        weights = matrix[row, term]
         bounds = np.zeros((terms, blocks))
-        cuts = np.zeros((terms, blocks + 1), dtype=np.int64)
-        for t in range(terms):
-            np.maximum.at(bounds[t], rows[t] // BLOCK, weights[t])
-            cuts[t] = np.searchsorted(rows[t], np.arange(blocks + 1) * BLOCK)
-        return cls(rows, weights, bounds, cuts, size)
+        np.maximum.at(bounds, (term, row // BLOCK), weights)
+        places = np.arange(terms)[:, None] * size + np.minimum(np.arange(blocks + 1) * BLOCK, size)[None, :]
+        return cls(row, weights, np.searchsorted(term * size + row, places), bounds, size)
+
+    def _scores(self, terms: np.ndarray, values: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        low, high = self.cuts[terms[:, None], blocks], self.cuts[terms[:, None], blocks + 1]
+        count = (high - low).ravel()
+        ahead = np.cumsum(count) - count
+        at = np.repeat(low.ravel() - ahead, count) + np.arange(int(count.sum()))
+        value = np.repeat(np.repeat(values, len(blocks)), count)
+        return np.bincount(self.rows[at], weights=value * self.weights[at], minlength=self.size)
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` best (rows, similarities > 0); of equal ones at the end, those in blocks visited first."""
+        """The ``k`` best (rows, similarities > 0); of equal ones at the end, those in blocks visited first.
+
+        The blocks with the largest bounds are scored first; of the others only those whose bound exceeds the
+        k-th best similarity so far.
+        """
+        if not self.size:
+            return np.empty(0, dtype=np.int64), np.empty(0)
         bounds = values @ self.bounds[terms]
         order = np.argsort(-bounds, kind="stable")
-        found: list[tuple[float, int]] = []
-        for block in order:
-            if bounds[block] <= 0 or len(found) >= k and bounds[block] <= found[k - 1][0]:
-                break
-            scores = np.zeros(BLOCK)
-            for term, value in zip(terms, values):
-                low, high = self.cuts[term, block], self.cuts[term, block + 1]
-                scores[self.rows[term][low:high] - block * BLOCK] += value * self.weights[term][low:high]
-            hit = np.flatnonzero(scores > 0)
-            found += [(round(float(scores[i]), 9), int(block * BLOCK + i)) for i in hit if block * BLOCK + i != skip]
-            found = sorted(found, key=lambda f: (-f[0], f[1]))[:k]
-        return np.array([r for _, r in found], dtype=np.int64), np.array([s for s, _ in found])
+        order = order[bounds[order] > 0]
+        scores = np.zeros(self.size)
+        for blocks in (order[:VISIT_FIRST], order[VISIT_FIRST:]):
+            least = np.partition(scores, -k)[-k] if k <= self.size else 0.0
+            wanted = blocks[bounds[blocks] > least]
+            if len(wanted):
+                scores += np.round(self._scores(terms, values, wanted), 9)
+                if 0 <= skip < self.size:
+                    scores[skip] = 0
+        best = np.argsort(-scores, kind="stable")[:k]
+        best = best[scores[best] > 0]
+        return best, scores[best]
 
 
 @dataclass
@@ -114,7 +134,7 @@ class ToxicityModel:
     shift: float
     k: int
 
-    known: frozenset[bytes] = frozenset()
+    known: Known = field(default_factory=Known)
     plain: tuple[float, np.ndarray, np.ndarray] | None = None  # the answer for texts without a term
 
     def vector(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +177,10 @@ def logistic(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
         gradient = x.T @ (p - target) + 1e-3 * weights
         hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
         weights -= np.clip(np.linalg.solve(hessian, gradient), -4, 4)
-    return max(float(weights[0]), 1e-6), float(weights[1])
+    if weights[0] <= 0:  # the votes tell nothing: nearly the share of label 1 for all
+        share = (pos + 1) / (len(labels) + 2)
+        return 1e-6, float(np.log(share / (1 - share)))
+    return float(weights[0]), float(weights[1])
 
 
 def fit(
@@ -178,7 +201,7 @@ def fit(
     ranked = labelled.term_labels(chosen).withColumn("chi", chi).filter(F.col("chi") >= CHI_SQUARE)
     top = ranked.orderBy(F.desc("chi"), "term").limit(terms).collect()
     vocabulary = sorted(bytes(r["term"]) for r in top)
-    known = without_marks(vocabulary)
+    known = Known(vocabulary)
     count, frequency = labelled.document_frequency(docs, vocabulary, partial(analyze, known=known))
     idf = np.log((1 + count) / (1 + frequency)) + 1e-3
     numbers = {t: i for i, t in enumerate(vocabulary)}
@@ -220,6 +243,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def score_column(docs: DataFrame, model: ToxicityModel) -> Column:
     """The score of the column ``text`` of ``docs``, for filters that keep all other columns."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
