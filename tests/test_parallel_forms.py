@@ -1,4 +1,4 @@
-"""Forms that split one large key: chunked learners, exact quantiles, paged event lists."""
+"""Forms that split one large key: chunked learners, exact quantiles, bounded event lists."""
 
 import random
 import statistics
@@ -57,7 +57,7 @@ def test_quantiles(spark, bins):
     assert got["many"].c == pytest.approx(statistics.median(groups["many"]))
 
 
-def test_event_lists_are_paged(spark):
+def test_one_summary_row_per_run(spark):
     keys = ["dataset", "task", "model"]
     events = spark.range(1, 26).select(
         F.lit("d").alias("dataset"),
@@ -68,7 +68,7 @@ def test_event_lists_are_paged(spark):
         F.current_timestamp().alias("timestamp"),
     )
     summary = spark.createDataFrame([("d", "regression", "m", 60000, 25), ("d", "regression", "none", 10, 0)], "dataset string, task string, model string, total_instances long, drift_events long")
-    out = metrics.with_drift_details(summary, events, keys, page_rows=10).collect()
-    sizes = sorted(len(r.drift_details) for r in out if r.model == "m")
-    assert sizes == [5, 10, 10]
-    assert [(r.page, r.drift_details) for r in out if r.model == "none"] == [(0, None)]
+    out = metrics.with_drift_details(summary, events, keys, listed=10).collect()
+    by_model = {r.model: r for r in out}
+    assert len(out) == 2 and by_model["m"].drift_events == 25 and by_model["none"].drift_details is None
+    assert [d.instance_id for d in by_model["m"].drift_details] == list(range(2000, 20001, 2000))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import metrics
 from tidemark.operators.prequential import Detection, prequential
 from tidemark.sources import streams
-from tidemark.streaming.prequential import drain, stream_metrics, upsert_batches
+from tidemark.streaming.prequential import Sequencer, drain, stream_metrics, upsert_batches
 
 KEYS = ["dataset", "task", "model"]
 
@@ -62,3 +62,49 @@ def test_repeated_batches_replace_themselves(spark, sf_small, tmp_path):
     upsert_batches(received, f"{root}/out", f"{root}/checkpoint")
     upsert_batches(received, f"{root}/out", f"{root}/checkpoint")
     assert spark.read.parquet(f"{root}/out").count() == 1000
+
+
+def test_order_of_files_and_micro_batches_changes_nothing(spark, sf_small, tmp_path):
+    rows, logs = instances(spark, sf_small), {}
+    # four files whose ids interleave, and a replayed part
+    mixed = rows.union(rows.filter("instance_id % 10 = 3")).repartition(4, F.col("instance_id") % 7)
+    streams.encode(mixed).write.text(f"{tmp_path}/in")
+    for files in (1, 4):
+        received = streams.decode(
+            streams.read_files(spark, f"{tmp_path}/in", "value string", "text", files_per_trigger=files)
+        )
+        runs = received.select(
+            "dataset", "task", F.lit("sgd").alias("model"), "instance_id", "features", streams.actual().alias("actual")
+        )
+        drain(stream_metrics(runs, KEYS, detection=None, log_every=1), f"{tmp_path}/out{files}", f"{tmp_path}/cp{files}")
+        got = spark.read.parquet(f"{tmp_path}/out{files}")
+        logs[files] = {r.instance: (r.n, r.cumulative_mae, r.window_mse) for r in got.collect()}
+        assert got.agg(F.max("duplicate_rows"), F.max("late_rows")).first()[1] == 0
+    assert logs[1] == logs[4] and sorted(logs[1]) == list(range(2, 1001))
+
+
+def test_sequencer_counts_late_and_duplicate_rows():
+    queue, seen = Sequencer(1, hold_rows=3), []
+
+    def feed(*ids):
+        for i in ids:
+            queue.push(i, [i])
+        seen.extend(i for i, _ in queue.ready())
+
+    feed(2, 1, 1, 4)
+    assert seen == [1, 2] and queue.duplicate_rows == 1
+    feed(4, 6, 7, 8)  # four rows wait behind 3: it is given up, and so is nothing else
+    assert seen == [1, 2, 4] and queue.duplicate_rows == 2
+    restored = Sequencer(1, hold_rows=3)
+    restored.from_state(queue.to_state())
+    queue = restored
+    feed(3, 3, 5)
+    assert seen == [1, 2, 4, 5, 6, 7, 8] and (queue.late_rows, queue.duplicate_rows) == (1, 3)
+    feed(11)
+    assert [i for i, _ in queue.flush()] == [11] and queue.skipped == [[9, 10]]
+    free = Sequencer(None)
+    for i in (5, 3):
+        free.push(i, [i])
+    assert [i for i, _ in free.ready()] == [3, 5]
+    free.push(4, [4])
+    assert list(free.ready()) == [] and free.late_rows == 1

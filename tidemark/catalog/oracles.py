@@ -299,6 +299,12 @@ def _normalize(source: str, columns: str) -> str:
 SCALED = "CASE WHEN n < 100 THEN x WHEN hi = lo THEN x - lo ELSE (x - lo) / (hi - lo) END"
 LOGGED = "cumulative_accuracy, window_accuracy, cumulative_mae, cumulative_mse, window_mae"
 
+RATES = """WITH s AS (SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS "at", max(event_id) AS instances FROM events GROUP BY ALL),
+      l AS (SELECT *, instances - lag(instances) OVER w AS g, (epoch_us("at") - lag(epoch_us("at")) OVER w) / 1e6::DOUBLE AS sec FROM s
+        WINDOW w AS (PARTITION BY event_type ORDER BY "at"))
+      SELECT event_type, "at", instances, CASE WHEN g > 0 AND sec > 0 THEN g / sec ELSE 0.0::DOUBLE END AS rate FROM l"""
+
+
 ORACLES: dict[str, str] = {
     "inject_label_swap": """SELECT event_id + 1 AS instance_id,
       (CASE WHEN (value > 50) = (event_id + 1 < 4000) THEN 1 ELSE 0 END)::INT AS label, event_id + 1 >= 4000 AS drift_injected FROM events""",
@@ -387,8 +393,9 @@ ORACLES: dict[str, str] = {
       SELECT 'events' AS dataset, id AS instance_id, id IN (SELECT id FROM g WHERE id IS NOT NULL) AS accepted FROM a""",
     "drift_detection_delay": with_(
         PRED,
-        f"""SELECT {KEYS}, min(CASE WHEN instance_id >= 4000 THEN instance_id END) - 4000 AS detection_delay,
-        count(*) FILTER (WHERE instance_id < 4000) AS false_alarms, count(*) AS alarms FROM pred WHERE drift GROUP BY ALL""",
+        f"""SELECT {KEYS}, min(CASE WHEN drift AND instance_id >= 4000 THEN instance_id END) - 4000 AS detection_delay,
+        count(*) FILTER (WHERE drift AND instance_id < 4000) AS false_alarms, count(*) FILTER (WHERE drift) AS alarms
+        FROM pred GROUP BY ALL""",
     ),
     "knn_classify": _knn(False),
     "knn_regress": _knn(True),
@@ -488,15 +495,14 @@ ORACLES: dict[str, str] = {
     ),
     "run_comparison": with_(SUMMARY, f"SELECT {KEYS}, total_instances, drift_events, {LOGGED} FROM runs"),
     "live_stats": with_(
-        LATEST,
+        LATEST + f", rates AS ({RATES})",
         """SELECT max(instance) AS max_instance, sum(instance)::BIGINT AS total_instances,
           round(avg(cumulative_accuracy) FILTER (WHERE task = 'classification'), 9) AS average_accuracy,
-          count(DISTINCT model) AS active_models, (SELECT count(*) FROM drifts) AS drift_events FROM latest""",
+          count(DISTINCT model) AS active_models, (SELECT count(*) FROM drifts) AS drift_events,
+          (SELECT round(sum(rate), 9) FROM (SELECT arg_max(rate, "at") AS rate FROM rates GROUP BY event_type)) AS processing_rate
+        FROM latest""",
     ),
-    "processing_rate": """WITH s AS (SELECT event_type, date_trunc('hour', ts)::TIMESTAMP AS "at", max(event_id) AS instances FROM events GROUP BY ALL),
-      l AS (SELECT *, instances - lag(instances) OVER w AS g, (epoch_us("at") - lag(epoch_us("at")) OVER w) / 1e6::DOUBLE AS sec FROM s
-        WINDOW w AS (PARTITION BY event_type ORDER BY "at"))
-      SELECT event_type, "at", instances, CASE WHEN g > 0 AND sec > 0 THEN g / sec ELSE 0.0::DOUBLE END AS rate FROM l""",
+    "processing_rate": RATES,
     "first_models": with_(MET + IMPACT, "SELECT model, min(drift_instance) AS first_seen FROM impact GROUP BY model ORDER BY first_seen, model LIMIT 3"),
     "distinct_lists": with_(
         MET,

@@ -243,7 +243,7 @@ def drift_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_detection_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inject.detection_delay(_drifts(spark, sf_dir), KEYS, drift_point=4000)
+    return inject.detection_delay(_pred(spark, sf_dir), _drifts(spark, sf_dir), KEYS, drift_point=4000)
 
 
 def _injected_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -480,15 +480,19 @@ def run_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def live_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(compare.live_stats(_log(spark, sf_dir), _drifts(spark, sf_dir)), 9)
+    stats = compare.live_stats(_log(spark, sf_dir), _drifts(spark, sf_dir), _hourly(spark, sf_dir), ["event_type"])
+    return _rounded(stats, 9)
 
 
-def processing_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly snapshots of how many events each type has seen."""
-    hourly = table(spark, sf_dir, "events").groupBy("event_type", F.date_trunc("hour", "ts").alias("at")).agg(
+    return table(spark, sf_dir, "events").groupBy("event_type", F.date_trunc("hour", "ts").alias("at")).agg(
         F.max("event_id").alias("instances")
     )
-    return compare.processing_rate(hourly, ["event_type"])
+
+
+def processing_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.processing_rate(_hourly(spark, sf_dir), ["event_type"])
 
 
 def first_models(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -575,7 +579,8 @@ def stream_preq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     cls = tables.instances_classification(spark, sf_dir)
     for sent in (reg, cls):
         streams.encode(sent).write.mode("append").text(f"{root}/in")
-    received = streams.decode(spark.readStream.text(f"{root}/in"))
+    # a few files at a time, in whatever order: early rows wait in the state
+    received = streams.decode(streams.read_files(spark, f"{root}/in", "value string", "text", files_per_trigger=4))
     runs = received.select(
         "dataset", "task", F.lit("last").alias("model"), "instance_id", "features", streams.actual().alias("actual")
     )

@@ -64,15 +64,24 @@ def best_runs(summary: DataFrame, by: Sequence[str] = ("dataset", "task")) -> Da
     return best.select(*by, *[F.col(f"first.{f}") for f in fields], "first.value").select(*KEYS, "value")
 
 
-def live_stats(log: DataFrame, drifts: DataFrame) -> DataFrame:
-    """One row: furthest instance, sum of run lengths, drift events, mean accuracy, active models."""
+def live_stats(log: DataFrame, drifts: DataFrame, snapshots: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: furthest instance, sum of run lengths, drift events, mean accuracy, active models, rate.
+
+    The rate is the sum over ``keys`` of the instances per second between their two latest ``snapshots``.
+    """
     figures = latest(log).agg(
         F.max("instance").alias("max_instance"),
         F.sum("instance").alias("total_instances"),
         F.avg(F.when(F.col("task") == "classification", F.col("cumulative_accuracy"))).alias("average_accuracy"),
         F.count_distinct("model").alias("active_models"),
     )
-    return figures.withColumn("drift_events", drifts.agg(F.count(F.lit(1))).scalar())
+    rates = processing_rate(snapshots, keys).groupBy(*keys).agg(F.max_by("rate", "at").alias("rate"))
+    return figures.withColumns(
+        {
+            "drift_events": drifts.agg(F.count(F.lit(1))).scalar(),
+            "processing_rate": rates.agg(F.sum("rate")).scalar(),
+        }
+    )
 
 
 def processing_rate(snapshots: DataFrame, keys: Sequence[str]) -> DataFrame:

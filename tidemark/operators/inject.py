@@ -37,10 +37,16 @@ def inject_target_scale(
     )
 
 
-def detection_delay(events: DataFrame, keys: list[str], drift_point: int, order: str = "instance_id") -> DataFrame:
-    """Delay of the first alarm at or after the injected point, and the number of alarms before it."""
-    return events.groupBy(*keys).agg(
+def detection_delay(
+    runs: DataFrame, events: DataFrame, keys: list[str], drift_point: int, order: str = "instance_id"
+) -> DataFrame:
+    """Delay of the first alarm at or after the injected point, and the number of alarms before it.
+
+    One row for each of ``runs`` (rows that carry the keys); a run that was never alarmed has a null delay.
+    """
+    found = events.groupBy(*keys).agg(
         (F.min(F.when(F.col(order) >= drift_point, F.col(order))) - drift_point).alias("detection_delay"),
         F.count_if(F.col(order) < drift_point).alias("false_alarms"),
         F.count(F.lit(1)).alias("alarms"),
     )
+    return runs.select(*keys).distinct().join(found, keys, "left").fillna(0, ["false_alarms", "alarms"])

@@ -25,6 +25,7 @@ from tidemark.plans.blocked import (
 
 WINDOW_ROWS = 1000
 WARMUP_ROWS = 200
+LISTED_DRIFTS = 100_000
 LOG_EVERY = 1000
 
 
@@ -238,19 +239,19 @@ def run_summary(
 
 
 def with_drift_details(
-    summary: DataFrame, events: DataFrame, keys: Sequence[str], page_rows: int = 100_000
+    summary: DataFrame, events: DataFrame, keys: Sequence[str], listed: int = LISTED_DRIFTS
 ) -> DataFrame:
-    """Attach the nested event list of the run-summary record.
+    """Attach the nested event list of the run-summary record: one row per run.
 
-    A run has one record (``page`` 0) unless it has more than ``page_rows`` drifts; then the list
-    goes on in further records, so no list grows without bound.
+    The list holds the first ``listed`` drifts in order, so no row grows without bound; ``drift_events`` of
+    the summary counts all, and ``events`` itself is the full list.
     """
     keys = list(keys)
     ranked = prefix_scan(events, keys, "instance_id", {"__r": Scan("count", F.lit(True))})
-    details = ranked.groupBy(*keys, F.expr(f"(__r - 1) div {page_rows}").alias("page")).agg(
+    details = ranked.filter(F.col("__r") <= listed).groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("instance_id", "detector", "timestamp"))).alias("drift_details")
     )
-    return summary.join(details, keys, "left").withColumn("page", F.coalesce("page", F.lit(0)))
+    return summary.join(details, keys, "left")
 
 
 def rows_since_drift(

@@ -48,10 +48,9 @@ def write_run_summaries(summary: DataFrame, root: str) -> None:
     named = summary.withColumn(
         "run", run_file_name(F.col("dataset"), F.col("task"), F.col("model"), "_metrics_results.json")
     )
-    kept = [c for c in summary.columns if c not in ("dataset", "task", "model", "page")]
+    kept = [c for c in summary.columns if c not in ("dataset", "task", "model")]
     # the reader takes one object per file
-    pages = ["run", "page"] if "page" in summary.columns else ["run"]
-    one = named.repartition(*pages).sortWithinPartitions(*pages).select("run", *kept)
+    one = named.repartition("run").sortWithinPartitions("run").select("run", *kept)
     one.write.option("maxRecordsPerFile", 1).mode("append").partitionBy("run").json(root)
 
 

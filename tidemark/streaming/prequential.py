@@ -1,7 +1,8 @@
 """The test-then-train run and its metrics as a stateful streaming query.
 
-State lives in the state store under (dataset, task, model[, entity]); rows of a key are ordered by id
-inside the micro-batch, and ids already seen are dropped, so a replayed file changes nothing.
+State lives in the state store under (dataset, task, model[, entity]). Rows that come before their
+predecessors wait in the state, whatever the cut into micro-batches; ids seen before change nothing and
+are counted, so a replayed file changes nothing.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from tidemark.operators.metrics import LOG_EVERY, WARMUP_ROWS, WINDOW_ROWS
 from tidemark.operators.prequential import Detection, TestThenTrain
 from tidemark.session import STATE_STORE
 
+HOLD_ROWS = 100_000
+
 METRIC_FIELDS = T.StructType(
     [
         T.StructField("instance", T.LongType()),
@@ -31,6 +34,8 @@ METRIC_FIELDS = T.StructType(
         T.StructField("cumulative_mse", T.DoubleType()),
         T.StructField("window_mae", T.DoubleType()),
         T.StructField("window_mse", T.DoubleType()),
+        T.StructField("late_rows", T.LongType()),
+        T.StructField("duplicate_rows", T.LongType()),
     ]
 )
 
@@ -75,39 +80,142 @@ class RunningMetrics:
         self.recent = deque(state["recent"], maxlen=self.window_rows)
 
 
-class _Run(StatefulProcessor):
-    """One key: run state and metrics, saved as one JSON value after each micro-batch."""
+class Sequencer:
+    """Puts the rows of one key in order: early rows wait until the ids before them have come.
+
+    With ``start`` ids are expected to be dense from there on. A gap is given up when ``hold_rows`` rows wait behind it, or
+    when ``flush`` is called; ids that come after all are counted as late, ids seen before as duplicates, and
+    neither is processed. Without ``start`` nothing waits: rows go on as they come, in ascending order
+    within a micro-batch, and what lies behind is counted.
+    """
+
+    def __init__(self, start: int | None = 1, hold_rows: int = HOLD_ROWS):
+        self.start, self.hold_rows = start, hold_rows
+        self.last: int | None = None if start is None else start - 1
+        self.held: dict[int, list] = {}
+        self.skipped: list[list[int]] = []  # ranges of ids that were given up
+        self.late_rows = self.duplicate_rows = 0
+
+    def push(self, order: int, row: list) -> None:
+        if order in self.held:
+            self.duplicate_rows += 1
+        elif self.last is not None and order <= self.last:
+            gap = next((g for g in self.skipped if g[0] <= order <= g[1]), None)
+            if gap is None and self.start is not None and order >= self.start:
+                self.duplicate_rows += 1
+                return
+            self.late_rows += 1
+            if gap is not None:  # a second copy of a late row is a duplicate
+                self.skipped.remove(gap)
+                self.skipped += [g for g in ([gap[0], order - 1], [order + 1, gap[1]]) if g[0] <= g[1]]
+        else:
+            self.held[order] = row
+
+    def ready(self) -> Iterator[tuple[int, list]]:
+        """Rows whose turn has come."""
+        if self.start is None:
+            yield from self.flush()
+            return
+        while self.held:
+            if self.last + 1 in self.held:
+                self.last += 1
+                yield self.last, self.held.pop(self.last)
+            elif len(self.held) > self.hold_rows:
+                self._skip()
+            else:
+                return
+
+    def _skip(self) -> None:
+        first = min(self.held)
+        self.skipped.append([self.last + 1, first - 1])
+        self.last = first - 1
+
+    def flush(self) -> Iterator[tuple[int, list]]:
+        """All waiting rows in order, gaps given up."""
+        for order in sorted(self.held):
+            if self.start is not None and order != self.last + 1:
+                self._skip()
+            self.last = order
+            yield order, self.held.pop(order)
+
+    def to_state(self) -> dict[str, Any]:
+        kept = {k: v for k, v in vars(self).items() if k not in ("start", "hold_rows", "held")}
+        return {**kept, "held": [[k, v] for k, v in self.held.items()]}
 
-    def __init__(self, keys: Sequence[str], make: Callable[[Mapping[str, Any]], Any], log_every: int):
+    def from_state(self, state: dict[str, Any]) -> None:
+        vars(self).update({k: v for k, v in state.items() if k != "held"})
+        self.held = {k: v for k, v in state["held"]}
+
+
+class _Run(StatefulProcessor):
+    """One key: run state, metrics and waiting rows, saved as one JSON value after each micro-batch."""
+
+    def __init__(
+        self,
+        keys: Sequence[str],
+        make: Callable[[Mapping[str, Any]], Any],
+        log_every: int,
+        start: int | None,
+        hold_rows: int,
+        patience_ms: int | None,
+    ):
         self.keys, self.make, self.log_every = list(keys), make, log_every
+        self.start, self.hold_rows, self.patience_ms = start, hold_rows, patience_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.saved = handle.getValueState("run", T.StructType([T.StructField("state", T.StringType())]))
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        named = dict(zip(self.keys, key))
-        run, metrics, last = self.make(named), RunningMetrics(), None
+    def _load(self, named: dict[str, Any]) -> tuple[Any, RunningMetrics, Sequencer]:
+        run, metrics, queue = self.make(named), RunningMetrics(), Sequencer(self.start, self.hold_rows)
         if self.saved.exists():
             state = json.loads(self.saved.get()[0])
             run.from_state(state["run"])
             metrics.from_state(state["metrics"])
-            last = state["last"]
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("instance_id")
+            queue.from_state(state["queue"])
+        return run, metrics, queue
+
+    def _save(self, run: Any, metrics: RunningMetrics, queue: Sequencer) -> None:
+        state = {"run": run.to_state(), "metrics": metrics.to_state(), "queue": queue.to_state()}
+        self.saved.update((json.dumps(state),))
+
+    def _process(self, key: tuple, task: str, rows: Iterator[tuple[int, list]], parts: tuple) -> list[tuple]:
+        run, metrics, queue = parts
         out = []
-        for order, features, actual in zip(
-            batch["instance_id"].tolist(), batch["features"].tolist(), batch["actual"].tolist()
-        ):
-            if last is not None and order <= last:
-                continue
-            last = order
-            prediction, error, drift, _ = run.step((order, [float(v) for v in features], actual))
+        for order, (features, actual) in rows:
+            prediction, error, drift, _ = run.step((order, features, actual))
             if prediction is not None:
                 metrics.update(error, drift)
                 if order % self.log_every == 0:
-                    out.append((*key, *metrics.row(named["task"], order)))
-        self.saved.update((json.dumps({"run": run.to_state(), "metrics": metrics.to_state(), "last": last}),))
-        columns = [*self.keys, *METRIC_FIELDS.names]
-        yield pd.DataFrame(out, columns=columns).astype(object)
+                    out.append((*key, *metrics.row(task, order), queue.late_rows, queue.duplicate_rows))
+        return out
+
+    def _frame(self, out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=[*self.keys, *METRIC_FIELDS.names]).astype(object)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        named = dict(zip(self.keys, key))
+        run, metrics, queue = self._load(named)
+        out = []
+        # frames are worked off one after the other; only what came too early is kept
+        for frame in rows:
+            cells = (frame["instance_id"].tolist(), frame["features"].tolist(), frame["actual"].tolist())
+            for order, features, actual in zip(*cells):
+                queue.push(order, [[float(v) for v in features], actual])
+            if self.start is not None:
+                out += self._process(key, named["task"], queue.ready(), (run, metrics, queue))
+        out += self._process(key, named["task"], queue.ready(), (run, metrics, queue))
+        if queue.held and self.patience_ms is not None:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience_ms)
+        self._save(run, metrics, queue)
+        yield self._frame(out)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        named = dict(zip(self.keys, key))
+        run, metrics, queue = self._load(named)
+        out = self._process(key, named["task"], queue.flush(), (run, metrics, queue))
+        self._save(run, metrics, queue)
+        yield self._frame(out)
 
     def close(self) -> None:
         pass
@@ -155,8 +263,16 @@ def stream_metrics(
     make: Callable[[Mapping[str, Any]], Any] | None = None,
     detection: Detection | None = Detection(),
     log_every: int = LOG_EVERY,
+    start: int | None = 1,
+    hold_rows: int = HOLD_ROWS,
+    patience_ms: int | None = None,
 ) -> DataFrame:
-    """Metric-log rows of a stream of instances (``instance_id``, ``features``, ``actual``)."""
+    """Metric-log rows of a stream of instances (``instance_id``, ``features``, ``actual``).
+
+    ``start``: the first id of a key whose ids are dense, or None if they are not (then rows are taken in arrival
+    order); ``hold_rows`` and ``patience_ms`` (processing time): when a gap in the ids is given up. Log rows carry
+    the numbers of late and duplicate rows so far.
+    """
     from tidemark.operators.learners import create_learner
 
     def default(key: Mapping[str, Any]) -> TestThenTrain:
@@ -165,10 +281,10 @@ def stream_metrics(
     instances.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     types = [instances.schema[k] for k in keys]
     return instances.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Run(keys, make or default, log_every),
+        statefulProcessor=_Run(keys, make or default, log_every, start, hold_rows, patience_ms),
         outputStructType=T.StructType([*types, *METRIC_FIELDS.fields]),
         outputMode="Append",
-        timeMode="None",
+        timeMode="None" if patience_ms is None else "ProcessingTime",
     )
 
 
