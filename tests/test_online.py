@@ -183,15 +183,18 @@ def test_state_survives_a_round_trip():
             assert a.step(row) == b.step(row)
 
 
+CLASSES = (0, 1, 2)
+
+
 def test_one_versus_rest_learns_three_classes():
-    model, rng, hits = learners.OneVersusRest(learners.PASSIVE_AGGRESSIVE), random.Random(1), 0
+    model, rng, hits = learners.OneVersusRest(learners.PASSIVE_AGGRESSIVE, CLASSES), random.Random(1), 0
     for i in range(1500):
         y = rng.randrange(3)
         x = [float(y == c) + rng.gauss(0, 0.1) for c in range(3)]
         hits += i >= 500 and model.predict(x) == y
         model.learn(x, float(y))
     assert hits > 950
-    copy = learners.OneVersusRest(learners.PASSIVE_AGGRESSIVE)
+    copy = learners.OneVersusRest(learners.PASSIVE_AGGRESSIVE, CLASSES)
     copy.from_state(model.to_state())
     assert copy.predict([1.0, 0.0, 0.0]) == model.predict([1.0, 0.0, 0.0])
 
@@ -242,3 +245,17 @@ def test_registry(spark):
     specs = spark.createDataFrame([("bike:regression:arf",), ("bad",), ("a:b:c:d",)], "spec string")
     assert [tuple(r) for r in learners.parse_experiments(specs).collect()] == [("bike", "regression", "arf")]
     assert learners.experiment_matrix(spark).count() == 6
+
+
+@pytest.mark.parametrize("model", ["sgd", "perceptron", "passive_aggressive"])
+def test_registry_serves_declared_classes(model):
+    learner, rng, hits = learners.create_learner("classification", model, (3, 5, 9)), random.Random(2), 0
+    for i in range(1500):
+        y = rng.choice((3, 5, 9))
+        x = [float(y == c) + rng.gauss(0, 0.1) for c in (3, 5, 9)]
+        hits += i >= 500 and learner.predict(x) == y
+        learner.learn(x, float(y))
+    assert hits > 950
+    for asked in ((0, 1), (3, 5)):
+        with pytest.raises(ValueError):
+            learners.create_learner("classification", model, asked).learn([1.0], 9.0)

@@ -561,3 +561,39 @@ def _chunked(loss: str) -> str:
 
 ORACLES |= {name: _linear(name) for name in LINEAR}
 ORACLES |= {"pa_chunked": _chunked("passive_aggressive"), "sgd_classify_chunked": _chunked("hinge")}
+
+
+def _multiclass() -> str:
+    """One model per class, row by row: a list of ten weight lists moves through each stream."""
+    score = "list_inner_product(w[c], z)"
+    sign = "(CASE WHEN k.y = c - 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END)"
+    steps = {
+        "sgd": f"CASE WHEN {sign} * {score} < 1 THEN 0.01::DOUBLE / pow(t, 0.25) * {sign} ELSE 0.0::DOUBLE END",
+        "perceptron": f"CASE WHEN {sign} * {score} <= 0 THEN {sign} ELSE 0.0::DOUBLE END",
+        "passive_aggressive": f"{sign} * least(1.0::DOUBLE, greatest(0.0::DOUBLE, 1.0::DOUBLE - {sign} * {score}) / list_inner_product(z, z))",
+    }
+    ctes = [
+        "k AS (SELECT (vec_id + 1) % 4 AS stream, vec_id + 1 AS instance_id, label AS y, "
+        "list_append(list_transform(embedding, lambda v: v::DOUBLE), 1.0::DOUBLE) AS z, "
+        "row_number() OVER (PARTITION BY (vec_id + 1) % 4 ORDER BY vec_id) AS t FROM embeddings)"
+    ]
+    for name, step in steps.items():
+        ctes.append(
+            f"{name} AS (SELECT DISTINCT stream, 0::BIGINT AS t, NULL::BIGINT AS instance_id, NULL::INT AS y, NULL::BIGINT AS guess, "
+            "list_transform(range(1, 11), lambda c: list_transform(range(1, 66), lambda j: 0.0::DOUBLE)) AS w FROM k "
+            "UNION ALL SELECT stream, t, instance_id, y, "
+            "CASE WHEN t > 1 THEN list_position(scores, list_max(scores)) - 1 END, "
+            "list_transform(range(1, 11), lambda c: list_transform(range(1, 66), lambda j: w[c][j] + steps[c] * z[j])) "
+            f"FROM (SELECT k.stream, k.t, k.instance_id, k.y, k.z, r.w, list_transform(range(1, 11), lambda c: {score}) AS scores, "
+            f"list_transform(range(1, 11), lambda c: {step.replace('pow(t,', 'pow(k.t,')}) AS steps "
+            f"FROM {name} r JOIN k ON k.stream = r.stream AND k.t = r.t + 1))"
+        )
+    parts = " UNION ALL ".join(
+        f"SELECT '{name}' AS model, stream, instance_id, guess::DOUBLE AS prediction, "
+        f"CASE WHEN guess IS NOT NULL THEN (guess <> y)::INT::DOUBLE END AS error FROM {name} WHERE t > 0"
+        for name in steps
+    )
+    return "WITH RECURSIVE " + ", ".join(ctes) + " " + parts
+
+
+ORACLES["multiclass_linear"] = _multiclass()

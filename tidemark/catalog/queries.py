@@ -362,6 +362,22 @@ def multi_learner_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def multiclass_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The linear classifiers on ten labels, over four streams of vectors."""
+    rows = tables.feature_vectors(spark, sf_dir).select(
+        "task",
+        (F.col("instance_id") % 4).alias("stream"),
+        "instance_id",
+        "features",
+        F.col("label").cast("double").alias("actual"),
+    )
+    models = learners.registry(spark).filter("task = 'classification' and mode = 'keyed' and model != 'knn'")
+    runs = compare_learners(
+        rows, models, ["task", "stream"], detection=None, normalize=False, classes=range(10)
+    )
+    return runs.select("model", "stream", "instance_id", "prediction", "error")
+
+
 def preq_with_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every keyed linear learner with detector and reset, on streams with an injected drift."""
     cls = inject.inject_label_swap(tables.instances_classification(spark, sf_dir), 4000).withColumn("actual", F.col("label").cast("double"))
@@ -634,6 +650,7 @@ QUERIES: dict[str, Query] = {
         knn_regress,
         sgd_stream_blocked,
         multi_learner_compare,
+        multiclass_linear,
         preq_with_drift,
         split_statistics,
         mean_shift,

@@ -28,7 +28,8 @@ def step_size(loss: str, score: Column, y: Column, squared_norm: Column, eta: fl
     """Factor by which a row's features (and the intercept's 1) enter the weights."""
     if loss == SQUARED:
         return -eta * (score - y)
-    sign = F.when(y > 0.5, 1.0).otherwise(-1.0)
+    declared = F.when(y.isin(0, 1), y).otherwise(F.raise_error(F.lit("labels must be 0 and 1 in the chunked form")))
+    sign = F.when(declared > 0.5, 1.0).otherwise(-1.0)
     margin = sign * score
     if loss == HINGE:
         return F.when(margin < 1, eta * sign).otherwise(0.0)

@@ -16,7 +16,7 @@ SQUARED, HINGE, PERCEPTRON, PASSIVE_AGGRESSIVE = "squared", "hinge", "perceptron
 
 
 class Linear:
-    """Linear model, one update per row. Labels are 0 and 1 for the classification losses.
+    """Linear model, one update per row. Labels are 0 and 1 for the classification losses; others are an error.
 
     The step is ``eta`` (``constant``) or ``eta / t**power`` (``inverse``); passive-aggressive takes
     the closed-form step bounded by ``c`` (Crammer et al. 2006). No prediction before the first row.
@@ -50,6 +50,8 @@ class Linear:
         if self.loss == SQUARED:
             step = -rate * (score - y)
         else:
+            if y not in (0, 1):
+                raise ValueError(f"label {y} is neither 0 nor 1: declare the classes")
             sign = 1.0 if y > 0.5 else -1.0
             margin = sign * score
             if self.loss == HINGE:
@@ -73,19 +75,20 @@ class Linear:
 
 
 class OneVersusRest:
-    """Several classes: one linear model per class seen so far, highest score wins."""
+    """Several classes: one linear model per declared class, highest score wins, ties go to the smaller label."""
 
-    def __init__(self, loss: str, **options: Any):
+    def __init__(self, loss: str, classes: Sequence[int], **options: Any):
         self.loss, self.options = loss, options
-        self.models: dict[int, Linear] = {}
+        self.models = {int(c): Linear(loss, **options) for c in sorted(classes)}
 
     def predict(self, x: Sequence[float]) -> float | None:
-        if not self.models:
+        if not next(iter(self.models.values())).t:
             return None
         return float(max(sorted(self.models), key=lambda c: self.models[c].score(x)))
 
     def learn(self, x: Sequence[float], y: float) -> None:
-        self.models.setdefault(int(y), Linear(self.loss, **self.options))
+        if y not in self.models:
+            raise ValueError(f"label {y} is not among the declared classes {list(self.models)}")
         for label, model in self.models.items():
             model.learn(x, float(label == int(y)))
 
@@ -128,14 +131,24 @@ class Neighbours:
         self.rows = state["rows"]
 
 
-KEYED: dict[tuple[str, str], Callable[[], Any]] = {
-    ("classification", "sgd"): lambda: Linear(HINGE),
-    ("classification", "perceptron"): lambda: Linear(PERCEPTRON, eta=1.0, schedule="constant"),
-    ("classification", "passive_aggressive"): lambda: Linear(PASSIVE_AGGRESSIVE),
-    ("classification", "knn"): lambda: Neighbours("classification"),
-    ("regression", "sgd"): lambda: Linear(SQUARED),
-    ("regression", "sgd_toy"): lambda: Linear(SQUARED, eta=0.0001, schedule="constant"),
-    ("regression", "knn"): lambda: Neighbours("regression"),
+BINARY = (0, 1)
+
+
+def _linear_classes(loss: str, classes: Sequence[int], **options: Any) -> Any:
+    """The binary form for the labels 0 and 1, one model per class for any other list."""
+    if sorted(classes) == list(BINARY):
+        return Linear(loss, **options)
+    return OneVersusRest(loss, classes, **options)
+
+
+KEYED: dict[tuple[str, str], Callable[[Sequence[int]], Any]] = {
+    ("classification", "sgd"): lambda classes: _linear_classes(HINGE, classes),
+    ("classification", "perceptron"): lambda classes: _linear_classes(PERCEPTRON, classes, eta=1.0, schedule="constant"),
+    ("classification", "passive_aggressive"): lambda classes: _linear_classes(PASSIVE_AGGRESSIVE, classes),
+    ("classification", "knn"): lambda _: Neighbours("classification"),
+    ("regression", "sgd"): lambda _: Linear(SQUARED),
+    ("regression", "sgd_toy"): lambda _: Linear(SQUARED, eta=0.0001, schedule="constant"),
+    ("regression", "knn"): lambda _: Neighbours("regression"),
 }
 CHUNKED = {
     ("classification", "hoeffding_tree"): 1,
@@ -154,10 +167,10 @@ EXPERIMENTS = (
 )
 
 
-def create_learner(task: str, model: str) -> Any:
-    """A fresh learner with row-by-row updates; unknown names are an error."""
+def create_learner(task: str, model: str, classes: Sequence[int] = BINARY) -> Any:
+    """A fresh learner with row-by-row updates for the declared ``classes``; unknown names are an error."""
     try:
-        return KEYED[(task, model)]()
+        return KEYED[(task, model)](classes)
     except KeyError:
         raise ValueError(f"unknown {task} learner: {model}") from None
 

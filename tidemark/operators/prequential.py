@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.vectors import LARGEST
 from tidemark.operators.adwin import COOLDOWN, DELTA, MIN_ROWS, Adwin, Gate
-from tidemark.operators.learners import create_learner
+from tidemark.operators.learners import BINARY, create_learner
 from tidemark.operators.preprocess import WARMUP_ROWS
 from tidemark.plans.ordered import run_ordered
 
@@ -134,10 +134,12 @@ def prequential(
     normalize: bool = True,
     learner: Callable[[Mapping[str, Any]], Any] | None = None,
     slice_rows: int | None = None,
+    classes: Sequence[int] = BINARY,
 ) -> DataFrame:
     """Run one learner per key over its instances (``features``, ``actual``).
 
-    ``keys`` must hold ``task`` and ``model`` unless ``learner`` is given. Keys run in parallel; inside
+    ``keys`` must hold ``task`` and ``model`` unless ``learner`` is given. ``classes`` lists the labels of
+    the classification streams; a label beyond them is an error. Keys run in parallel; inside
     a key the feedback from drift to learner makes the order binding, so a long stream goes through
     slices with saved state (see :mod:`tidemark.plans.ordered`). For parallel work inside one
     stream use the blocked squared-loss learner or the chunked trees.
@@ -145,7 +147,7 @@ def prequential(
 
     def make(key: Mapping[str, Any]) -> TestThenTrain:
         task = key.get("task", "regression")
-        build = (lambda: learner(key)) if learner else (lambda: create_learner(task, key["model"]))
+        build = (lambda: learner(key)) if learner else (lambda: create_learner(task, key["model"], classes))
         return TestThenTrain(task, build, detection, normalize)
 
     rows = instances.select(*keys, order, "features", F.col("actual").cast("double").alias("actual"))

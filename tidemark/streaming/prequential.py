@@ -266,6 +266,7 @@ def stream_metrics(
     start: int | None = 1,
     hold_rows: int = HOLD_ROWS,
     patience_ms: int | None = None,
+    classes: Sequence[int] = (0, 1),
 ) -> DataFrame:
     """Metric-log rows of a stream of instances (``instance_id``, ``features``, ``actual``).
 
@@ -276,7 +277,7 @@ def stream_metrics(
     from tidemark.operators.learners import create_learner
 
     def default(key: Mapping[str, Any]) -> TestThenTrain:
-        return TestThenTrain(key["task"], lambda: create_learner(key["task"], key["model"]), detection)
+        return TestThenTrain(key["task"], lambda: create_learner(key["task"], key["model"], classes), detection)
 
     instances.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     types = [instances.schema[k] for k in keys]
