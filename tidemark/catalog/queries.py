@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text
 from tidemark.operators import adwin, analysis, blocked_sgd, chunk_linear, compare, inject, learners, metrics, neighbours, preprocess, trees
-from tidemark.operators.prequential import TOY_DETECTION, TestThenTrain, compare_learners, prequential
+from tidemark.operators.prequential import TOY_DETECTION, Detection, TestThenTrain, compare_learners, prequential
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import logs, streams, tables
 from tidemark.sources.tables import KEYS, table
@@ -327,6 +327,9 @@ def _keyed(task: str, model: str) -> Query:
     return run
 
 
+LINEAR_MODELS = "model in ('sgd', 'sgd_toy', 'perceptron', 'passive_aggressive')"
+
+
 def sgd_stream_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stream per event type, each learned in parallel blocks."""
     rows = table(spark, sf_dir, "events").select(
@@ -351,7 +354,7 @@ def multi_learner_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All linear learners on all user streams in one job, then one line per learner."""
     cls = _user_stream(spark, sf_dir, "classification", "").drop("model", "label")
     reg = _user_stream(spark, sf_dir, "regression", "").drop("model", "target")
-    models = learners.registry(spark).filter("mode = 'keyed' and model != 'knn'")
+    models = learners.registry(spark).filter(LINEAR_MODELS)
     runs = compare_learners(
         cls.unionByName(reg), models, ["dataset", "task", "user_id"], detection=None, normalize=False
     )
@@ -371,7 +374,7 @@ def multiclass_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
         "features",
         F.col("label").cast("double").alias("actual"),
     )
-    models = learners.registry(spark).filter("task = 'classification' and mode = 'keyed' and model != 'knn'")
+    models = learners.registry(spark).filter("task = 'classification'").filter(LINEAR_MODELS)
     runs = compare_learners(
         rows, models, ["task", "stream"], detection=None, normalize=False, classes=range(10)
     )
@@ -384,10 +387,50 @@ def preq_with_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     reg = inject.inject_target_scale(tables.instances_regression(spark, sf_dir), 4000).withColumn("actual", F.col("target"))
     columns = ["dataset", "task", "instance_id", "features", "actual"]
     both = cls.select(*columns).unionByName(reg.select(*columns))
-    models = learners.registry(spark).filter("mode = 'keyed' and model != 'knn'")
+    models = learners.registry(spark).filter(LINEAR_MODELS)
     return compare_learners(both, models)
 
 
+def _user_instances(spark: SparkSession, sf_dir: str, injected: bool = False) -> DataFrame:
+    """Both tasks over the events, one stream per user, optionally with drift injected in the middle."""
+    cls, reg = tables.instances_classification(spark, sf_dir), tables.instances_regression(spark, sf_dir)
+    if injected:
+        middle = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] // 2
+        cls, reg = inject.inject_label_swap(cls, middle), inject.inject_target_scale(reg, middle)
+    columns = ["dataset", "task", "user_id", "instance_id", "features", "actual"]
+    cls = cls.withColumn("actual", F.col("label").cast("double")).select(*columns)
+    return cls.unionByName(reg.withColumn("actual", F.col("target")).select(*columns))
+
+
+def all_learner_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every learner of the registry, with detector and reset, on all user streams with an injected drift."""
+    runs = compare_learners(
+        _user_instances(spark, sf_dir, injected=True),
+        learners.registry(spark),
+        ["dataset", "task", "user_id"],
+        detection=Detection(cooldown=100, min_rows=30),
+    )
+    return runs.groupBy("task", "model").agg(
+        F.count("prediction").alias("evaluated"), F.count_if("drift").alias("drifts"), F.avg("error").alias("mean_error")
+    )
+
+
+def experiment_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predefined matrix run on the user streams; records and comparison are written and read back."""
+    root = scratch_path(spark, "experiments")
+    matrix = learners.experiment_matrix(spark)
+    learners.check_requests(matrix)
+    streams_ = _user_instances(spark, sf_dir).drop("dataset")
+    # the matrix has a fixed number of rows
+    asked = streams_.join(F.broadcast(matrix), "task")
+    keys = [*KEYS, "user_id"]
+    runs = prequential(asked, keys, detection=Detection(cooldown=100, min_rows=30))
+    runs = materialize(runs, "experiment-runs")
+    logs.write_experiment_records(metrics.run_summary(runs, keys), f"{root}/records", detection=True)
+    logs.write_comparison(logs.read_experiment_records(spark, f"{root}/records"), f"{root}/comparison")
+    return logs.read_comparison(spark, f"{root}/comparison")
+
+
 def _trees(task: str, members: int, wide: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if wide:
@@ -651,6 +694,8 @@ QUERIES: dict[str, Query] = {
         sgd_stream_blocked,
         multi_learner_compare,
         multiclass_linear,
+        all_learner_compare,
+        experiment_results,
         preq_with_drift,
         split_statistics,
         mean_shift,

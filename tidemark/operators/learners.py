@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.keyed_trees import KeyedForest, KeyedTree
+
 ENSEMBLE_SIZE = 10
 NEIGHBOURS = 5
 MEMORY_ROWS = 1000
@@ -146,6 +148,10 @@ KEYED: dict[tuple[str, str], Callable[[Sequence[int]], Any]] = {
     ("classification", "perceptron"): lambda classes: _linear_classes(PERCEPTRON, classes, eta=1.0, schedule="constant"),
     ("classification", "passive_aggressive"): lambda classes: _linear_classes(PASSIVE_AGGRESSIVE, classes),
     ("classification", "knn"): lambda _: Neighbours("classification"),
+    ("classification", "hoeffding_tree"): lambda _: KeyedTree("classification"),
+    ("classification", "arf"): lambda _: KeyedForest("classification", ENSEMBLE_SIZE),
+    ("regression", "fimtdd"): lambda _: KeyedTree("regression"),
+    ("regression", "arf"): lambda _: KeyedForest("regression", ENSEMBLE_SIZE),
     ("regression", "sgd"): lambda _: Linear(SQUARED),
     ("regression", "sgd_toy"): lambda _: Linear(SQUARED, eta=0.0001, schedule="constant"),
     ("regression", "knn"): lambda _: Neighbours("regression"),
@@ -176,9 +182,9 @@ def create_learner(task: str, model: str, classes: Sequence[int] = BINARY) -> An
 
 
 def registry(spark: SparkSession) -> DataFrame:
-    """All (task, model) pairs with the way they run."""
-    rows = [(t, m, "keyed") for t, m in KEYED] + [(t, m, "chunked") for t, m in CHUNKED]
-    return spark.createDataFrame(rows, "task string, model string, mode string")
+    """All (task, model) pairs, served by keyed state, and the form for one huge stream where there is one."""
+    rows = [(t, m, "chunked" if (t, m) in CHUNKED else None) for t, m in KEYED]
+    return spark.createDataFrame(rows, "task string, model string, large_form string")
 
 
 def unsupported(requests: DataFrame) -> DataFrame:

@@ -113,3 +113,52 @@ def drift_details(summaries: DataFrame) -> DataFrame:
     return summaries.select("dataset", "task", "model", "file", F.explode("drift_details").alias("d")).select(
         "dataset", "task", "model", "d.instance_id", "d.detector", F.to_timestamp("d.timestamp").alias("timestamp"), "file"
     )
+
+
+EXPERIMENT = (
+    "dataset string, task string, model string, user_id long, drift_detection boolean, "
+    "results struct<total_instances: long, drift_events: long, cumulative_accuracy: double, window_accuracy: double, "
+    "cumulative_mae: double, cumulative_mse: double, window_mae: double, window_mse: double>, timestamp string"
+)
+COMPARED = (
+    "dataset string, task string, model string, runs long, total_instances long, drift_events long, "
+    "cumulative_accuracy double, cumulative_mae double"
+)
+
+
+def write_experiment_records(summary: DataFrame, path: str, detection: bool) -> None:
+    """One JSON record per run: its request, its results and the time."""
+    results = F.struct("total_instances", "drift_events", *METRICS)
+    summary.select(
+        "dataset",
+        "task",
+        "model",
+        "user_id",
+        F.lit(detection).alias("drift_detection"),
+        results.alias("results"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+    ).write.json(path)
+
+
+def read_experiment_records(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(EXPERIMENT).json(path)
+
+
+def write_comparison(records: DataFrame, path: str) -> None:
+    """CSV with one line per (dataset, task, model): its streams together, means weighted by their instances."""
+    def mean(name: str):
+        value = F.col(f"results.{name}")
+        counted = F.when(value.isNotNull(), F.col("results.total_instances"))
+        return F.round(F.sum(value * counted) / F.sum(counted), 9).alias(name)
+
+    records.groupBy("dataset", "task", "model").agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.sum("results.total_instances").alias("total_instances"),
+        F.sum("results.drift_events").alias("drift_events"),
+        mean("cumulative_accuracy"),
+        mean("cumulative_mae"),
+    ).write.option("header", True).option("nullValue", MISSING).csv(path)
+
+
+def read_comparison(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(COMPARED).option("header", True).option("nullValue", MISSING).csv(path)
