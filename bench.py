@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -32,6 +33,10 @@ HEADLINE = (
     "knn_classify",
     "split_statistics",
     "hoeffding_tree_preq",
+    "fimtdd_preq",
+    "arf_classify_preq",
+    "arf_regress_preq",
+    "multiclass_linear",
     "mean_shift",
     "accuracy_variance",
     "drift_impact",
@@ -56,7 +61,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": str(2 * int(cpus)),
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-            "spark.tidemark.blockRows": "8192",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),

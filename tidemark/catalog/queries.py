@@ -486,6 +486,13 @@ def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(analysis.drift_report(drifts, shifts, impact, spread), 4)
 
 
+def drift_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as lines of text, written and read back."""
+    path = scratch_path(spark, "report")
+    analysis.report_lines(drift_report(spark, sf_dir)).write.text(path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 def _shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(analysis.mean_shift(_log(spark, sf_dir), _drifts(spark, sf_dir)))
 
@@ -703,6 +710,7 @@ QUERIES: dict[str, Query] = {
         class_ratio,
         drift_impact,
         drift_report,
+        drift_report_text,
         shift_boxstats,
         shift_histogram,
         shift_bounds,

@@ -11,10 +11,6 @@ RUN_FILE = r"(?:^|[/=])([^_/=]+)_([^_/=]+)_([^/]+?)(?:_metrics)?(?:_results\.jso
 MISSING = "N/A"
 
 
-def base_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
-
-
 def run_of_path(path: Column) -> dict[str, Column]:
     """dataset, task and model of a log or result file; ``unknown`` where the name has too few parts."""
     found = F.regexp_extract(path, RUN_FILE, 1) != ""

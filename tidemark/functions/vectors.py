@@ -1,4 +1,4 @@
-"""Element-wise operations on ``array<double>`` columns."""
+"""Operations on feature values."""
 
 from __future__ import annotations
 
@@ -9,29 +9,12 @@ from pyspark.sql import functions as F
 LARGEST = 1.7976931348623157e308
 
 
-def vector_min(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.least(x, y))
-
-
-def vector_max(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.greatest(x, y))
-
-
 def scale(x: Column, low: Column, high: Column) -> Column:
     """Min-max scaling of one value; a constant feature divides by one."""
     return (x - low) / F.when(high == low, F.lit(1.0)).otherwise(high - low)
 
 
-def scale_vector(x: Column, low: Column, high: Column) -> Column:
-    span = F.zip_with(low, high, lambda a, b: F.when(a == b, F.lit(1.0)).otherwise(b - a))
-    return F.zip_with(F.zip_with(x, low, lambda v, a: v - a), span, lambda v, s: v / s)
-
-
 def fill(x: Column) -> Column:
     """NaN and null become 0, infinities the largest finite value of their sign."""
     clipped = F.when(x > LARGEST, LARGEST).when(x < -LARGEST, -LARGEST).otherwise(x)
     return F.when(x.isNull() | F.isnan(x), F.lit(0.0)).otherwise(clipped)
-
-
-def fill_vector(x: Column) -> Column:
-    return F.transform(x, fill)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.metrics import absolute_error, zero_one_error
 from tidemark.plans.blocked import Scan, prefix_scan
 
 KEYS = ["dataset", "task", "model"]
@@ -80,10 +81,10 @@ def predictions(spark: SparkSession, sf_dir: str, drift_every: int = 2500) -> Da
     ):
         part = part.select(*columns)
         out = part if out is None else out.unionByName(part)
-    miss = F.when(F.col("task") == "classification", (F.col("prediction") != F.col("actual")).cast("int"))
+    miss = F.when(F.col("task") == "classification", zero_one_error(F.col("prediction"), F.col("actual")))
     return out.withColumns(
         {
-            "error": F.coalesce(miss, F.abs(F.col("prediction") - F.col("actual"))).cast(AMOUNT),
+            "error": F.coalesce(miss, absolute_error(F.col("prediction"), F.col("actual"))).cast(AMOUNT),
             "drift": F.col("prediction").isNotNull() & (F.col("instance_id") % drift_every == 0),
         }
     )
