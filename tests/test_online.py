@@ -2,6 +2,7 @@
 
 import math
 import random
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,7 +173,8 @@ def test_scaler_missing_values():
 def test_state_survives_a_round_trip():
     import json
 
-    for (task, model), make in learners.KEYED.items():
+    for task, model in learners.KEYED:
+        make = partial(learners.create_learner, task, model)
         a, b = (TestThenTrain(task, make, Detection(cooldown=50)) for _ in range(2))
         rng = random.Random(9)
         for i in range(1, 120):
