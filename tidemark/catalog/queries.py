@@ -415,6 +415,28 @@ def all_learner_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def detected_drift_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the detector to the analysis: 16 streams per task with drift injected in the middle, a linear learner
+    on each, the log of its metrics, and per run the detection delay and what its alarms did to the metrics."""
+    middle = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] // 2
+    rows = _user_instances(spark, sf_dir, injected=True)
+    model = F.concat(F.lit("sgd_"), (F.col("user_id") % 16).cast("string"))
+    runs = prequential(
+        rows.withColumn("model", model),
+        KEYS,
+        detection=Detection(cooldown=100, min_rows=30),
+        learner=lambda key: learners.create_learner(key["task"], "sgd"),
+    )
+    runs = materialize(runs, "detected-runs")
+    drifts = materialize(runs.filter("drift").select(*KEYS, "instance_id"), "detected-drifts")
+    log = metrics.prequential_metrics(runs, KEYS).withColumnRenamed("instance_id", "instance")
+    log = materialize(log, "detected-log")
+    shift = analysis.mean_shift(log, drifts).groupBy(*KEYS).agg(F.avg("shift").alias("average_shift"))
+    impact = analysis.drift_impact(log, drifts).groupBy(*KEYS).agg(F.avg("immediate_drop").alias("average_drop"))
+    delay = inject.detection_delay(runs, drifts, KEYS, middle)
+    return _rounded(delay.join(shift, KEYS, "left").join(impact, KEYS, "left"))
+
+
 def experiment_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predefined matrix run on the user streams; records and comparison are written and read back."""
     root = scratch_path(spark, "experiments")
@@ -702,6 +724,7 @@ QUERIES: dict[str, Query] = {
         multi_learner_compare,
         multiclass_linear,
         all_learner_compare,
+        detected_drift_analysis,
         experiment_results,
         preq_with_drift,
         split_statistics,
