@@ -12,12 +12,21 @@ from pyspark.sql import functions as F
 from tidemark.session import materialize
 
 
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of Python stages by bytes: 10,000 long texts at once would fill a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def texts(docs: DataFrame) -> DataFrame:
     """Only the columns the operators read, whatever else ``docs`` carries."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
@@ -31,6 +40,7 @@ def mapped(df: DataFrame, function, schema: str) -> DataFrame:
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(df.sparkSession)
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,4 +112,14 @@ def min_labels(link: np.ndarray) -> np.ndarray:
         labels = nearest
 
 
-__all__ = ["materialize", "mapped", "min_labels", "run_bounds", "sorted_runs", "table", "text_bytes", "texts"]
+__all__ = [
+    "mapped",
+    "materialize",
+    "min_labels",
+    "run_bounds",
+    "small_batches",
+    "sorted_runs",
+    "table",
+    "text_bytes",
+    "texts",
+]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped, materialize, text_bytes
+from tidemark.llm.common import mapped, materialize, small_batches, text_bytes
 
 SAMPLE = 4096  # labelled rows a classifier is fitted on, at most
 
@@ -61,6 +61,7 @@ def term_labels(rows: DataFrame) -> DataFrame:
 def document_frequency(docs: DataFrame, vocabulary: list[bytes], analyze: Analyzer) -> tuple[int, np.ndarray]:
     """Number of documents and of those that hold each term of a bounded vocabulary, over all ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast({t: i for i, t in enumerate(vocabulary)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
