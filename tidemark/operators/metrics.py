@@ -26,6 +26,7 @@ from tidemark.plans.blocked import (
 WINDOW_ROWS = 1000
 WARMUP_ROWS = 200
 LISTED_DRIFTS = 100_000
+SALTS = 64
 LOG_EVERY = 1000
 
 
@@ -206,7 +207,10 @@ def run_summary(
     evaluated = F.col("prediction").isNotNull()
     numbered = number_segments(pred, keys, order, block_rows).drop(BLOCK)
     ends = numbered.groupBy(*keys).agg(F.max("n").alias("__end"), F.max("segment").alias("__last"))
-    rows = numbered.join(ends, keys)
+    # one row per run, copied to every salt: the rows of a large run meet it on many partitions
+    ends = ends.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = numbered.withColumn("__salt", F.pmod(F.col(order), F.lit(SALTS)).cast("int"))
+    rows = salted.join(ends, [*keys, "__salt"])
     error = F.when(evaluated, F.col("error"))
     in_window = evaluated & (F.col("n") > F.col("__end") - window_rows)
     in_segment = evaluated & (F.col("segment") == F.col("__last"))

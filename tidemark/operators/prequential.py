@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.vectors import LARGEST
 from tidemark.operators.adwin import COOLDOWN, DELTA, MIN_ROWS, Adwin, Gate
-from tidemark.operators.learners import BINARY, create_learner
+from tidemark.operators.learners import BINARY, check_requests, create_learner
 from tidemark.operators.preprocess import WARMUP_ROWS
 from tidemark.plans.ordered import run_ordered
 
@@ -157,7 +157,14 @@ def prequential(
 def compare_learners(
     instances: DataFrame, models: DataFrame, keys: Sequence[str] = ("dataset", "task"), **options: Any
 ) -> DataFrame:
-    """Run every learner of ``models`` (task, model) on every stream of its task, in one job."""
-    # the request list is checked against the registry, so it has at most as many rows
-    asked = models.select("task", "model").distinct()
-    return prequential(instances.join(asked, "task"), [*keys, "model"], **options)
+    """Run every learner of ``models`` (task, model) on every stream of its task, in one job.
+
+    Unknown requests are an error. Every row is multiplied in place by its task's learners; nothing is joined.
+    """
+    check_requests(models)
+    asked = models.select("task", "model").distinct().collect()  # checked: at most the registry's rows
+    names = F.create_map(
+        *[c for t in sorted({r["task"] for r in asked}) for c in (F.lit(t), F.array(*[F.lit(r["model"]) for r in asked if r["task"] == t]))]
+    )
+    wanted = instances.withColumn("model", F.explode(names[F.col("task")])) if asked else instances.limit(0).withColumn("model", F.lit(""))
+    return prequential(wanted, [*keys, "model"], **options)
