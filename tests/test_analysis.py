@@ -171,6 +171,11 @@ def test_logs_round_trip_and_rejects(spark, tmp_path):
     logs.write_metric_logs(df, root)
     folder = tmp_path / "logs" / "run=d_classification_m_metrics.csv"
     (folder / "part-bad.csv").write_text("instance,cumulative_accuracy,window_accuracy\nx1,0.5,abc\n7,N/A,0.25\n")
+    (tmp_path / "logs" / "notes.csv").write_text("a\n")
+    other = tmp_path / "logs" / "run=d_classification_my_regression_model_metrics.csv"
+    other.mkdir()
+    (other / "part-0.csv").write_text("instance,cumulative_accuracy,window_accuracy\n")
+    assert [r.file.rsplit("/", 1)[1] for r in logs.unread_files(spark, root).collect()] == ["notes.csv"]
     read, rejects = logs.read_metric_logs(spark, root)
     assert read.count() == 601 and rejects.count() == 1
     assert {r.model for r in read.select("model").distinct().collect()} == {"m", "two_words"}
@@ -186,6 +191,7 @@ def test_summary_files(spark, tmp_path):
     (tmp_path / "bike_regression_sgd_results.json").write_text('{"status": "failed"}')
     (tmp_path / "odd_results.json").write_text("not json {")
     read = logs.read_run_summaries(spark, str(tmp_path))
+    assert [r.file.rsplit("/", 1)[1] for r in logs.rejected_summaries(spark, str(tmp_path)).collect()] == ["odd_results.json"]
     done = {(r.dataset, r.task, r.model): r.total_instances for r in compare.compare_runs(read).collect()}
     assert done == {("electricity", "classification", "hoeffding_tree"): 9}
     assert [(r.model, r.instance_id) for r in logs.drift_details(read).collect()] == [("hoeffding_tree", 4)]

@@ -85,6 +85,8 @@ def read_metric_logs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFra
             .option("columnPruning", False)
             .csv(f"{root}/*_{task}_*_metrics.csv")
         )
+        # a model may be named like the other task
+        lines = lines.filter(F.col("task") == task)
         # Spark refuses queries on the corrupt column alone, so the test also reads a data column
         parsed = F.coalesce(F.col("instance"), F.lit(0)) >= F.lit(-(1 << 62))
         read = lines.filter(F.col(CORRUPT).isNull() & parsed).drop(CORRUPT)
@@ -94,8 +96,14 @@ def read_metric_logs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFra
     return good, rejects
 
 
-def read_run_summaries(spark: SparkSession, root: str) -> DataFrame:
-    """Summaries below ``root``, one row per run, files that are no JSON left out."""
+def unread_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files below ``root`` that neither reader takes: ``file``. Only names are listed, no content is read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    known = "_(classification|regression)_[^/]*_metrics\\.csv(/|$)|_results\\.json(/|$)"
+    return listed.select(F.col("path").alias("file")).filter(~F.col("file").rlike(known))
+
+
+def _read_summaries(spark: SparkSession, root: str) -> DataFrame:
     schema = T.StructType([*SUMMARY.fields, T.StructField(CORRUPT, T.StringType())])
     read = _with_run(
         spark.read.schema(schema)
@@ -104,8 +112,18 @@ def read_run_summaries(spark: SparkSession, root: str) -> DataFrame:
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(f"{root}/*_results.json")
     )
-    parsed = F.coalesce(F.col("total_instances"), F.lit(0)) >= F.lit(-(1 << 62))
-    return read.filter(F.col(CORRUPT).isNull() & parsed).drop(CORRUPT)
+    # Spark refuses queries on the corrupt column alone, so the test also reads a data column
+    return read.filter(F.coalesce(F.col("total_instances"), F.lit(0)) >= F.lit(-(1 << 62)))
+
+
+def read_run_summaries(spark: SparkSession, root: str) -> DataFrame:
+    """Summaries below ``root``, one row per run; ``rejected_summaries`` has the files that are no JSON."""
+    return _read_summaries(spark, root).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def rejected_summaries(spark: SparkSession, root: str) -> DataFrame:
+    """Files that should hold a summary but are no JSON, with their text."""
+    return _read_summaries(spark, root).filter(F.col(CORRUPT).isNotNull()).select("file", CORRUPT)
 
 
 def drift_details(summaries: DataFrame) -> DataFrame:
