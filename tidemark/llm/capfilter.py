@@ -22,11 +22,12 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped, materialize, min_labels, run_bounds, sorted_runs
+from tidemark.llm.common import mapped, materialize, min_labels, run_bounds, sorted_runs, spread
 from tidemark.llm.components import connected_components
 from tidemark.llm.simhash import shared_keys
 
 CHUNK = 1024
+LISTED = 25  # about so many filters a vector and round
 
 
 @dataclass(frozen=True)
@@ -159,7 +160,8 @@ def near_vectors(vectors: DataFrame, spec: CapFilters = CapFilters(), chunk: int
     unique = good.groupBy("embedding").agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     unique = materialize(unique.withColumn("uid", F.monotonically_increasing_id()), "vectors")
 
-    held = materialize(shared_keys(_filter_rows(unique, spec)), "filters")
+    dealt = spread(unique, unique.count() * spec.rounds * LISTED)
+    held = materialize(shared_keys(_filter_rows(dealt, spec)), "filters")
     lists = held.groupBy("uid").agg(F.sort_array(F.collect_list("key")).alias("keys"))
     payload = unique.select("uid", "copies", "embedding").join(lists, "uid")
     slots = F.ceil(F.col("n") / chunk).cast("long")

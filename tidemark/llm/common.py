@@ -13,6 +13,7 @@ from tidemark.session import materialize
 
 
 BATCH_BYTES = 4 << 20
+ROWS_PER_TASK = 1_000_000
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -20,6 +21,11 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def spread(df: DataFrame, emitted: int) -> DataFrame:
+    """``df`` over as many tasks as keep each below ``ROWS_PER_TASK`` of the ``emitted`` rows it is exploded to."""
+    return df.repartition(max(1, -(-emitted // ROWS_PER_TASK)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -119,6 +125,7 @@ __all__ = [
     "run_bounds",
     "small_batches",
     "sorted_runs",
+    "spread",
     "table",
     "text_bytes",
     "texts",

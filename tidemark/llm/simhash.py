@@ -30,6 +30,7 @@ from tidemark.llm.common import (
     min_labels,
     run_bounds,
     sorted_runs,
+    spread,
     text_bytes,
     texts,
 )
@@ -151,9 +152,7 @@ def block_plan(spec: SimHash, count: int) -> list[np.ndarray]:
     return [rng.choice(spec.bits, width, replace=False) for _ in range(number)]
 
 
-def _sampled_keys(unique: DataFrame, spec: SimHash, count: int) -> DataFrame:
-    plan = block_plan(spec, count)
-
+def _sampled_keys(unique: DataFrame, spec: SimHash, plan: list[np.ndarray]) -> DataFrame:
     def run(batch: pa.RecordBatch):
         uid = batch.column(0).to_numpy()
         words = np.stack([batch.column(i).to_numpy() for i in range(1, batch.num_columns)], axis=1)
@@ -197,10 +196,13 @@ def shared_keys(keys: DataFrame) -> DataFrame:
 
 def group_fingerprints(unique: DataFrame, spec: SimHash, chunk: int = CHUNK) -> DataFrame:
     """Components of distinct fingerprints (uid, words): rows (node, root) for those with a link."""
+    count = unique.count()
     if spec.similarity is None:
-        keys = unique.select(F.explode(_block_keys(spec)).alias("key"), "uid")
+        number = math.comb(spec.radius + spec.agree, spec.agree)
+        keys = spread(unique, count * number).select(F.explode(_block_keys(spec)).alias("key"), "uid")
     else:
-        keys = _sampled_keys(unique, spec, unique.count())
+        plan = block_plan(spec, count)
+        keys = _sampled_keys(spread(unique, count * len(plan)), spec, plan)
     held = materialize(shared_keys(keys), "blocks")
     most = held.agg(F.max("n")).first()[0] or 0
     words = unique.select("uid", *_lanes(spec))
