@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import metrics
 from tidemark.operators.prequential import Detection, prequential
 from tidemark.sources import streams
-from tidemark.streaming.prequential import Sequencer, drain, stream_metrics, upsert_batches
+from tidemark.streaming.prequential import Sequencer, drain, stream_metrics, upsert_batches, waiting_metrics
 
 KEYS = ["dataset", "task", "model"]
 
@@ -108,3 +108,29 @@ def test_sequencer_counts_late_and_duplicate_rows():
     assert [i for i, _ in free.ready()] == [3, 5]
     free.push(4, [4])
     assert list(free.ready()) == [] and free.late_rows == 1
+
+
+def test_no_number_of_early_rows_gives_a_gap_up(spark, tmp_path):
+    last = 120_000
+
+    def run(ids):
+        rows = ids.select(
+            F.lit("d").alias("dataset"),
+            F.lit("regression").alias("task"),
+            F.col("id").alias("instance_id"),
+            F.array(F.lit(1.0)).alias("features"),
+            (F.col("id") % 10).cast("double").alias("target"),
+        )
+        # the first id is read last: all others wait, more of them than the former cap
+        streams.encode(rows).coalesce(1).write.mode("append").text(f"{tmp_path}/in")
+        received = streams.decode(streams.read_files(spark, f"{tmp_path}/in", "value string", "text", files_per_trigger=4))
+        runs = received.select(
+            "dataset", "task", F.lit("sgd").alias("model"), "instance_id", "features", streams.actual().alias("actual")
+        )
+        drain(stream_metrics(runs, KEYS, detection=None, log_every=last), f"{tmp_path}/out", f"{tmp_path}/cp")
+        return waiting_metrics(spark, f"{tmp_path}/cp", KEYS, detection=None, log_every=last).collect()
+
+    # id 1 is missing: it is given up only for what is asked about the waiting rows
+    assert [(r.instance, r.n) for r in run(spark.range(last, 1, -1))] == [(last, last - 2)]
+    assert run(spark.range(1, 2)) == []
+    assert [(r.instance, r.n, r.late_rows) for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [(last, last - 1, 0)]

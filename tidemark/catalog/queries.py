@@ -672,13 +672,14 @@ def stream_preq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = received.select(
         "dataset", "task", F.lit("last").alias("model"), "instance_id", "features", streams.actual().alias("actual")
     )
-    logged = streaming.stream_metrics(
-        runs,
-        KEYS,
-        make=lambda key: streaming.FixedDrift(TestThenTrain(key["task"], streaming.Persistence, None, False), 2500),
-    )
-    streaming.drain(logged, f"{root}/out", f"{root}/checkpoint")
-    out = spark.read.parquet(f"{root}/out")
+
+    def make(key):
+        return streaming.FixedDrift(TestThenTrain(key["task"], streaming.Persistence, None, False), 2500)
+
+    streaming.drain(streaming.stream_metrics(runs, KEYS, make=make), f"{root}/out", f"{root}/checkpoint")
+    # rows behind ids that never came
+    waiting = streaming.waiting_metrics(spark, f"{root}/checkpoint", KEYS, make=make)
+    out = spark.read.parquet(f"{root}/out").unionByName(waiting)
     return out.select(
         *KEYS,
         "instance",

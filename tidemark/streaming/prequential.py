@@ -1,19 +1,22 @@
 """The test-then-train run and its metrics as a stateful streaming query.
 
 State lives in the state store under (dataset, task, model[, entity]). Rows that come before their
-predecessors wait in the state, whatever the cut into micro-batches; ids seen before change nothing and
-are counted, so a replayed file changes nothing.
+predecessors wait there, one entry a row, however many they are and whatever the cut into micro-batches; ids seen
+before change nothing and are counted, so a replayed file changes nothing. What still waits behind a gap when the
+input is drained is scored by ``waiting_metrics``.
 """
 
 from __future__ import annotations
 
 import json
 from collections import deque
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, MutableMapping, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -21,8 +24,6 @@ from tidemark.operators.metrics import LOG_EVERY, WARMUP_ROWS, WINDOW_ROWS
 from tidemark.operators.prequential import Detection, TestThenTrain
 from tidemark.session import STATE_STORE
 
-HOLD_ROWS = 100_000
-
 METRIC_FIELDS = T.StructType(
     [
         T.StructField("instance", T.LongType()),
@@ -80,19 +81,61 @@ class RunningMetrics:
         self.recent = deque(state["recent"], maxlen=self.window_rows)
 
 
+class StateRows(MutableMapping):
+    """The waiting rows of one key in a map state: rows pushed since the last ``settle`` are in memory, all others are not."""
+
+    def __init__(self, state: Any, stored: int = 0):
+        self.state, self.stored = state, stored  # ``stored``: entries of the map state
+        self.fresh: dict[int, list] = {}
+
+    def __contains__(self, order: int) -> bool:
+        return order in self.fresh or (self.stored > 0 and self.state.containsKey((order,)))
+
+    def __getitem__(self, order: int) -> list:
+        if order in self.fresh:
+            return self.fresh[order]
+        found = self.state.getValue((order,)) if self.stored else None
+        if found is None:
+            raise KeyError(order)
+        return json.loads(found[0])
+
+    def __setitem__(self, order: int, row: list) -> None:
+        self.fresh[order] = row
+
+    def __delitem__(self, order: int) -> None:
+        if self.fresh.pop(order, None) is None:
+            self.state.removeKey((order,))
+            self.stored -= 1
+
+    def __len__(self) -> int:
+        return len(self.fresh) + self.stored
+
+    def __iter__(self) -> Iterator[int]:
+        kept = [k for (k,) in self.state.keys()] if self.stored else []
+        return iter(np.array([*self.fresh, *kept], dtype=np.int64).tolist())
+
+    def settle(self) -> None:
+        for order, row in self.fresh.items():
+            self.state.updateValue((order,), (json.dumps(row),))
+        self.stored += len(self.fresh)
+        self.fresh = {}
+
+
 class Sequencer:
     """Puts the rows of one key in order: early rows wait until the ids before them have come.
 
-    With ``start`` ids are expected to be dense from there on. A gap is given up when ``hold_rows`` rows wait behind it, or
-    when ``flush`` is called; ids that come after all are counted as late, ids seen before as duplicates, and
-    neither is processed. Without ``start`` nothing waits: rows go on as they come, in ascending order
-    within a micro-batch, and what lies behind is counted.
+    With ``start`` ids are expected to be dense from there on. A gap is given up when ``flush`` is called, or when
+    more than ``hold_rows`` rows (if given) wait behind it at a ``ready`` that may ``skip``; ids that come after all are
+    counted as late, ids seen before as duplicates, and neither is processed. Without ``start`` nothing waits: rows go
+    on as they come, in ascending order within a micro-batch, and what lies behind is counted.
     """
 
-    def __init__(self, start: int | None = 1, hold_rows: int = HOLD_ROWS):
+    def __init__(
+        self, start: int | None = 1, hold_rows: int | None = None, held: MutableMapping[int, list] | None = None
+    ):
         self.start, self.hold_rows = start, hold_rows
         self.last: int | None = None if start is None else start - 1
-        self.held: dict[int, list] = {}
+        self.held: MutableMapping[int, list] = {} if held is None else held
         self.skipped: list[list[int]] = []  # ranges of ids that were given up
         self.late_rows = self.duplicate_rows = 0
 
@@ -111,22 +154,22 @@ class Sequencer:
         else:
             self.held[order] = row
 
-    def ready(self) -> Iterator[tuple[int, list]]:
+    def ready(self, skip: bool = True) -> Iterator[tuple[int, list]]:
         """Rows whose turn has come."""
         if self.start is None:
             yield from self.flush()
             return
         while self.held:
-            if self.last + 1 in self.held:
+            row = self.held.pop(self.last + 1, None)
+            if row is not None:
                 self.last += 1
-                yield self.last, self.held.pop(self.last)
-            elif len(self.held) > self.hold_rows:
-                self._skip()
+                yield self.last, row
+            elif skip and self.hold_rows is not None and len(self.held) > self.hold_rows:
+                self._skip(min(self.held))
             else:
                 return
 
-    def _skip(self) -> None:
-        first = min(self.held)
+    def _skip(self, first: int) -> None:
         self.skipped.append([self.last + 1, first - 1])
         self.last = first - 1
 
@@ -134,21 +177,43 @@ class Sequencer:
         """All waiting rows in order, gaps given up."""
         for order in sorted(self.held):
             if self.start is not None and order != self.last + 1:
-                self._skip()
+                self._skip(order)
             self.last = order
             yield order, self.held.pop(order)
 
     def to_state(self) -> dict[str, Any]:
+        """All but rows that the state store holds itself: of those, the number."""
         kept = {k: v for k, v in vars(self).items() if k not in ("start", "hold_rows", "held")}
+        if isinstance(self.held, StateRows):
+            return {**kept, "stored": self.held.stored}
         return {**kept, "held": [[k, v] for k, v in self.held.items()]}
 
     def from_state(self, state: dict[str, Any]) -> None:
-        vars(self).update({k: v for k, v in state.items() if k != "held"})
-        self.held = {k: v for k, v in state["held"]}
+        vars(self).update({k: v for k, v in state.items() if k not in ("held", "stored")})
+        if isinstance(self.held, StateRows):
+            self.held.stored = state["stored"]
+        else:
+            self.held = {k: v for k, v in state.get("held", ())}
+
+
+def _process(
+    key: tuple, task: str, rows: Iterator[tuple[int, list]], run: Any, metrics: RunningMetrics, queue: Sequencer, log_every: int
+) -> Iterator[tuple]:
+    """The log rows of ``rows``, which pass through the run in order."""
+    for order, (features, actual) in rows:
+        prediction, error, drift, _ = run.step((order, features, actual))
+        if prediction is not None:
+            metrics.update(error, drift)
+            if order % log_every == 0:
+                yield (*key, *metrics.row(task, order), queue.late_rows, queue.duplicate_rows)
+
+
+def _log_frame(keys: Sequence[str], out: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(out, columns=[*keys, *METRIC_FIELDS.names]).astype(object)
 
 
 class _Run(StatefulProcessor):
-    """One key: run state, metrics and waiting rows, saved as one JSON value after each micro-batch."""
+    """One key: run state and metrics, saved as one JSON value after each micro-batch, and waiting rows by id."""
 
     def __init__(
         self,
@@ -156,7 +221,7 @@ class _Run(StatefulProcessor):
         make: Callable[[Mapping[str, Any]], Any],
         log_every: int,
         start: int | None,
-        hold_rows: int,
+        hold_rows: int | None,
         patience_ms: int | None,
     ):
         self.keys, self.make, self.log_every = list(keys), make, log_every
@@ -165,9 +230,11 @@ class _Run(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.saved = handle.getValueState("run", T.StructType([T.StructField("state", T.StringType())]))
+        self.waiting = handle.getMapState("waiting", "id long", "row string")
 
     def _load(self, named: dict[str, Any]) -> tuple[Any, RunningMetrics, Sequencer]:
-        run, metrics, queue = self.make(named), RunningMetrics(), Sequencer(self.start, self.hold_rows)
+        run, metrics = self.make(named), RunningMetrics()
+        queue = Sequencer(self.start, self.hold_rows, StateRows(self.waiting))
         if self.saved.exists():
             state = json.loads(self.saved.get()[0])
             run.from_state(state["run"])
@@ -179,43 +246,34 @@ class _Run(StatefulProcessor):
         state = {"run": run.to_state(), "metrics": metrics.to_state(), "queue": queue.to_state()}
         self.saved.update((json.dumps(state),))
 
-    def _process(self, key: tuple, task: str, rows: Iterator[tuple[int, list]], parts: tuple) -> list[tuple]:
-        run, metrics, queue = parts
-        out = []
-        for order, (features, actual) in rows:
-            prediction, error, drift, _ = run.step((order, features, actual))
-            if prediction is not None:
-                metrics.update(error, drift)
-                if order % self.log_every == 0:
-                    out.append((*key, *metrics.row(task, order), queue.late_rows, queue.duplicate_rows))
-        return out
-
-    def _frame(self, out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(out, columns=[*self.keys, *METRIC_FIELDS.names]).astype(object)
-
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         named = dict(zip(self.keys, key))
         run, metrics, queue = self._load(named)
+
+        def logged(turn: Iterator[tuple[int, list]]) -> list[tuple]:
+            return list(_process(key, named["task"], turn, run, metrics, queue, self.log_every))
+
         out = []
-        # frames are worked off one after the other; only what came too early is kept
+        # frames are worked off one after the other; only what came too early is kept, and no gap is given up before the last
         for frame in rows:
             cells = (frame["instance_id"].tolist(), frame["features"].tolist(), frame["actual"].tolist())
             for order, features, actual in zip(*cells):
                 queue.push(order, [[float(v) for v in features], actual])
             if self.start is not None:
-                out += self._process(key, named["task"], queue.ready(), (run, metrics, queue))
-        out += self._process(key, named["task"], queue.ready(), (run, metrics, queue))
+                out += logged(queue.ready(skip=False))
+                queue.held.settle()
+        out += logged(queue.ready())
         if queue.held and self.patience_ms is not None:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience_ms)
         self._save(run, metrics, queue)
-        yield self._frame(out)
+        yield _log_frame(self.keys, out)
 
     def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         named = dict(zip(self.keys, key))
         run, metrics, queue = self._load(named)
-        out = self._process(key, named["task"], queue.flush(), (run, metrics, queue))
+        out = list(_process(key, named["task"], queue.flush(), run, metrics, queue, self.log_every))
         self._save(run, metrics, queue)
-        yield self._frame(out)
+        yield _log_frame(self.keys, out)
 
     def close(self) -> None:
         pass
@@ -257,6 +315,15 @@ class FixedDrift:
         self.run.from_state(state)
 
 
+def _default_run(detection: Detection | None, classes: Sequence[int]) -> Callable[[Mapping[str, Any]], TestThenTrain]:
+    from tidemark.operators.learners import create_learner
+
+    def default(key: Mapping[str, Any]) -> TestThenTrain:
+        return TestThenTrain(key["task"], lambda: create_learner(key["task"], key["model"], classes), detection)
+
+    return default
+
+
 def stream_metrics(
     instances: DataFrame,
     keys: Sequence[str],
@@ -264,25 +331,20 @@ def stream_metrics(
     detection: Detection | None = Detection(),
     log_every: int = LOG_EVERY,
     start: int | None = 1,
-    hold_rows: int = HOLD_ROWS,
+    hold_rows: int | None = None,
     patience_ms: int | None = None,
     classes: Sequence[int] = (0, 1),
 ) -> DataFrame:
     """Metric-log rows of a stream of instances (``instance_id``, ``features``, ``actual``).
 
     ``start``: the first id of a key whose ids are dense, or None if they are not (then rows are taken in arrival
-    order); ``hold_rows`` and ``patience_ms`` (processing time): when a gap in the ids is given up. Log rows carry
-    the numbers of late and duplicate rows so far.
+    order); ``hold_rows`` and ``patience_ms`` (processing time): when a gap in the ids is given up, never if both are
+    None. Log rows carry the numbers of late and duplicate rows so far.
     """
-    from tidemark.operators.learners import create_learner
-
-    def default(key: Mapping[str, Any]) -> TestThenTrain:
-        return TestThenTrain(key["task"], lambda: create_learner(key["task"], key["model"], classes), detection)
-
     instances.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     types = [instances.schema[k] for k in keys]
     return instances.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Run(keys, make or default, log_every, start, hold_rows, patience_ms),
+        statefulProcessor=_Run(keys, make or _default_run(detection, classes), log_every, start, hold_rows, patience_ms),
         outputStructType=T.StructType([*types, *METRIC_FIELDS.fields]),
         outputMode="Append",
         timeMode="None" if patience_ms is None else "ProcessingTime",
@@ -298,6 +360,50 @@ def drain(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str]
     query.awaitTermination()
 
 
+def waiting_metrics(
+    spark: SparkSession,
+    checkpoint: str,
+    keys: Sequence[str],
+    make: Callable[[Mapping[str, Any]], Any] | None = None,
+    detection: Detection | None = Detection(),
+    log_every: int = LOG_EVERY,
+    classes: Sequence[int] = (0, 1),
+) -> DataFrame:
+    """Log rows of the rows that still wait behind a gap when a drained stream has stopped, the gaps given up.
+
+    Reads the state under ``checkpoint`` and leaves it as it is: if the missing ids come with a later drain, they are
+    processed as if this had not been asked. The other parameters are those of ``stream_metrics``.
+    """
+    build, names = make or _default_run(detection, classes), list(keys)
+
+    def state(variable: str) -> DataFrame:
+        return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", variable).load()
+
+    own = [F.col("key")[k].alias(k) for k in names]
+    rows = state("waiting").select(*own, F.col("user_map_key.id").alias("id"), F.col("user_map_value.row").alias("cell"))
+    runs = state("run").select(*own, F.lit(None).cast("long").alias("id"), F.col("value.state").alias("cell"))
+    both = runs.join(rows.select(*names).distinct(), names, "left_semi").unionByName(rows)
+    placed = both.repartition(*names).sortWithinPartitions(*[F.col(k) for k in names], F.col("id").asc_nulls_first())
+
+    def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = parts = None
+        for frame in frames:
+            out: list[tuple] = []
+            for *k, order, cell in zip(*(frame[c].tolist() for c in [*names, "id", "cell"])):
+                if tuple(k) != key:  # the state of a key comes before its rows
+                    key, saved = tuple(k), json.loads(cell)
+                    named = dict(zip(names, key))
+                    parts = build(named), RunningMetrics(), Sequencer()
+                    for part, name in zip(parts, ("run", "metrics", "queue")):
+                        part.from_state(saved[name])
+                    continue
+                out += _process(key, named["task"], iter([(int(order), json.loads(cell))]), *parts, log_every)
+            yield _log_frame(names, out)
+
+    types = [placed.schema[k] for k in names]
+    return placed.mapInPandas(finish, T.StructType([*types, *METRIC_FIELDS.fields]))
+
+
 def upsert_batches(df: DataFrame, path: str, checkpoint: str) -> None:
     """The same through ``foreachBatch``: one folder per batch id, so a repeated batch replaces itself."""
 
