@@ -106,3 +106,20 @@ def test_components(spark):
     frame = spark.createDataFrame(edges, "src long, dst long")
     got = {r["node"]: r["root"] for r in connected_components(frame).collect()}
     assert got == {**{i: 1 for i in range(1, 61)}, **{i: 100 for i in range(100, 160)}}
+
+
+def pair_texts(rng, new):
+    """Two texts of 396 five-word shingles each that differ in the last ``new``."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    return " ".join(base), " ".join(base[: 400 - new] + [f"x{rng.randrange(10**6)}" for _ in range(new)])
+
+
+def test_pairs_just_above_the_similarity_are_found(spark):
+    rng = random.Random(4)
+    new = [32 + i % 13 for i in range(390)]  # similarity 0.85 down to exactly 0.80
+    rows = [(2 * i + side, text) for i, n in enumerate(new) for side, text in enumerate(pair_texts(rng, n))]
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = [2 * i + 1 not in kept for i in range(len(new))]
+    print("recall", sum(found) / len(new), "at 0.80", sum(f for f, n in zip(found, new) if n == 44) / new.count(44))
+    assert all(2 * i in kept for i in range(len(new)))
+    assert sum(found) >= 0.99 * len(new) and sum(f for f, n in zip(found, new) if n > 41) >= 0.98 * sum(n > 41 for n in new)

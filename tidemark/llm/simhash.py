@@ -3,8 +3,8 @@
 Two searches share one join. With ``exact`` blocks (64 bits, small radius) the pigeonhole principle gives
 every pair within the radius: of ``radius + agree`` blocks at most ``radius`` can differ, so some ``agree``
 blocks are equal, and each choice of ``agree`` blocks is one key. With ``sampled`` blocks (long
-fingerprints, wide radius) keys are seeded bit samples whose number and width follow from the number of
-fingerprints and the wanted recall.
+fingerprints, wide radius) keys are seeded bit samples of fixed width, as many as give the wanted recall of a
+pair at the radius. Whether a pair is found depends on its two fingerprints alone.
 
 Equal fingerprints collapse to one row before the join. Keys held by one fingerprint are dropped, a key
 held by many is cut into chunks. A chunk returns a spanning forest of its links, never its pairs. Chunks of a
@@ -44,8 +44,9 @@ SEED = 42
 class SimHash:
     """``words`` per shingle, ``bits`` (a multiple of 64), links at ``radius`` or fewer differing bits.
 
-    ``distinct``: count each different shingle once. ``similarity`` (of shingle sets, at the radius) and
-    ``recall`` steer the sampled blocks; None means exact pigeonhole blocks, ``agree`` of which are one key.
+    ``distinct``: count each different shingle once. With ``similarity`` (wanted of shingle sets) blocks are samples of
+    ``width`` bits with ``recall`` for a pair at the radius; None means exact pigeonhole blocks, ``agree`` of which
+    are one key.
     """
 
     words: int = 4
@@ -55,17 +56,17 @@ class SimHash:
     agree: int = 3
     similarity: float | None = None
     recall: float = 0.97
+    width: int = 18
 
 
 def jaccard_simhash(words: int = 5, similarity: float = 0.8, bits: int = 1024) -> SimHash:
     """Links of shingle sets with Jaccard ``similarity`` or more, judged by the Hamming distance.
 
-    Sets of Jaccard J have cosine 2J/(1+J); a bit differs with probability angle/pi. The radius is 1.64
-    standard deviations above the mean distance at ``similarity``, which keeps 95 % of the pairs at just that
-    similarity, over 99.9 % from 0.85 on, and links few pairs below 0.72.
+    Sets of Jaccard J have cosine 2J/(1+J); a bit differs with probability angle/pi. The radius is three
+    standard deviations above the mean distance at ``similarity``: 99.8 % of the pairs at just that similarity lie within.
     """
     p = flip_probability(similarity)
-    radius = math.floor(bits * p + 1.64 * math.sqrt(bits * p * (1 - p)))
+    radius = math.floor(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
     return SimHash(words, bits, radius, True, similarity=similarity)
 
 
@@ -143,13 +144,12 @@ def _block_keys(spec: SimHash) -> Column:
     return F.array(*keys)
 
 
-def block_plan(spec: SimHash, count: int) -> list[np.ndarray]:
-    """Seeded bit samples: wide enough that unrelated fingerprints seldom meet, enough for the recall."""
-    width = min(48, math.ceil(math.log2(max(count, 2))) + 4)
-    meet = (1 - flip_probability(spec.similarity)) ** width
+def block_plan(spec: SimHash) -> list[np.ndarray]:
+    """Seeded bit samples, enough that a pair at the radius agrees on one with probability ``recall``."""
+    meet = math.comb(spec.bits - spec.radius, spec.width) / math.comb(spec.bits, spec.width)
     number = math.ceil(math.log(1 - spec.recall) / math.log1p(-meet))
     rng = np.random.default_rng(SEED)
-    return [rng.choice(spec.bits, width, replace=False) for _ in range(number)]
+    return [rng.choice(spec.bits, spec.width, replace=False) for _ in range(number)]
 
 
 def _sampled_keys(unique: DataFrame, spec: SimHash, plan: list[np.ndarray]) -> DataFrame:
@@ -201,7 +201,7 @@ def group_fingerprints(unique: DataFrame, spec: SimHash, chunk: int = CHUNK) ->
         number = math.comb(spec.radius + spec.agree, spec.agree)
         keys = spread(unique, count * number).select(F.explode(_block_keys(spec)).alias("key"), "uid")
     else:
-        plan = block_plan(spec, count)
+        plan = block_plan(spec)
         keys = _sampled_keys(spread(unique, count * len(plan)), spec, plan)
     held = materialize(shared_keys(keys), "blocks")
     most = held.agg(F.max("n")).first()[0] or 0
