@@ -123,3 +123,34 @@ def test_pairs_just_above_the_similarity_are_found(spark):
     print("recall", sum(found) / len(new), "at 0.80", sum(f for f, n in zip(found, new) if n == 44) / new.count(44))
     assert all(2 * i in kept for i in range(len(new)))
     assert sum(found) >= 0.99 * len(new) and sum(f for f, n in zip(found, new) if n > 41) >= 0.98 * sum(n > 41 for n in new)
+
+
+def test_pairs_below_the_similarity_stay(spark):
+    rng = random.Random(6)
+    new = [45 + i % 20 for i in range(200)]  # similarity 0.796 down to 0.72, most of them within the radius
+    rows = [(2 * i + side, text) for i, n in enumerate(new) for side, text in enumerate(pair_texts(rng, n))]
+    assert simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
+
+
+@pytest.mark.parametrize("slot", [4, 256])
+def test_exact_groups_lose_and_add_no_link(spark, slot):
+    rng = random.Random(2)
+    spec = simhash.jaccard_simhash()
+    texts = []
+    for _ in range(3):  # chains of copies of copies, some links of which are too weak
+        text = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        for _ in range(25):
+            texts.append(" ".join(text))
+            at, cut = rng.randrange(150), rng.choice([2, 9, 14, 22, 30])
+            text = text[:at] + [f"x{rng.randrange(10**6)}" for _ in range(cut)] + text[at + cut :]
+    hashes = [simhash.shingle_hashes(t.encode(), 5, True) for t in texts]
+    near = [set(h.tolist()) for h in hashes]
+    lanes = [simhash.fingerprint(h, 16).view(np.int64).tolist() for h in hashes]
+    names = [f"w{i}" for i in range(16)]
+    schema = "uid long, shingles binary, " + ", ".join(f"{n} long" for n in names)
+    sets = spark.createDataFrame([(i, bytearray(h.tobytes()), *w) for i, (h, w) in enumerate(zip(hashes, lanes))], schema)
+    found = spark.createDataFrame([(i, i // 25) for i in range(75)], "node long, root long")
+    got = {r["node"]: r["root"] for r in simhash.exact_groups(found, sets, spec, slot).collect()}
+    roots = brute_roots(75, lambda i, j: len(near[i] & near[j]) >= 0.8 * len(near[i] | near[j]))
+    assert [got.get(i, i) for i in range(75)] == roots
+    assert 3 < len(set(roots)) < 75

@@ -4,7 +4,8 @@ Two searches share one join. With ``exact`` blocks (64 bits, small radius) the p
 every pair within the radius: of ``radius + agree`` blocks at most ``radius`` can differ, so some ``agree``
 blocks are equal, and each choice of ``agree`` blocks is one key. With ``sampled`` blocks (long
 fingerprints, wide radius) keys are seeded bit samples of fixed width, as many as give the wanted recall of a
-pair at the radius. Whether a pair is found depends on its two fingerprints alone.
+pair at the radius. Whether a pair is found depends on its two fingerprints alone. These links only make
+candidate groups: inside them links are searched anew by the exact similarity of the shingle sets.
 
 Equal fingerprints collapse to one row before the join. Keys held by one fingerprint are dropped, a key
 held by many is cut into chunks. A chunk returns a spanning forest of its links, never its pairs. Chunks of a
@@ -37,6 +38,7 @@ from tidemark.llm.common import (
 from tidemark.llm.components import connected_components
 
 CHUNK = 2048  # rows of one key that a task compares at once
+EXACT_ROWS, EXACT_BYTES = 256, 4 << 20  # rows and bytes of shingle sets of one candidate group that a task compares
 SEED = 42
 
 
@@ -60,7 +62,7 @@ class SimHash:
 
 
 def jaccard_simhash(words: int = 5, similarity: float = 0.8, bits: int = 1024) -> SimHash:
-    """Links of shingle sets with Jaccard ``similarity`` or more, judged by the Hamming distance.
+    """Links of shingle sets with Jaccard ``similarity`` or more; the Hamming distance only proposes them.
 
     Sets of Jaccard J have cosine 2J/(1+J); a bit differs with probability angle/pi. The radius is three
     standard deviations above the mean distance at ``similarity``: 99.8 % of the pairs at just that similarity lie within.
@@ -113,17 +115,21 @@ def fingerprints(docs: DataFrame, spec: SimHash = SimHash()) -> DataFrame:
 
     Null and wordless texts have fingerprint zero.
     """
+    return _prints(docs, spec, False)
+
+
+def _prints(docs: DataFrame, spec: SimHash, with_sets: bool) -> DataFrame:
+    """The rows of ``fingerprints``, on demand with the sorted hashes of the shingles as bytes."""
     names = _lanes(spec)
 
     def run(batch: pa.RecordBatch):
-        rows = [
-            fingerprint(shingle_hashes(text, spec.words, spec.distinct), len(names))
-            for text in text_bytes(batch.column(1))
-        ]
-        lanes = np.stack(rows).view(np.int64)
-        yield [batch.column(0), *(lanes[:, i] for i in range(len(names)))]
+        hashes = [shingle_hashes(text, spec.words, spec.distinct) for text in text_bytes(batch.column(1))]
+        lanes = np.stack([fingerprint(h, len(names)) for h in hashes]).view(np.int64)
+        sets = [[h.astype("<u8").tobytes() for h in hashes]] if with_sets else []
+        yield [batch.column(0), *(lanes[:, i] for i in range(len(names))), *sets]
 
-    return mapped(texts(docs), run, ", ".join(["doc_id long", *(f"{n} long" for n in names)]))
+    columns = ["doc_id long", *(f"{n} long" for n in names), *(["shingles binary"] if with_sets else [])]
+    return mapped(texts(docs), run, ", ".join(columns))
 
 
 def _block_keys(spec: SimHash) -> Column:
@@ -228,18 +234,129 @@ def group_fingerprints(unique: DataFrame, spec: SimHash, chunk: int = CHUNK) ->
     )
 
 
+def _search(columns: dict[str, np.ndarray], start: int, end: int, names: list[str], spec: SimHash) -> list[tuple[int, int]]:
+    """Spanning links (positions) of the rows from ``start`` to ``end`` by exact similarity.
+
+    Rows of one label are connected already and are not compared with each other.
+    """
+    words = np.stack([columns[n][start:end].astype(np.int64).view(np.uint64) for n in names], axis=1)
+    label = columns["label"][start:end]
+    sets = [np.frombuffer(s, dtype="<u8") for s in columns["shingles"][start:end]]
+    size = np.array([len(s) for s in sets])
+    open_ = np.ones(end - start, dtype=bool)  # rows that no search has reached
+    links = []
+    for first in range(end - start):
+        if not open_[first]:
+            continue
+        mates = np.flatnonzero(label == label[first])
+        open_[mates] = False
+        reached = mates.tolist()
+        while reached:
+            i = reached.pop()
+            # the longest common part is the smaller set, the smallest union the larger one
+            fits = open_ & (np.minimum(size, size[i]) >= spec.similarity * np.maximum(size, size[i]))
+            fits[fits] = np.bitwise_count(words[fits] ^ words[i]).sum(axis=1) <= spec.radius
+            for j in np.flatnonzero(fits):
+                if not open_[j]:
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if common >= spec.similarity * (size[i] + size[j] - common):
+                    links.append((start + i, start + int(j)))
+                    mates = np.flatnonzero(label == label[j])
+                    open_[mates] = False
+                    reached += mates.tolist()
+    return links
+
+
+def _exact_links(placed: DataFrame, spec: SimHash) -> DataFrame:
+    """(group, slot, uid, label, shingles, words) to the edges of a spanning forest over the labels of each slot."""
+    names, keys = _lanes(spec), ["group", "slot"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in sorted_runs(batches, keys):
+            for start, end in run_bounds(columns, keys):
+                links = _search(columns, start, end, names, spec)
+                if links:
+                    ends = columns["uid"][np.array(links)]
+                    yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["src", "dst"])
+
+    rows = placed.select(*keys, "uid", "label", "shingles", *names)
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long")
+
+
+def exact_groups(found: DataFrame, sets: DataFrame, spec: SimHash, rows: int = EXACT_ROWS) -> DataFrame:
+    """Components of the links with exact similarity inside the candidate groups ``found`` (node, root).
+
+    ``sets``: (uid, shingles, words). A large group is cut into slots. After the search inside the slots, one row of
+    each component of a group is searched with the others until no link comes up; only what then still lies
+    apart is compared slot by slot, so that no link within the radius is lost.
+    """
+    members = sets.join(found.select(F.col("node").alias("uid"), F.col("root").alias("group")), "uid")
+    members = materialize(members, "candidates")
+    index = members.select("uid", "group", F.octet_length("shingles").alias("bytes"))
+
+    def dealt(chosen: DataFrame, turn: int) -> DataFrame:
+        """``chosen`` (uid, group, label, bytes) with ``slots`` of its group and ``slot``."""
+        sizes = chosen.groupBy("group").agg(
+            F.greatest(
+                F.ceil(F.count(F.lit(1)) / rows), F.ceil(F.sum("bytes") / EXACT_BYTES), F.lit(1)
+            ).cast("long").alias("slots")
+        )
+        return chosen.join(sizes, "group").withColumn("slot", F.pmod(F.xxhash64("uid", F.lit(turn)), "slots"))
+
+    def searched(chosen: DataFrame) -> DataFrame:
+        return materialize(_exact_links(chosen.drop("group").join(members, "uid"), spec), "links")
+
+    def labelled(edges: DataFrame) -> DataFrame:
+        known = connected_components(edges).select(F.col("node").alias("uid"), F.col("root").alias("label"))
+        own = index.join(known, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+        return materialize(own, "labels")
+
+    first = materialize(dealt(index.withColumn("label", F.col("uid")), 0), "slots")
+    edges = searched(first)
+    large = first.filter("slots > 1").select("uid", "slot", "slots")
+    if large.isEmpty():
+        return connected_components(edges)
+
+    def apart(labels: DataFrame) -> DataFrame:
+        """Rows of the large groups that are not one component."""
+        split = labels.groupBy("group").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
+        return labels.join(split.select("group"), "group", "left_semi").join(large, "uid")
+
+    turn = 0
+    while True:
+        turn += 1
+        left = apart(labelled(edges))
+        more = searched(dealt(left.filter("uid = label").drop("slot", "slots"), turn))
+        if more.isEmpty():
+            break
+        edges = edges.union(more)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))
+    pairs = left.withColumn("other", other).filter("slot <> other")
+    pair = F.least("slot", "other") * F.col("slots") + F.greatest("slot", "other")
+    return connected_components(edges.union(searched(pairs.withColumn("slot", pair))))
+
+
 def near_duplicates(docs: DataFrame, spec: SimHash = SimHash(), chunk: int = CHUNK) -> DataFrame:
     """One row per row of ``docs``: doc_id, the fingerprint words and ``component_id``.
 
     ``component_id`` is the smallest doc_id reachable by links. A null doc_id never is one while another
     member has an id. Null and wordless texts share fingerprint zero and so form one group. Equal rows
-    each get their row. Empty input gives an empty result.
+    each get their row. Empty input gives an empty result. With ``similarity`` links are exact; equal long
+    fingerprints count as equal sets.
     """
-    names = _lanes(spec)
-    prints = materialize(fingerprints(docs, spec), "prints")
-    unique = prints.groupBy(*names).agg(F.min("doc_id").alias("first_id"))
-    unique = materialize(unique.withColumn("uid", F.monotonically_increasing_id()), "unique")
+    names, exact = _lanes(spec), spec.similarity is not None
+    prints = _prints(docs, spec, exact)
+    if exact:  # the row that stands for its fingerprint
+        prints = prints.withColumn("row", F.monotonically_increasing_id())
+    prints = materialize(prints, "prints")
+    unique = prints.groupBy(*names).agg(F.min("doc_id").alias("first_id"), *([F.min("row").alias("uid")] if exact else []))
+    unique = unique if exact else unique.withColumn("uid", F.monotonically_increasing_id())
+    unique = materialize(unique, "unique")
     groups = group_fingerprints(unique, spec, chunk)
+    if exact:
+        groups = materialize(groups, "groups")
+        groups = exact_groups(groups, prints.select(F.col("row").alias("uid"), "shingles", *names), spec)
     rooted = unique.join(groups, unique["uid"] == groups["node"], "left").withColumn(
         "root", F.coalesce("root", "uid")
     )
