@@ -1,6 +1,7 @@
 """Packing, sharding and archives."""
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -168,3 +169,30 @@ def test_repeated_records_are_audited(spark):
     one = frame.limit(8).dropDuplicates(["page_id", "url"])
     got = warc.audit(warc.replica(frame), warc.replica(one)).collect()
     assert [(r["page_id"], r["status"]) for r in got] == [(4, "changed")]
+
+
+def test_audit_reads_the_stored_bytes(spark, tmp_path):
+    frame = pages(spark)
+    for side in ("one", "two"):
+        warc.write_archives(frame, str(tmp_path / side), records=100)
+    paths = [str(tmp_path / side) for side in ("one", "two")]
+    assert warc.audit_archives(spark, *paths, frame).count() == 0
+    # 704 records by (page_id, url): the null id first, and an extra record for the ids 3 and 4 (twice)
+    files = sorted(r["file"] for r in warc.read_archives(spark, paths[0]).groupBy("file").count().filter("count = 100").collect())
+    assert len(files) == 7
+    target, = (tmp_path / "two" / "archive=2").glob("part-*")
+    data = bytearray(target.read_bytes())
+    at, length, *_ = list(warc.parse_records(bytes(data)))[41]
+    data[at + length - 6] ^= 1  # one bit of the payload of record 41 of file 2
+    target.write_bytes(data)
+    (crc,) = (tmp_path / "two" / "archive=2").glob(".part-*.crc")
+    crc.write_bytes(checksums(data))
+    row, = warc.audit_archives(spark, *paths, frame).collect()
+    assert (row["archive"], row["record_no"], row["offset"], row["length"], row["status"]) == (2, 41, at, length, "changed")
+    assert row["page_id"] == 241 - 4 and row["url"] == f"http://x/{row['page_id']}"
+
+
+def checksums(data, size=512):
+    """The checksum file that Hadoop keeps beside a local file."""
+    sums = [zlib.crc32(bytes(data[i : i + size])) for i in range(0, len(data), size)]
+    return b"crc\0" + size.to_bytes(4, "big") + b"".join(c.to_bytes(4, "big") for c in sums)

@@ -19,6 +19,7 @@ from tidemark.llm import (
     warc,
 )
 from tidemark.llm.common import table
+from tidemark.session import scratch_path
 
 
 def op1_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +67,10 @@ def damaged(pages: DataFrame) -> DataFrame:
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return warc.audit(warc.replica(pages), warc.replica(damaged(pages)))
+    root = scratch_path(spark, "archives")
+    warc.write_archives(pages, f"{root}/one")
+    warc.write_archives(damaged(pages), f"{root}/two")
+    return warc.audit_archives(spark, f"{root}/one", f"{root}/two", pages)
 
 
 def op7_tokenpack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ A replica is a set of records, each with an id, its length and the SHA-256 of it
 both replicas; ``FANOUT`` consecutive records (an ordered range of offsets) make a node, ``FANOUT`` nodes the next
 level, up to one root. A node's hash covers its children's places, lengths and hashes. The audit compares
 roots and reads, level by level, only the children of nodes that differ, down to the damaged records.
+``audit_archives`` takes lengths, digests and places from the bytes of two replicas' archive files.
 Each level is one grouped aggregate of at most ``FANOUT`` children a group, stored as a table.
 """
 
@@ -12,27 +13,31 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize
+from tidemark.llm.common import materialize, small_batches
 
 FANOUT = 16
 ARCHIVE = FANOUT**3  # records of one archive file
 _POSITION = (1 << 33) - 1  # row number within its partition, in monotonically_increasing_id
 
 
+def _identity(page_id: Column, url: Column) -> Column:
+    return F.md5(F.concat_ws("\n", page_id.cast("string"), url.cast("string")))
+
+
 def record(page_id: Column, url: Column, html: Column) -> Column:
     """The WARC/1.1 resource record of a page as text; its UTF-8 bytes are the record. Nulls count as empty."""
     body = F.coalesce(html.cast("string"), F.lit(""))
-    identity = F.md5(F.concat_ws("\n", page_id.cast("string"), url.cast("string")))
     header = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Target-URI: "),
         F.regexp_replace(F.coalesce(url.cast("string"), F.lit("")), "[\r\n]", ""),
         F.lit("\r\nWARC-Record-ID: <urn:md5:"),
-        identity,
+        _identity(page_id, url),
         F.lit(">\r\nContent-Type: text/html\r\nContent-Length: "),
         F.octet_length(body).cast("string"),
         F.lit("\r\n\r\n"),
@@ -68,8 +73,12 @@ def _leaves(one: DataFrame, two: DataFrame) -> DataFrame:
         return [leaf.alias(f"hash_{side}"), F.sum(F.when(mine, F.col("length"))).alias(f"length_{side}")]
 
     leaves = both.groupBy("page_id", "url").agg(*of("a"), *of("b"))
-    order = ["page_id", "url"]
-    placed = leaves.repartitionByRange(*order).sortWithinPartitions(*order)
+    return _ranked(leaves, ["page_id", "url"])
+
+
+def _ranked(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``index``, their rank by ``order`` from 0."""
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialize(placed.withColumn("mid", F.monotonically_increasing_id()), "leaves")
     part = F.shiftright("mid", 33).alias("part")
     sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
@@ -109,26 +118,36 @@ def trees(one: DataFrame, two: DataFrame) -> list[DataFrame]:
     return levels
 
 
+def _descend(levels: list[DataFrame]) -> DataFrame:
+    """The leaves that differ, found from the roots down."""
+    differs = ~F.col("hash_a").eqNullSafe(F.col("hash_b"))
+    found = levels[-1].filter(differs)
+    for level in reversed(levels[:-1]):
+        wanted = found.select(F.col("index").alias("up"))
+        below = level.withColumn("up", F.floor(F.col("index") / FANOUT).cast("long"))
+        found = below.join(wanted, "up", "left_semi").filter(differs).drop("up")
+    return found
+
+
+def _status() -> Column:
+    return F.when(F.col("hash_b").isNull(), "missing").when(F.col("hash_a").isNull(), "extra").otherwise("changed")
+
+
 def audit(one: DataFrame, two: DataFrame) -> DataFrame:
     """Records that differ between two replicas (as from ``replica``), found from the roots down.
 
-    page_id, url, archive and record_no (place in the archive), offset and length in replica one (null if it lacks
-    the record), status (changed, missing, extra) and both hashes. Equal replicas give no row. Null ids and
+    page_id, url, archive and record_no (rank over both replicas, as places), offset and length in replica one (null if
+    it lacks the record), status (changed, missing, extra) and both hashes. Equal replicas give no row. Null ids and
     urls are a record id of their own; repeated records of one id are one leaf.
     """
     levels = trees(one, two)
     differs = ~F.col("hash_a").eqNullSafe(F.col("hash_b"))
-    found = levels[-1].filter(differs)
-    for level in reversed(levels[:-1]):
-        wanted = found.select(F.col("index").alias("up"))
-        below = level.withColumn("up", F.floor(F.col("index") / FANOUT).cast("long"))
-        found = below.join(wanted, "up", "left_semi").filter(differs).drop("up")
+    found = _descend(levels)
     archive = F.floor(F.col("index") / ARCHIVE).cast("long")
     before = Window.partitionBy("archive").orderBy("index").rowsBetween(Window.unboundedPreceding, -1)
     touched = found.select(archive.alias("archive")).distinct()
     placed = levels[0].withColumn("archive", archive).join(touched, "archive", "left_semi")
     placed = placed.withColumn("offset", F.coalesce(F.sum("length_a").over(before), F.lit(0)))
-    status = F.when(F.col("hash_b").isNull(), "missing").when(F.col("hash_a").isNull(), "extra").otherwise("changed")
     return placed.filter(differs).select(
         "page_id",
         "url",
@@ -136,23 +155,81 @@ def audit(one: DataFrame, two: DataFrame) -> DataFrame:
         (F.col("index") % ARCHIVE).alias("record_no"),
         F.when(F.col("hash_a").isNotNull(), F.col("offset")).alias("offset"),
         F.col("length_a").alias("length"),
-        status.alias("status"),
+        _status().alias("status"),
+        F.col("hash_a").alias("digest_a"),
+        F.col("hash_b").alias("digest_b"),
+    )
+
+
+def audit_archives(spark: SparkSession, one: str, two: str, pages: DataFrame) -> DataFrame:
+    """The columns of ``audit`` for two replicas written by ``write_archives``, from the bytes of their files.
+
+    archive, record_no, offset and length are the place in the files of replica one (its first record, where records
+    repeat); null if it lacks the record. ``pages`` (page_id, url) names the record ids, which are hashes. A record
+    whose id is not among them has a null page_id and the url of its header.
+    """
+    names = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string")).distinct()
+    names = names.withColumn("record_id", F.concat(F.lit("<urn:md5:"), _identity(F.col("page_id"), F.col("url")), F.lit(">")))
+
+    def stored(path: str, label: str) -> DataFrame:
+        read = read_archives(spark, path, html=False).withColumnRenamed("url", "uri")
+        archive = F.regexp_extract("file", r"archive=(\d+)/", 1).cast("long")
+        known = F.col("names_it").isNotNull()
+        named = read.join(names.withColumn("names_it", F.lit(True)), "record_id", "left")
+        return materialize(
+            named.select(
+                "page_id", F.when(known, F.col("url")).otherwise(F.col("uri")).alias("url"),
+                "length", "digest", archive.alias("archive"), "record_no", "offset",
+            ),
+            label,
+        )
+
+    a, b = stored(one, "replica-one"), stored(two, "replica-two")
+    ids = ["page_id", "url", "length", "digest"]
+    found = _descend(trees(a.select(*ids), b.select(*ids)))
+    place = F.min(F.struct("archive", "record_no", "offset")).alias("place")
+    places = a.groupBy(F.col("page_id").alias("p"), F.col("url").alias("u")).agg(place)
+    same = F.col("page_id").eqNullSafe(F.col("p")) & F.col("url").eqNullSafe(F.col("u"))
+    return found.join(places, same, "left").select(
+        "page_id",
+        "url",
+        "place.archive",
+        "place.record_no",
+        "place.offset",
+        F.col("length_a").alias("length"),
+        _status().alias("status"),
         F.col("hash_a").alias("digest_a"),
         F.col("hash_b").alias("digest_b"),
     )
 
 
 def write_archives(pages: DataFrame, path: str, records: int = ARCHIVE) -> None:
-    """WARC files of about ``records`` records each under ``path``, in page_id order, written by Spark's committer."""
+    """WARC files of ``records`` records each under ``path`` (the last one may have fewer), written by Spark's committer.
+
+    Records are cut by their exact rank by (page_id, url); file k is the one in ``archive=k``. Only ids and hashes are ranked.
+    """
     whole = record(F.col("page_id"), F.col("url"), F.col("html"))
-    count = max(1, -(-pages.count() // records))
     body = F.substring(whole, F.lit(1), F.char_length(whole) - 1)  # the writer adds the last line feed
-    placed = pages.select(F.col("page_id").cast("long"), body.alias("value"))
-    placed = placed.repartitionByRange(count, "page_id", F.xxhash64("value")).sortWithinPartitions("page_id", "value")
-    placed.select("value").write.option("lineSep", "\n").text(path)
+    key = ["page_id", "url", "hash"]
+    placed = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), body.alias("value"))
+    placed = placed.withColumn("hash", F.xxhash64("value"))
+    ranks = _ranked(placed.select(*key), key).groupBy(*key).agg(F.min("index").alias("index"), F.count(F.lit(1)).alias("n"))
+    ranks = materialize(ranks.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)], "index", "n"), "ranks")
+    same = F.lit(True)
+    for i, k in enumerate(key):
+        same &= F.col(k).eqNullSafe(F.col(f"k{i}"))
+    ranked = placed.join(ranks, same)
+    if not ranks.filter("n > 1").isEmpty():  # copies take consecutive ranks
+        copy = F.row_number().over(Window.partitionBy(*key).orderBy("value")) - 1
+        many = ranked.filter("n > 1").withColumn("index", F.col("index") + copy)
+        ranked = ranked.filter("n = 1").unionByName(many)
+    files = ranked.select(F.floor(F.col("index") / records).cast("long").alias("archive"), "index", "value")
+    files = files.repartition("archive").sortWithinPartitions("archive", "index").select("archive", "value")
+    files.write.partitionBy("archive").option("lineSep", "\n").text(path)
 
 
 _LENGTH = re.compile(rb"(?im)^Content-Length:\s*(\d+)")
+_ID = re.compile(rb"(?im)^WARC-Record-ID:[ \t]*([^\r\n]*)")
 _URI = re.compile(rb"(?im)^WARC-Target-URI:[ \t]*([^\r\n]*)")
 
 
@@ -171,23 +248,34 @@ def parse_records(data: bytes) -> Iterator[tuple[int, int, str, str, bytes]]:
         at = end
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(file, record_no, offset, length, url, digest, html) of the archives under ``path``."""
+def read_archives(spark: SparkSession, path: str, html: bool = True) -> DataFrame:
+    """(file, record_no, offset, length, url, record_id, digest[, html]) of the archives under ``path``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = list(parse_records(data))
-                if not rows:
-                    continue
-                offset, length, uri, digest, payload = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([file] * len(rows)), pa.array(range(len(rows)), type=pa.int64()),
-                     pa.array(offset, type=pa.int64()), pa.array(length, type=pa.int64()), pa.array(uri), pa.array(digest),
-                     pa.array([p.decode("utf-8", "replace") for p in payload])],
-                    names=["file", "record_no", "offset", "length", "url", "digest", "html"],
-                )
-
-    schema = "file string, record_no long, offset long, length long, url string, digest string, html string"
+            for file, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = data.as_py()
+                for part in _chunks(parse_records(data), 256):
+                    offset, length, uri, digest, payload = zip(*(r for _, r in part))
+                    found = [_ID.search(data, at, max(at, at + n - len(p))) for at, n, p in zip(offset, length, payload)]
+                    columns = [
+                        pa.array([file] * len(part)), pa.array([i for i, _ in part], type=pa.int64()),
+                        pa.array(offset, type=pa.int64()), pa.array(length, type=pa.int64()), pa.array(uri),
+                        pa.array([f[1].decode("utf-8", "replace") if f else "" for f in found]), pa.array(digest),
+                    ]
+                    if html:
+                        columns.append(pa.array([p.decode("utf-8", "replace") for p in payload]))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["file", "record_no", "offset", "length", "url", "record_id", "digest", *(["html"] if html else [])]
+    schema = ", ".join(f"{n} {'long' if n in ('record_no', 'offset', 'length') else 'string'}" for n in names)
+    small_batches(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("path", "content").mapInArrow(run, schema)
+
+
+def _chunks(rows: Iterator, size: int) -> Iterator[list]:
+    """Numbered rows in lists of at most ``size``."""
+    numbered = enumerate(rows)
+    while part := list(islice(numbered, size)):
+        yield part
