@@ -212,3 +212,40 @@ def test_boxes_and_histogram(spark):
     assert (r.q1, r.median, r.q3, r.low_whisker, r.high_whisker, r.outliers) == (2, 3, 4, 1, 4, 1)
     bins = {r.bin: r.rows for r in analysis.histogram(df, "v", bins=3).collect()}
     assert bins == {1: 4, 3: 1}
+
+
+def test_drift_events_are_stored_whole(spark, tmp_path):
+    many = 100_050
+    events = spark.range(1, many + 1).select(
+        F.lit("d").alias("dataset"),
+        F.lit("regression").alias("task"),
+        F.lit("my_model").alias("model"),
+        (F.col("id") * 2000).alias("instance_id"),
+        F.lit("ADWIN").alias("detector"),
+        F.current_timestamp().alias("timestamp"),
+    )
+    logs.write_drift_events(events, str(tmp_path))
+    read = logs.read_drift_events(spark, str(tmp_path))
+    assert read.groupBy("dataset", "task", "model").agg(F.count("timestamp"), F.max("instance_id")).collect() == [
+        ("d", "regression", "my_model", many, many * 2000)
+    ]
+
+
+def test_summary_queries_know_every_drift(spark, tmp_path, monkeypatch):
+    from tidemark.catalog import queries
+
+    many = 100_050
+    pred = spark.range(1, many + 1).select(
+        F.lit("d").alias("dataset"),
+        F.lit("regression").alias("task"),
+        F.lit("m").alias("model"),
+        F.col("id").alias("instance_id"),
+        F.lit(1.0).alias("prediction"),
+        F.lit(1.0).alias("actual"),
+        F.lit(0).alias("error"),
+        F.lit(True).alias("drift"),
+    )
+    monkeypatch.setattr(queries, "_pred", lambda spark, sf_dir: pred)
+    assert queries.summary_scan_events(spark, "").agg(F.count("*"), F.max("instance_id")).first() == (many, many)
+    row = queries.preq_run_summary(spark, "").first()
+    assert (row.drift_events, row.first_drift, row.listed_drifts) == (many, 1, many)

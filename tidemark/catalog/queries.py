@@ -163,13 +163,15 @@ def metrics_log_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def preq_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = _pred(spark, sf_dir)
     events = metrics.drift_events(pred, KEYS)
-    out = metrics.with_drift_details(metrics.run_summary(pred, KEYS), events, KEYS)
-    return out.select(
+    listed = events.groupBy(*KEYS).agg(
+        F.min("instance_id").alias("first_drift"), F.count(F.lit(1)).cast("int").alias("listed_drifts")
+    )
+    return metrics.run_summary(pred, KEYS).join(listed, KEYS, "left").select(
         *KEYS,
         "total_instances",
         "drift_events",
-        F.col("drift_details")[0]["instance_id"].alias("first_drift"),
-        F.size("drift_details").alias("listed_drifts"),
+        "first_drift",
+        "listed_drifts",
         "cumulative_accuracy",
         "window_accuracy",
         "cumulative_mae",
@@ -625,11 +627,12 @@ def log_scan_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary_scan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the runs' JSON summaries, reads them back and flattens the drift events."""
+    """Writes the runs' JSON summaries and, beside them, their drift events, and reads the events back."""
     root, pred = scratch_path(spark, "summaries"), _pred(spark, sf_dir)
-    summary = metrics.with_drift_details(metrics.run_summary(pred, KEYS), metrics.drift_events(pred, KEYS), KEYS)
-    logs.write_run_summaries(summary, root)
-    return logs.drift_details(logs.read_run_summaries(spark, root)).select(*KEYS, "instance_id", "detector")
+    logs.write_run_summaries(metrics.run_summary(pred, KEYS), root)
+    logs.write_drift_events(metrics.drift_events(pred, KEYS), root)
+    runs = logs.read_run_summaries(spark, root).select(*KEYS)
+    return logs.read_drift_events(spark, root).join(runs, KEYS, "left_semi").select(*KEYS, "instance_id", "detector")
 
 
 def model_task_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -248,7 +248,7 @@ def with_drift_details(
     """Attach the nested event list of the run-summary record: one row per run.
 
     The list holds the first ``listed`` drifts in order, so no row grows without bound; ``drift_events`` of
-    the summary counts all, and ``events`` itself is the full list.
+    the summary counts all, and ``events`` itself is the full list (stored by ``logs.write_drift_events``).
     """
     keys = list(keys)
     ranked = prefix_scan(events, keys, "instance_id", {"__r": Scan("count", F.lit(True))})

@@ -54,6 +54,21 @@ def write_run_summaries(summary: DataFrame, root: str) -> None:
     one.write.option("maxRecordsPerFile", 1).mode("append").partitionBy("run").json(root)
 
 
+def write_drift_events(events: DataFrame, root: str) -> None:
+    """One JSON folder per run with one object per drift, as ``metrics.drift_events`` gives them: a list of any length."""
+    named = run_file_name(F.col("dataset"), F.col("task"), F.col("model"), "_drift_events_results.json")
+    rows = events.select(named.alias("run"), "instance_id", "detector", "timestamp")
+    rows.write.mode("append").partitionBy("run").json(f"{root}/drift_events")
+
+
+def read_drift_events(spark: SparkSession, root: str) -> DataFrame:
+    """All drift events written beside the summaries: dataset, task, model, instance_id, detector, timestamp, file."""
+    read = _with_run(spark.read.schema(EVENT).json(f"{root}/drift_events/*_drift_events_results.json"))
+    model = F.regexp_replace("model", "_drift_events$", "")
+    at = F.to_timestamp("timestamp").alias("timestamp")
+    return read.select("dataset", "task", model.alias("model"), "instance_id", "detector", at, "file")
+
+
 def _with_run(df: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     return df.select("*", path.alias("file")).withColumns(run_of_path(F.col("file")))
@@ -127,7 +142,7 @@ def rejected_summaries(spark: SparkSession, root: str) -> DataFrame:
 
 
 def drift_details(summaries: DataFrame) -> DataFrame:
-    """The nested event lists as flat drift events."""
+    """The nested event lists as flat drift events; ``read_drift_events`` has those stored as a table of their own."""
     return summaries.select("dataset", "task", "model", "file", F.explode("drift_details").alias("d")).select(
         "dataset", "task", "model", "d.instance_id", "d.detector", F.to_timestamp("d.timestamp").alias("timestamp"), "file"
     )
