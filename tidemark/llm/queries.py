@@ -14,6 +14,8 @@ from tidemark.llm import (
     maglev,
     quality,
     simhash,
+    spelling,
+    substring,
     tokenpack,
     toxicity,
     warc,
@@ -95,6 +97,15 @@ def op10_invindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invindex.contamination(invindex.matches(docs, benchmark))
 
 
+def op11_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_htmltext": op1_htmltext,
     "op2_toxicity": op2_toxicity,
@@ -106,6 +117,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_binpack": op9_binpack,
     "op10_invindex": op10_invindex,
+    "op11_substring": op11_substring,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {
@@ -193,5 +206,75 @@ items as (
 select d.doc_id, len(d.w) as n_words, coalesce(hit.n_hit, 0) as n_hit, coalesce(items.n_items, 0) as n_items,
        sha256(coalesce(items.list, '')) as items_sha256, hit.n_hit is not null as contaminated
 from d left join hit using (r) left join items using (r)
+""",
+    "op11_substring": r"""
+with d as (
+  select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents
+),
+windows as (
+  select doc_id, p, sha256(array_to_string(w[p : p + 19], ' ')) as h
+  from (select doc_id, w, unnest(range(1, len(w) - 18)) as p from d)
+),
+later as (
+  select doc_id, p from (select *, row_number() over (partition by h order by doc_id, p) as r from windows) where r > 1
+),
+gone as (select doc_id, list_sort(list(distinct q)) as g from (select doc_id, unnest(range(p, p + 20)) as q from later) group by doc_id),
+kept as (
+  select d.doc_id, string_agg(x, ' ' order by i) as text, count(*) as n
+  from (select doc_id, unnest(w) as x, unnest(range(1, len(w) + 1)) as i from d) d
+  where not exists (select 1 from (select doc_id, unnest(g) as q from gone) k where k.doc_id = d.doc_id and k.q = d.i)
+  group by d.doc_id
+)
+select d.doc_id, len(d.w) as n_words, coalesce(len(g.g), 0) as n_removed, sha256(coalesce(k.text, '')) as kept_sha256
+from d left join gone g using (doc_id) left join kept k using (doc_id)
+""",
+    "op13_spelling": r"""
+with recursive steps as (
+  select list(v order by b) as t from (
+    select b, list_reduce(range(8), lambda c, i: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b) as v
+    from (select unnest(range(256))::bigint as b)
+  )
+),
+runs as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) as run
+  from documents
+),
+bytes as (
+  select doc_id, run, count(*) as m, hex(encode(doc_id::varchar || ':' || run)) as x from runs where length(run) >= 7 group by all
+),
+summed as (
+  select run, m, xor(list_reduce(
+    list_transform(range(1, length(x), 2), lambda i: ('0x' || substring(x, i, 2))::bigint),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::bigint), 4294967295) as h
+  from bytes, steps
+),
+words as (
+  select word, sum(m)::bigint as n from (
+    select case when h % 31 = 0 then left(run, (h % length(run))::int) || substring(run, (h % length(run))::int + 2) else run end as word, m
+    from summed
+  ) where length(word) >= 7 group by word having sum(m) >= 2
+),
+lacking as (
+  select word, p, left(word, p - 1) || substring(word, p + 1) as rest
+  from (select word, unnest(range(1, length(word) + 1))::int as p from words)
+),
+near as (
+  select a.word, b.word as other from lacking a join lacking b using (p, rest) where a.word <> b.word and length(a.word) = length(b.word)
+  union select a.word, a.rest from lacking a join words w on w.word = a.rest
+  union select a.rest, a.word from lacking a join words w on w.word = a.rest
+),
+best as (
+  select w.word, w.n, count(o.word) as n_near, arg_min(o.word, (-o.n, encode(o.word))) as top, max(o.n) as most
+  from words w left join near x on x.word = w.word left join words o on o.word = x.other group by w.word, w.n
+),
+forms as (
+  select word, n, n_near, case when most >= 10 * n then top end as form, case when most >= 10 * n then most end as form_n from best
+),
+chains as (
+  select word, word as root, form as next from forms
+  union all
+  select c.word, c.next, f.form from chains c join forms f on f.word = c.next
+)
+select f.word, f.form, c.root, f.n, f.n_near, f.form_n from forms f join chains c on c.word = f.word and c.next is null
 """,
 }
