@@ -28,8 +28,8 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8)."""
-    return simhash.keep_one(docs, simhash.jaccard_simhash(words=5, similarity=0.8))
+    """One document of each group of fingerprints (four-word shingles) linked at four or fewer differing bits."""
+    return simhash.keep_one(docs, simhash.SimHash(words=4, radius=4))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
