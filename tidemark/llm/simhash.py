@@ -1,11 +1,7 @@
 """SimHash fingerprints and near-duplicate groups by shared blocks and Hamming distance.
 
-Two searches share one join. With ``exact`` blocks (64 bits, small radius) the pigeonhole principle gives
-every pair within the radius: of ``radius + agree`` blocks at most ``radius`` can differ, so some ``agree``
-blocks are equal, and each choice of ``agree`` blocks is one key. With ``sampled`` blocks (long
-fingerprints, wide radius) keys are seeded bit samples of fixed width, as many as give the wanted recall of a
-pair at the radius. Whether a pair is found depends on its two fingerprints alone. These links only make
-candidate groups: inside them links are searched anew by the exact similarity of the shingle sets.
+The pigeonhole principle gives every pair within the radius: of ``radius + agree`` blocks at most ``radius`` can
+differ, so some ``agree`` blocks are equal, and each choice of ``agree`` blocks is one key.
 
 Equal fingerprints collapse to one row before the join. Keys held by one fingerprint are dropped, a key
 held by many is cut into chunks. A chunk returns a spanning forest of its links, never its pairs. Chunks of a
@@ -38,45 +34,19 @@ from tidemark.llm.common import (
 from tidemark.llm.components import connected_components
 
 CHUNK = 2048  # rows of one key that a task compares at once
-EXACT_ROWS, EXACT_BYTES = 256, 4 << 20  # rows and bytes of shingle sets of one candidate group that a task compares
 SEED = 42
 
 
 @dataclass(frozen=True)
 class SimHash:
-    """``words`` per shingle, ``bits`` (a multiple of 64), links at ``radius`` or fewer differing bits.
-
-    ``distinct``: count each different shingle once. With ``similarity`` (wanted of shingle sets) blocks are samples of
-    ``width`` bits with ``recall`` for a pair at the radius; None means exact pigeonhole blocks, ``agree`` of which
-    are one key.
-    """
+    """``words`` per shingle, ``radius``: links at that many or fewer of 64 differing bits, ``agree`` blocks are one key."""
 
     words: int = 4
-    bits: int = 64
     radius: int = 4
-    distinct: bool = False
     agree: int = 3
-    similarity: float | None = None
-    recall: float = 0.97
-    width: int = 18
-
 
-def jaccard_simhash(words: int = 5, similarity: float = 0.8, bits: int = 1024) -> SimHash:
-    """Links of shingle sets with Jaccard ``similarity`` or more; the Hamming distance only proposes them.
-
-    Sets of Jaccard J have cosine 2J/(1+J); a bit differs with probability angle/pi. The radius is three
-    standard deviations above the mean distance at ``similarity``: 99.8 % of the pairs at just that similarity lie within.
-    """
-    p = flip_probability(similarity)
-    radius = math.floor(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
-    return SimHash(words, bits, radius, True, similarity=similarity)
 
-
-def flip_probability(similarity: float) -> float:
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def shingle_hashes(text: bytes, words: int, distinct: bool) -> np.ndarray:
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
     """XXH64 of each word shingle of a lower-cased text; fewer words give one shingle, none gives none."""
     tokens = text.lower().split()
     digest = xxhash.xxh64_intdigest
@@ -84,56 +54,33 @@ def shingle_hashes(text: bytes, words: int, distinct: bool) -> np.ndarray:
         hashes = [digest(b" ".join(tokens), SEED)] if tokens else []
     else:
         hashes = [digest(b" ".join(s), SEED) for s in zip(*(tokens[i:] for i in range(words)))]
-    array = np.array(hashes, dtype=np.uint64)
-    return np.unique(array) if distinct else array
+    return np.array(hashes, dtype=np.uint64)
 
 
-def fingerprint(hashes: np.ndarray, lanes: int) -> np.ndarray:
-    """``lanes`` 64-bit words; a bit is 1 if set in over half the hashes. Further lanes remix the hash."""
-    if not len(hashes):
-        return np.zeros(lanes, dtype=np.uint64)
-    counts = np.zeros(64 * lanes, dtype=np.int64)
+def fingerprint(hashes: np.ndarray) -> int:
+    """A bit is 1 if set in over half the hashes; without hashes it is zero."""
+    counts = np.zeros(64, dtype=np.int64)
     for start in range(0, len(hashes), 8192):
-        part = hashes[start : start + 8192]
-        mixed = [part]
-        for lane in range(1, lanes):
-            z = part + np.uint64((lane * 0x9E3779B97F4A7C15) & (2**64 - 1))
-            z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            mixed.append(z ^ (z >> np.uint64(31)))
-        raw = np.ascontiguousarray(np.stack(mixed, axis=1).astype("<u8")).view(np.uint8)
+        raw = np.ascontiguousarray(hashes[start : start + 8192].astype("<u8")).view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
-    return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8").astype(np.uint64)
-
-
-def _lanes(spec: SimHash) -> list[str]:
-    return [f"w{i}" for i in range(spec.bits // 64)]
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, spec: SimHash = SimHash()) -> DataFrame:
-    """One row (doc_id, w0, ...) per row of ``docs``; the words are the fingerprint as signed longs.
+    """One row (doc_id, w0) per row of ``docs``; w0 is the fingerprint as a signed long.
 
     Null and wordless texts have fingerprint zero.
     """
-    return _prints(docs, spec, False)
-
-
-def _prints(docs: DataFrame, spec: SimHash, with_sets: bool) -> DataFrame:
-    """The rows of ``fingerprints``, on demand with the sorted hashes of the shingles as bytes."""
-    names = _lanes(spec)
 
     def run(batch: pa.RecordBatch):
-        hashes = [shingle_hashes(text, spec.words, spec.distinct) for text in text_bytes(batch.column(1))]
-        lanes = np.stack([fingerprint(h, len(names)) for h in hashes]).view(np.int64)
-        sets = [[h.astype("<u8").tobytes() for h in hashes]] if with_sets else []
-        yield [batch.column(0), *(lanes[:, i] for i in range(len(names))), *sets]
+        prints = [fingerprint(shingle_hashes(text, spec.words)) for text in text_bytes(batch.column(1))]
+        yield [batch.column(0), np.array(prints, dtype=np.uint64).view(np.int64)]
 
-    columns = ["doc_id long", *(f"{n} long" for n in names), *(["shingles binary"] if with_sets else [])]
-    return mapped(texts(docs), run, ", ".join(columns))
+    return mapped(texts(docs), run, "doc_id long, w0 long")
 
 
 def _block_keys(spec: SimHash) -> Column:
-    """Exact keys of one 64-bit word: the choice of blocks, then their bits."""
+    """One key per choice of blocks: its number, then the bits of the blocks."""
     blocks = spec.radius + spec.agree
     edges = [64 * i // blocks for i in range(blocks + 1)]
     bits = {
@@ -150,46 +97,21 @@ def _block_keys(spec: SimHash) -> Column:
     return F.array(*keys)
 
 
-def block_plan(spec: SimHash) -> list[np.ndarray]:
-    """Seeded bit samples, enough that a pair at the radius agrees on one with probability ``recall``."""
-    meet = math.comb(spec.bits - spec.radius, spec.width) / math.comb(spec.bits, spec.width)
-    number = math.ceil(math.log(1 - spec.recall) / math.log1p(-meet))
-    rng = np.random.default_rng(SEED)
-    return [rng.choice(spec.bits, spec.width, replace=False) for _ in range(number)]
-
-
-def _sampled_keys(unique: DataFrame, spec: SimHash, plan: list[np.ndarray]) -> DataFrame:
-    def run(batch: pa.RecordBatch):
-        uid = batch.column(0).to_numpy()
-        words = np.stack([batch.column(i).to_numpy() for i in range(1, batch.num_columns)], axis=1)
-        bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")
-        for number, chosen in enumerate(plan):
-            weights = (1 << np.arange(len(chosen), dtype=np.int64)).astype(np.int64)
-            yield [bits[:, chosen].astype(np.int64) @ weights + (number << len(chosen)), uid]
-
-    return mapped(unique.select("uid", *_lanes(spec)), run, "key long, uid long")
-
-
 def _forests(members: DataFrame, spec: SimHash) -> DataFrame:
-    """(key, chunk, uid, words) to the edges (src, dst) of a spanning forest of each chunk's links."""
-    names = _lanes(spec)
-
+    """(key, chunk, uid, w0) to the edges (src, dst) of a spanning forest of each chunk's links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in sorted_runs(batches, ["key", "chunk"]):
-            words = np.stack([columns[n].astype(np.int64).view(np.uint64) for n in names], axis=1)
+            words = columns["w0"].astype(np.int64).view(np.uint64)
             for start, end in run_bounds(columns, ["key", "chunk"]):
                 part, uid = words[start:end], columns["uid"][start:end]
-                distance = np.zeros((len(part), len(part)), dtype=np.uint16)
-                for lane in range(len(names)):
-                    distance += np.bitwise_count(part[:, None, lane] ^ part[None, :, lane])
-                labels = min_labels(distance <= spec.radius)
+                labels = min_labels(np.bitwise_count(part[:, None] ^ part[None, :]) <= spec.radius)
                 tied = np.flatnonzero(labels != np.arange(len(labels)))
                 if len(tied):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(uid[tied]), pa.array(uid[labels[tied]])], names=["src", "dst"]
                     )
 
-    placed = members.select("key", "chunk", "uid", *names)
+    placed = members.select("key", "chunk", "uid", "w0")
     placed = placed.repartition("key", "chunk").sortWithinPartitions("key", "chunk")
     return placed.mapInArrow(run, "src long, dst long")
 
@@ -201,17 +123,13 @@ def shared_keys(keys: DataFrame) -> DataFrame:
 
 
 def group_fingerprints(unique: DataFrame, spec: SimHash, chunk: int = CHUNK) -> DataFrame:
-    """Components of distinct fingerprints (uid, words): rows (node, root) for those with a link."""
+    """Components of distinct fingerprints (uid, w0): rows (node, root) for those with a link."""
     count = unique.count()
-    if spec.similarity is None:
-        number = math.comb(spec.radius + spec.agree, spec.agree)
-        keys = spread(unique, count * number).select(F.explode(_block_keys(spec)).alias("key"), "uid")
-    else:
-        plan = block_plan(spec)
-        keys = _sampled_keys(spread(unique, count * len(plan)), spec, plan)
+    number = math.comb(spec.radius + spec.agree, spec.agree)
+    keys = spread(unique, count * number).select(F.explode(_block_keys(spec)).alias("key"), "uid")
     held = materialize(shared_keys(keys), "blocks")
     most = held.agg(F.max("n")).first()[0] or 0
-    words = unique.select("uid", *_lanes(spec))
+    words = unique.select("uid", "w0")
     slots = F.ceil(F.col("n") / chunk).cast("long")
     slot = F.pmod(F.xxhash64("uid", "key"), slots)
     edges = materialize(_forests(held.withColumn("chunk", slot).join(words, "uid"), spec), "links")
@@ -234,148 +152,34 @@ def group_fingerprints(unique: DataFrame, spec: SimHash, chunk: int = CHUNK) ->
     )
 
 
-def _search(columns: dict[str, np.ndarray], start: int, end: int, names: list[str], spec: SimHash) -> list[tuple[int, int]]:
-    """Spanning links (positions) of the rows from ``start`` to ``end`` by exact similarity.
-
-    Rows of one label are connected already and are not compared with each other.
-    """
-    words = np.stack([columns[n][start:end].astype(np.int64).view(np.uint64) for n in names], axis=1)
-    label = columns["label"][start:end]
-    sets = [np.frombuffer(s, dtype="<u8") for s in columns["shingles"][start:end]]
-    size = np.array([len(s) for s in sets])
-    open_ = np.ones(end - start, dtype=bool)  # rows that no search has reached
-    links = []
-    for first in range(end - start):
-        if not open_[first]:
-            continue
-        mates = np.flatnonzero(label == label[first])
-        open_[mates] = False
-        reached = mates.tolist()
-        while reached:
-            i = reached.pop()
-            # the longest common part is the smaller set, the smallest union the larger one
-            fits = open_ & (np.minimum(size, size[i]) >= spec.similarity * np.maximum(size, size[i]))
-            fits[fits] = np.bitwise_count(words[fits] ^ words[i]).sum(axis=1) <= spec.radius
-            for j in np.flatnonzero(fits):
-                if not open_[j]:
-                    continue
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if common >= spec.similarity * (size[i] + size[j] - common):
-                    links.append((start + i, start + int(j)))
-                    mates = np.flatnonzero(label == label[j])
-                    open_[mates] = False
-                    reached += mates.tolist()
-    return links
-
-
-def _exact_links(placed: DataFrame, spec: SimHash) -> DataFrame:
-    """(group, slot, uid, label, shingles, words) to the edges of a spanning forest over the labels of each slot."""
-    names, keys = _lanes(spec), ["group", "slot"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in sorted_runs(batches, keys):
-            for start, end in run_bounds(columns, keys):
-                links = _search(columns, start, end, names, spec)
-                if links:
-                    ends = columns["uid"][np.array(links)]
-                    yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["src", "dst"])
-
-    rows = placed.select(*keys, "uid", "label", "shingles", *names)
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long")
-
-
-def exact_groups(found: DataFrame, sets: DataFrame, spec: SimHash, rows: int = EXACT_ROWS) -> DataFrame:
-    """Components of the links with exact similarity inside the candidate groups ``found`` (node, root).
-
-    ``sets``: (uid, shingles, words). A large group is cut into slots. After the search inside the slots, one row of
-    each component of a group is searched with the others until no link comes up; only what then still lies
-    apart is compared slot by slot, so that no link within the radius is lost.
-    """
-    members = sets.join(found.select(F.col("node").alias("uid"), F.col("root").alias("group")), "uid")
-    members = materialize(members, "candidates")
-    index = members.select("uid", "group", F.octet_length("shingles").alias("bytes"))
-
-    def dealt(chosen: DataFrame, turn: int) -> DataFrame:
-        """``chosen`` (uid, group, label, bytes) with ``slots`` of its group and ``slot``."""
-        sizes = chosen.groupBy("group").agg(
-            F.greatest(
-                F.ceil(F.count(F.lit(1)) / rows), F.ceil(F.sum("bytes") / EXACT_BYTES), F.lit(1)
-            ).cast("long").alias("slots")
-        )
-        return chosen.join(sizes, "group").withColumn("slot", F.pmod(F.xxhash64("uid", F.lit(turn)), "slots"))
-
-    def searched(chosen: DataFrame) -> DataFrame:
-        return materialize(_exact_links(chosen.drop("group").join(members, "uid"), spec), "links")
-
-    def labelled(edges: DataFrame) -> DataFrame:
-        known = connected_components(edges).select(F.col("node").alias("uid"), F.col("root").alias("label"))
-        own = index.join(known, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
-        return materialize(own, "labels")
-
-    first = materialize(dealt(index.withColumn("label", F.col("uid")), 0), "slots")
-    edges = searched(first)
-    large = first.filter("slots > 1").select("uid", "slot", "slots")
-    if large.isEmpty():
-        return connected_components(edges)
-
-    def apart(labels: DataFrame) -> DataFrame:
-        """Rows of the large groups that are not one component."""
-        split = labels.groupBy("group").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
-        return labels.join(split.select("group"), "group", "left_semi").join(large, "uid")
-
-    turn = 0
-    while True:
-        turn += 1
-        left = apart(labelled(edges))
-        more = searched(dealt(left.filter("uid = label").drop("slot", "slots"), turn))
-        if more.isEmpty():
-            break
-        edges = edges.union(more)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))
-    pairs = left.withColumn("other", other).filter("slot <> other")
-    pair = F.least("slot", "other") * F.col("slots") + F.greatest("slot", "other")
-    return connected_components(edges.union(searched(pairs.withColumn("slot", pair))))
-
-
 def near_duplicates(docs: DataFrame, spec: SimHash = SimHash(), chunk: int = CHUNK) -> DataFrame:
-    """One row per row of ``docs``: doc_id, the fingerprint words and ``component_id``.
+    """One row per row of ``docs``: doc_id, the fingerprint w0 and ``component_id``.
 
     ``component_id`` is the smallest doc_id reachable by links. A null doc_id never is one while another
     member has an id. Null and wordless texts share fingerprint zero and so form one group. Equal rows
-    each get their row. Empty input gives an empty result. With ``similarity`` links are exact; equal long
-    fingerprints count as equal sets.
+    each get their row. Empty input gives an empty result.
     """
-    names, exact = _lanes(spec), spec.similarity is not None
-    prints = _prints(docs, spec, exact)
-    if exact:  # the row that stands for its fingerprint
-        prints = prints.withColumn("row", F.monotonically_increasing_id())
-    prints = materialize(prints, "prints")
-    unique = prints.groupBy(*names).agg(F.min("doc_id").alias("first_id"), *([F.min("row").alias("uid")] if exact else []))
-    unique = unique if exact else unique.withColumn("uid", F.monotonically_increasing_id())
-    unique = materialize(unique, "unique")
+    prints = materialize(fingerprints(docs, spec), "prints")
+    unique = prints.groupBy("w0").agg(F.min("doc_id").alias("first_id"))
+    unique = materialize(unique.withColumn("uid", F.monotonically_increasing_id()), "unique")
     groups = group_fingerprints(unique, spec, chunk)
-    if exact:
-        groups = materialize(groups, "groups")
-        groups = exact_groups(groups, prints.select(F.col("row").alias("uid"), "shingles", *names), spec)
-    rooted = unique.join(groups, unique["uid"] == groups["node"], "left").withColumn(
-        "root", F.coalesce("root", "uid")
-    )
+    rooted = unique.join(groups, unique["uid"] == groups["node"], "left").withColumn("root", F.coalesce("root", "uid"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labelled = rooted.join(least, "root").select(*names, "component_id")
-    return prints.join(labelled, names).select("doc_id", *names, "component_id")
+    labelled = rooted.join(least, "root").select("w0", "component_id")
+    return prints.join(labelled, "w0").select("doc_id", "w0", "component_id")
 
 
 def fingerprint_hex() -> Column:
     return F.lower(F.lpad(F.hex("w0"), 16, "0"))
 
 
-def keep_one(docs: DataFrame, spec: SimHash | None = None) -> DataFrame:
+def keep_one(docs: DataFrame, spec: SimHash = SimHash()) -> DataFrame:
     """``docs`` without near-duplicates: the row with the smallest doc_id of each group stays, whole.
 
-    Repeated rows of one doc_id are one document: a single row of them stays. Rows with a null doc_id
-    stay (they cannot be told apart). All columns are kept.
+    Rows of one doc_id are one document: of them the row whose text has the smallest hash stays (among equal texts
+    the smallest as JSON). Rows with a null doc_id stay (they cannot be told apart). All columns are kept.
     """
-    found = near_duplicates(docs, spec or jaccard_simhash())
+    found = near_duplicates(docs, spec)
     fate = found.filter("doc_id is not null").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("first")
     )
@@ -386,6 +190,7 @@ def keep_one(docs: DataFrame, spec: SimHash | None = None) -> DataFrame:
         return kept
     twice = fate.filter("first = doc_id").select(F.col("doc_id").alias("twice_id"))
     same = docs["doc_id"].cast("long") == F.col("twice_id")
-    return kept.join(twice, same, "left_anti").unionByName(
-        kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"])
-    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = kept.join(twice, same, "left_semi").groupBy(F.col("doc_id").cast("long").alias("one_id"))
+    one = one.agg(F.min_by(row, F.struct(F.xxhash64("text"), F.to_json(row))).alias("row")).select("row.*")
+    return kept.join(twice, same, "left_anti").unionByName(one)
