@@ -18,6 +18,7 @@ from tidemark.llm import (
     substring,
     tokenpack,
     toxicity,
+    trie,
     warc,
 )
 from tidemark.llm.common import table
@@ -102,6 +103,10 @@ def op11_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(*trie.rebuilt_turns(table(spark, sf_dir, "conversations")))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
 
@@ -118,6 +123,7 @@ QUERIES = {
     "op9_binpack": op9_binpack,
     "op10_invindex": op10_invindex,
     "op11_substring": op11_substring,
+    "op12_trie": op12_trie,
     "op13_spelling": op13_spelling,
 }
 
@@ -227,6 +233,50 @@ kept as (
 )
 select d.doc_id, len(d.w) as n_words, coalesce(len(g.g), 0) as n_removed, sha256(coalesce(k.text, '')) as kept_sha256
 from d left join gone g using (doc_id) left join kept k using (doc_id)
+""",
+    "op12_trie": r"""
+with steps as (
+  select list(v order by b) as t from (
+    select b, list_reduce(range(8), lambda c, i: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b) as v
+    from (select unnest(range(256))::bigint as b)
+  )
+),
+own as (
+  select conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} order by turn nulls first, role, text) as s
+  from conversations where conv_id is not null group by conv_id
+),
+heads as (
+  select conv_id, s, xor(list_reduce(
+    list_transform(range(1, 2 * length(conv_id::varchar), 2), lambda i: ('0x' || substring(hex(encode(conv_id::varchar)), i, 2))::bigint),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::bigint), 4294967295) % 4 as h
+  from own, steps
+),
+whole as (
+  select a.conv_id, list_concat(coalesce(b.s[1 : a.h], []), a.s[a.h + 1 :]) as s
+  from heads a left join heads b on b.conv_id = a.conv_id - a.conv_id % 20
+),
+entries as (select conv_id, s, unnest(range(0, len(s) + 1)) as d from whole),
+marked as (
+  select conv_id, d, len(s) as size, sha256(s[1 : d]::varchar) as k, case when d > 0 then sha256(s[1 : d - 1]::varchar) end as up,
+         case when d > 0 then len(regexp_extract_all(s[d].t, '[^\x20\x09-\x0D]+')) else 0 end as words
+  from entries
+),
+nodes as (
+  select k, d, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where size = d), '')) as ends_sha256
+  from marked group by k, d
+),
+children as (select up as k, count(*) as n from nodes where up is not null group by up),
+full_nodes as (select n.*, coalesce(c.n, 0) as n_children from nodes n left join children c using (k)),
+under as (
+  select distinct a.k as top, b.k as low from marked a join marked b on a.conv_id = b.conv_id and b.d >= a.d
+),
+totals as (
+  select top as k, count(*) filter (where n.n_children = 0) as n_leaves, sum((n.n_convs - 1) * n.words)::bigint as saved_tokens
+  from under join full_nodes n on n.k = under.low group by top
+)
+select n.conv_id, n.d as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, t.n_leaves, t.saved_tokens, n.ends_sha256
+from full_nodes n join totals t using (k) left join full_nodes p on p.k = n.up
 """,
     "op13_spelling": r"""
 with recursive steps as (
