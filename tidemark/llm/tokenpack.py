@@ -13,6 +13,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -152,14 +153,29 @@ class Chunks(dict):
         return number
 
 
+def byte_letters() -> dict[int, str]:
+    """Translation of Latin-1 characters to the letters of byte-level vocabularies.
+
+    Such a vocabulary names printable bytes by themselves and the others, in order, by the characters from 256 on.
+    """
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    names = {b: chr(b) for b in printable}
+    names |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in names)}
+    return {c: "".join(names[b] for b in chr(c).encode()) for c in range(256)}
+
+
 class Encoder:
     """Batches of texts to ids, with the ids of repeated chunks kept for the life of the worker.
 
+    A chunk of letters, with or without punctuation behind it, is one word of the library's model, which is asked
+    directly: the look-up of words is then short, and a word is learned once whatever stands behind it.
+
     Only for tokenizers that drop white space, lower-case, and never join ids across it (checked on load). A text goes
     to the library whole if it is not Latin-1 or holds a rare separator or what may be a special token.
     """
 
     LIMIT = 500_000  # chunks kept; beyond, the store is emptied
+    TAIL = ".,;:!?"  # punctuation that may stand behind a word
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
@@ -168,30 +184,65 @@ class Encoder:
         probe = ["Ab cD", "don't  stop\nA.b", "É à\t12"]
         split = [[i for w in p.lower().split() for i in self._library([w])[0]] for p in probe]
         self.by_chunk = split == self._library(probe)
+        self.letters, self.tails, self.by_word = byte_letters(), {}, True
+        single = [chr(c) for c in range(256) if chr(c).isalpha() and chr(c).lower() == chr(c)]
+        probe = [*single, "".join(single), "hello", "naïve", "straße", "überall", "thés"]
+        probe += [w + t for w in probe[-5:] for t in (".", ",", "?!", "...", ";:")]
+        self.words: dict[str, list[int]] = {}
+        try:
+            self.by_word = [self._word(w) for w in probe] == self._library(probe)
+        except Exception:  # a model that takes no single words
+            self.by_word = False
         self._empty()
 
+    def _word(self, chunk: str) -> list[int] | None:
+        """The ids of a chunk that is a word with or without a tail; None if the whole library must see it."""
+        word = chunk.rstrip(self.TAIL)
+        if not (self.by_word and word.isalpha()):
+            return None
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.words[word] = [t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))]
+        if len(word) == len(chunk):
+            return ids
+        tail = chunk[len(word) :]
+        if tail not in self.tails:
+            if len(self.tails) > 1000:
+                self.tails.clear()
+            self.tails[tail] = self._library([tail])[0]
+        return ids + self.tails[tail]
+
     def _library(self, batch: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
 
     def _empty(self) -> None:
         self.chunks = Chunks()
         self.chunks.pending = []
+        self.words.clear()
         self.store = np.zeros(1 << 20, dtype=np.uint32)  # number 0 is the end id
         self.store[0] = self.end_id
         self.used = 1
         self.starts, self.sizes = np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.int64)
 
-    def _learn(self) -> None:
-        pending, self.chunks.pending = self.chunks.pending, []
-        groups = [pending[i : i + 1000] for i in range(0, len(pending), 1000)]
-        found, counts = [], []
+    def _by_offsets(self, chunks: list[str]) -> Iterator[list[int]]:
+        """The ids of each chunk, told apart by their offsets in joined texts."""
+        groups = [chunks[i : i + 1000] for i in range(0, len(chunks), 1000)]
         encoded = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
         for group, encoding in zip(groups, encoded):
             begins = np.cumsum([0] + [len(c) + 1 for c in group[:-1]])
             place = np.fromiter((o[0] for o in encoding.offsets), dtype=np.int64, count=len(encoding.ids))
-            counts.append(np.bincount(np.searchsorted(begins, place, side="right") - 1, minlength=len(group)))
-            found.append(np.array(encoding.ids, dtype=np.uint32))
-        ids, size = np.concatenate(found), np.concatenate(counts)
+            counts = np.bincount(np.searchsorted(begins, place, side="right") - 1, minlength=len(group))
+            ends = np.cumsum(counts)
+            ids = encoding.ids
+            yield from (ids[a:b] for a, b in zip((ends - counts).tolist(), ends.tolist()))
+
+    def _learn(self) -> None:
+        pending, self.chunks.pending = self.chunks.pending, []
+        known = [self._word(chunk) for chunk in pending]
+        others = self._by_offsets([c for c, ids in zip(pending, known) if ids is None])
+        known = [next(others) if ids is None else ids for ids in known]
+        size = np.fromiter(map(len, known), dtype=np.int64, count=len(known))
+        ids = np.fromiter(chain.from_iterable(known), dtype=np.uint32, count=int(size.sum()))
         while self.used + len(ids) > len(self.store):
             self.store = np.concatenate([self.store, np.zeros_like(self.store)])
         self.store[self.used : self.used + len(ids)] = ids
