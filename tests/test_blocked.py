@@ -95,3 +95,70 @@ def test_rows_are_spread_by_block_not_by_key(spark):
     plan = prefix_scan(df, ["k"], "i", {"n": Scan("count", F.lit(True))}, block_rows=100)._jdf.queryExecution().toString()
     assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
     assert "__blk" in plan.split("Exchange hashpartitioning(")[1].split(")")[0]
+
+
+def test_rank_blocks_on_sparse_ids_and_timestamps(spark):
+    from tidemark.operators.metrics import number_segments, prequential_metrics
+    from tidemark.plans.ranked import rank_blocks
+
+    rng = random.Random(8)
+    rows = [(k, "regression", i, None if i == 1 else 1.0, float(rng.randrange(9)), rng.random() < 0.02) for k in "ab" for i in range(1, 301)]
+    rng.shuffle(rows)
+    dense = spark.createDataFrame(rows, "k string, task string, i long, prediction double, error double, drift boolean")
+    sparse = dense.withColumn("i", F.col("i") * 1_000_000_000)
+    stamped = dense.withColumn("i", F.timestamp_seconds(F.col("i") * 86_400 + F.col("i") % 7))
+    keys = ["k", "task"]
+
+    def plain(df, columns):
+        return sorted(tuple(r[c] for c in columns) for r in df.collect())
+
+    columns = ["k", "n", "n_correct", "segment", "segment_row", "error"]
+    expect = plain(number_segments(dense, keys, "i", 7), columns)
+    for frame in (sparse, stamped):
+        assert plain(number_segments(rank_blocks(frame, keys, "i", 7), keys, "i"), columns) == expect
+    options = dict(order="i", window_rows=20, warmup_rows=5)
+    columns = ["k", "n", "segment", "cumulative_mae", "cumulative_mse", "window_mae", "window_mse"]
+    expect = plain(prequential_metrics(dense, keys, block_rows=7, **options), columns)
+    for frame in (sparse, stamped):
+        got = plain(prequential_metrics(rank_blocks(frame, keys, "i", 7), keys, **options), columns)
+        assert [r[:3] for r in got] == [r[:3] for r in expect]
+        assert all(a == b or abs(a - b) < 1e-9 for x, y in zip(got, expect) for a, b in zip(x[3:], y[3:]))
+
+
+def test_two_level_carries(spark, monkeypatch):
+    from tidemark.plans import blocked
+    from tidemark.plans.ranked import rank_blocks
+
+    monkeypatch.setattr(blocked, "GROUP_BLOCKS", 3)
+    rows = stream()
+    df = spark.createDataFrame(rows, "k string, i long, v int, d boolean")
+    scans = {
+        "total": Scan("sum", F.col("v")),
+        "n": Scan("count", F.col("v").isNotNull()),
+        "low": Scan("min", F.col("v")),
+        "high": Scan("max", F.col("v")),
+        "before": Scan("last", F.col("v"), exclusive=True),
+    }
+    expect = sorted(map(str, prefix_scan(df, ["k"], "i", scans, 10_000).drop("v", "d").collect()))
+    sparse = rank_blocks(df.withColumn("i", F.col("i") * 977_777), ["k"], "i", block_rows=5)
+    sizes = sparse.groupBy("k", blocked.BLOCK).count().groupBy("k").agg(F.max("count"), F.count("count")).collect()
+    assert sorted(tuple(r) for r in sizes) == [("a", 5, 52), ("b", 5, 52)]
+    got = prefix_scan(sparse, ["k"], "i", scans).withColumn("i", (F.col("i") / 977_777).cast("long")).drop("v", "d", blocked.BLOCK)
+    assert sorted(map(str, got.collect())) == expect
+
+
+def test_no_window_sees_more_rows_than_blocks(spark, monkeypatch):
+    """Every window over the rows is partitioned by block, every window over blocks by group."""
+    import re
+
+    from tidemark.operators.metrics import number_segments
+    from tidemark.plans.ranked import rank_blocks
+
+    df = spark.createDataFrame([("a", i * 10**9, 1.0, 0.0, i % 50 == 0) for i in range(1, 200)], "k string, i long, prediction double, error double, drift boolean")
+    plan = number_segments(rank_blocks(df, ["k"], "i", 16), ["k"], "i")._jdf.queryExecution().optimizedPlan().toString()
+    specs = re.findall(r"Window \[.*?\], \[(.*?)\], \[(.*?)\]", plan)
+    assert specs
+    for partition, order in specs:
+        row_level = order.startswith("i#")
+        assert not row_level or "__blk" in partition
+        assert row_level or "__grp" in partition or order.startswith(("__grp", "__task"))

@@ -325,6 +325,7 @@ ORACLES: dict[str, str] = {
       SELECT event_id + 1 AS instance_id, count(*) OVER w AS n, (sum(c) OVER w)::DOUBLE AS s, (sum(c * c) OVER w)::DOUBLE AS q
       FROM (SELECT event_id, round(value * 100)::BIGINT AS c FROM events) WINDOW w AS (ORDER BY event_id))""",
     "preq_reg_segment_metrics": with_(MET, f"SELECT {KEYS}, instance_id, n, segment, cumulative_mae, cumulative_mse, window_mae, window_mse FROM met WHERE task = 'regression'"),
+    "sparse_prefix_metrics": with_(MET, f"SELECT {KEYS}, instance_id * 1000000000 AS instance_id, n, segment, cumulative_mae, cumulative_mse, window_mae, window_mse FROM met WHERE task = 'regression'"),
     "preq_cls_segment_metrics": with_(
         MET,
         f"SELECT {KEYS}, instance_id, n, segment, cumulative_accuracy, cumulative_accuracy_as_coded, segment_accuracy, window_accuracy FROM met WHERE task = 'classification'",

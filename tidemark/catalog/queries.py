@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import adwin, analysis, blocked_sgd, chunk_linear, compare, inject, learners, metrics, neighbours, preprocess, trees
+from tidemark.operators import adwin, analysis, blocked_sgd, chunk_linear, compare, gate, inject, learners, metrics, neighbours, preprocess, trees
 from tidemark.operators.prequential import TOY_DETECTION, Detection, TestThenTrain, compare_learners, prequential
+from tidemark.plans.ranked import rank_blocks
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import logs, streams, tables
 from tidemark.sources.tables import KEYS, table
@@ -112,6 +113,13 @@ def preq_reg_segment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sparse_prefix_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of streams whose ids lie a billion apart: blocks by exact rank."""
+    pred = _task(_pred(spark, sf_dir), "regression").withColumn("instance_id", F.col("instance_id") * 1_000_000_000)
+    out = metrics.prequential_metrics(rank_blocks(pred, KEYS, "instance_id", block_rows=1 << 12), KEYS)
+    return out.select(*KEYS, "instance_id", "n", "segment", "cumulative_mae", "cumulative_mse", "window_mae", "window_mse")
+
+
 def preq_cls_segment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = metrics.prequential_metrics(_task(_pred(spark, sf_dir), "classification"), KEYS)
     return out.select(
@@ -241,7 +249,7 @@ def _alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adwin.gate_alarms(_alarms(spark, sf_dir), ["dataset"])
+    return gate.gate_alarms(_alarms(spark, sf_dir), ["dataset"])
 
 
 def drift_detection_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -705,6 +713,7 @@ QUERIES: dict[str, Query] = {
         normalize_wide,
         running_mean_m2,
         preq_reg_segment_metrics,
+        sparse_prefix_metrics,
         preq_cls_segment_metrics,
         preq_keyed_metrics,
         prediction_diversity,

@@ -189,36 +189,3 @@ def detect_drift(
         slice_rows,
     )
     return out.drop("total", "m2")
-
-
-class _GateMachine:
-    def __init__(self, cooldown: int, min_rows: int):
-        self.gate = Gate(cooldown, min_rows)
-
-    def step(self, row: tuple) -> tuple:
-        return (self.gate.accepts(row[0]),)
-
-    def to_state(self) -> dict[str, Any]:
-        return {"last": self.gate.last}
-
-    def from_state(self, state: dict[str, Any]) -> None:
-        self.gate.last = state["last"]
-
-
-def gate_alarms(
-    alarms: DataFrame,
-    keys: Sequence[str],
-    order: str = "instance_id",
-    cooldown: int = COOLDOWN,
-    min_rows: int = MIN_ROWS,
-    slice_rows: int | None = None,
-) -> DataFrame:
-    """Which of the raw ``alarms`` would be accepted.
-
-    Greedy, so it is a keyed scan. Within a bucket of ``cooldown`` ids at most one alarm can be
-    accepted, but which one depends on the buckets before it.
-    """
-    outputs = T.StructType([T.StructField("accepted", T.BooleanType())])
-    return run_ordered(
-        alarms, list(keys), order, [order], outputs, lambda _: _GateMachine(cooldown, min_rows), slice_rows
-    )

@@ -16,6 +16,7 @@ from tidemark.plans.blocked import (
     BLOCK,
     Scan,
     attach,
+    carries,
     prefix_scan,
     rolling,
     rolling_distinct,
@@ -46,17 +47,19 @@ def number_segments(
     (drifts so far) and ``segment_row`` (evaluated rows since the segment began, the drift row
     being the first). Keeps the block column for a scan that follows.
 
-    Block totals and the count after a block's last drift come from two narrow map-side aggregates
-    over the input; the rows themselves are shuffled once.
+    Blocks come from the ids, or from ``pred`` if it has them (``ranked.rank_blocks``, for sparse ids and timestamps).
+    Block totals and the count after a block's last drift come from two narrow map-side aggregates over the input;
+    then the rows are shuffled once by (keys, block).
     """
     keys = list(keys)
-    rows = with_block(pred, order, block_rows)
+    grouped = BLOCK in pred.columns
+    rows = pred if grouped else with_block(pred, order, block_rows)
     evaluated = F.col("prediction").isNotNull()
     correct = evaluated & (F.col("error") == 0)
     totals = rows.groupBy(*keys, BLOCK).agg(
-        F.count_if(evaluated).alias("__n"),
-        F.count_if(correct).alias("__ok"),
-        F.count_if("drift").alias("__d"),
+        F.count_if(evaluated).alias("__t_n"),
+        F.count_if(correct).alias("__t_ok"),
+        F.count_if("drift").alias("__t_d"),
         F.max(F.when(F.col("drift"), F.col(order))).alias("__at"),
     )
     tails = (
@@ -65,19 +68,13 @@ def number_segments(
         .groupBy(*keys, BLOCK)
         .agg(F.count_if(evaluated).alias("__tail"))
     )
-    by_block = Window.partitionBy(*keys).orderBy(BLOCK)
-    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    ends = totals.join(tails, [*keys, BLOCK], "left").withColumns(
-        {f"__c{c}": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in ("__n", "__ok", "__d")}
-    )
-    start = F.when(F.col("__tail").isNotNull(), F.col("__c__n") + F.col("__n") - F.col("__tail"))
-    carry = ends.withColumn("__start", start).select(
-        *keys,
-        BLOCK,
-        "__c__n",
-        "__c__ok",
-        "__c__d",
-        F.coalesce(F.last("__start", ignorenulls=True).over(earlier), F.lit(0)).alias("__c__start"),
+    counts = {c: Scan("sum", F.col(f"__t_{c}")) for c in ("n", "ok", "d")}
+    ends = carries(totals.join(tails, [*keys, BLOCK], "left"), keys, counts, grouped)
+    ends = ends.withColumns({f"__c__{c}": F.coalesce(f"__c_{c}", F.lit(0)) for c in counts})
+    start = F.struct(F.col(BLOCK).alias("o"), (F.col("__c__n") + F.col("__t_n") - F.col("__tail")).alias("v"))
+    ends = ends.withColumn("__t_start", F.when(F.col("__tail").isNotNull(), start))
+    carry = carries(ends, keys, {"start": Scan("last", F.col("__t_start"))}, grouped).select(
+        *keys, BLOCK, "__c__n", "__c__ok", "__c__d", F.coalesce("__c_start.v", F.lit(0)).alias("__c__start")
     )
     upto_now = Window.partitionBy(*keys, BLOCK).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = attach(rows, carry, [*keys, BLOCK]).withColumns(
@@ -91,7 +88,7 @@ def number_segments(
     placed = counted.withColumn(
         "segment_row", F.col("n") - F.coalesce(F.last(own_start, ignorenulls=True).over(upto_now), F.col("__c__start"))
     )
-    return placed.select(*pred.columns, BLOCK, "n", "n_correct", "segment", "segment_row")
+    return placed.select(*[c for c in pred.columns if c != BLOCK], BLOCK, "n", "n_correct", "segment", "segment_row")
 
 
 def prequential_metrics(
@@ -108,7 +105,8 @@ def prequential_metrics(
     first segment has no warm-up. The rolling window is not reset by drift.
     """
     keys = list(keys)
-    needed = pred.select(*keys, order, "prediction", "error", "drift")
+    grouped = BLOCK in pred.columns
+    needed = pred.select(*keys, order, "prediction", "error", "drift", *[BLOCK] * grouped)
     numbered = number_segments(needed, keys, order, block_rows)
     evaluated = F.col("prediction").isNotNull()
     counts = (F.col("segment") == 0) | (F.col("segment_row") > warmup_rows)
@@ -125,6 +123,7 @@ def prequential_metrics(
             "__seg_ok": Scan("count", (F.col("error") == 0) & evaluated),
         },
         block_rows,
+        grouped=grouped,
     )
     scored = sums.filter(evaluated).drop(BLOCK, "prediction", "drift")
     recent = rolling(

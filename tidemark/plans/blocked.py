@@ -21,6 +21,8 @@ BLOCK = "__blk"
 TILE = "__tile"
 OWN = "__own"
 DEFAULT_BLOCK_ROWS = 1 << 15
+GROUP = "__grp"
+GROUP_BLOCKS = 1024
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,38 @@ def _merge_totals(scan: Scan, total: Column) -> Column:
     return F.min(total) if scan.kind == "min" else F.max(total)
 
 
+def carries(totals: DataFrame, keys: Sequence[str], scans: Mapping[str, Scan], grouped: bool) -> DataFrame:
+    """Add ``__c_<name>``, the merged ``__t_<name>`` of the earlier blocks of the keys, to a row per (keys, block).
+
+    One level is a window with a row per block. ``grouped`` (for dense blocks, see ``plans.ranked``) carries in two levels:
+    from group to group of ``GROUP_BLOCKS`` blocks, and inside a group from block to block, so that no window sees more
+    than the blocks of a group or the groups of a key.
+    """
+    keys = list(keys)
+
+    def before(frame: DataFrame, by: list[str], order: str, prefix: str) -> DataFrame:
+        earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return frame.withColumns({f"{prefix}{n}": _merge_totals(s, F.col(f"__t_{n}")).over(earlier) for n, s in scans.items()})
+
+    if not grouped:
+        return before(totals, keys, BLOCK, "__c_")
+    parts = totals.withColumn(GROUP, F.expr(f"`{BLOCK}` div {GROUP_BLOCKS}"))
+    sums = parts.groupBy(*keys, GROUP).agg(*[_merge_totals(s, F.col(f"__t_{n}")).alias(f"__t_{n}") for n, s in scans.items()])
+    outer = before(sums, keys, GROUP, "__o_").drop(*[f"__t_{n}" for n in scans])
+    inner = before(attach(parts, outer, [*keys, GROUP]), [*keys, GROUP], BLOCK, "__c_")
+
+    def merged(scan: Scan, name: str) -> Column:
+        far, near = F.col(f"__o_{name}"), F.col(f"__c_{name}")
+        if scan.kind in ("sum", "count"):
+            return F.coalesce(far + near, far, near)
+        if scan.kind == "min":
+            return F.least(far, near)
+        return F.coalesce(near, far) if scan.kind == "last" else F.greatest(far, near)
+
+    out = inner.withColumns({f"__c_{n}": merged(s, n) for n, s in scans.items()})
+    return out.drop(GROUP, *[f"__o_{n}" for n in scans])
+
+
 def _running(scan: Scan, upto_now, before_now) -> Column:
     frame = before_now if scan.exclusive else upto_now
     if scan.kind == "sum":
@@ -112,15 +146,13 @@ def prefix_scan(
     """Add one running aggregate column per entry of ``scans``.
 
     The block totals aggregate map-side, so the only full shuffle is the one by (keys, block),
-    which the join with the carries and the in-block window share.
+    which the join with the carries and the in-block window share. A frame that has blocks already (``ranked.rank_blocks``, for
+    sparse ids or timestamps) keeps them and carries in two levels.
     """
     keys = list(keys)
     src = df if BLOCK in df.columns else with_block(df, order, block_rows)
     totals = src.groupBy(*keys, BLOCK).agg(*[_total(s, order).alias(f"__t_{n}") for n, s in scans.items()])
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        *keys, BLOCK, *[_merge_totals(s, F.col(f"__t_{n}")).over(earlier).alias(f"__c_{n}") for n, s in scans.items()]
-    )
+    carry = carries(totals, keys, scans, BLOCK in df.columns).select(*keys, BLOCK, *[f"__c_{n}" for n in scans])
     inside = Window.partitionBy(*keys, BLOCK).orderBy(order)
     upto_now = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before_now = inside.rowsBetween(Window.unboundedPreceding, -1)
@@ -140,23 +172,17 @@ def segment_scan(
     scans: Mapping[str, Scan],
     block_rows: int | None = None,
     keep_block: bool = False,
+    grouped: bool = False,
 ) -> DataFrame:
     """Like :func:`prefix_scan`, restarting whenever the non-decreasing ``segment`` changes.
 
     Only the first segment of a block can have begun in an earlier block, so a single carry per
-    (keys, block) is enough and the rows keep the partitioning by (keys, block).
+    (keys, block) is enough and the rows keep the partitioning by (keys, block). ``grouped``: see :func:`carries`.
     """
     keys = list(keys)
     src = df if BLOCK in df.columns else with_block(df, order, block_rows)
     totals = src.groupBy(*keys, BLOCK, segment).agg(*[_total(s, order).alias(f"__t_{n}") for n, s in scans.items()])
-    earlier = Window.partitionBy(*keys, segment).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    per_segment = totals.select(
-        *keys,
-        BLOCK,
-        segment,
-        *[_merge_totals(s, F.col(f"__t_{n}")).over(earlier).alias(f"__c_{n}") for n, s in scans.items()],
-    )
-    carry = per_segment.groupBy(*keys, BLOCK).agg(
+    carry = carries(totals, [*keys, segment], scans, grouped).groupBy(*keys, BLOCK).agg(
         F.min(segment).alias("__open"), *[F.min_by(f"__c_{n}", segment).alias(f"__c_{n}") for n in scans]
     )
     inside = Window.partitionBy(*keys, BLOCK, segment).orderBy(order)
