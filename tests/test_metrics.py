@@ -123,3 +123,15 @@ def test_log_and_rate_of_logging(spark):
     log = metrics.metrics_log(metrics.prequential_metrics(spark.createDataFrame(rows, SCHEMA), KEYS), every=100)
     assert sorted(r.instance for r in log.select("instance").collect()) == [100, 200]
     assert log.filter(F.col("cumulative_mae").isNull()).count() == 0
+
+
+def test_timed_log_by_count_and_by_tick(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("a", i, 100 + i // 7 + (50 if i > 40 else 0)) for i in range(1, 90)] + [("b", 5, 0)]
+    df = spark.createDataFrame(rows, "k string, instance_id long, s long").withColumn("at", F.timestamp_seconds("s"))
+    got = {(r["k"], r["instance"]) for r in metrics.timed_log(df, ["k"], "at", 3, every=20).collect()}
+    ticks = {}
+    for k, i, s in rows:
+        ticks.setdefault((k, s // 3), i)
+    assert got == {(k, i) for (k, _), i in ticks.items()} | {(k, i) for k, i, _ in rows if i % 20 == 0}

@@ -134,3 +134,44 @@ def test_no_number_of_early_rows_gives_a_gap_up(spark, tmp_path):
     assert [(r.instance, r.n) for r in run(spark.range(last, 1, -1))] == [(last, last - 2)]
     assert run(spark.range(1, 2)) == []
     assert [(r.instance, r.n, r.late_rows) for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [(last, last - 1, 0)]
+
+
+def test_a_live_run_logs_by_time_reports_progress_and_ends_when_idle(spark, sf_small, tmp_path):
+    from tidemark.streaming.monitor import ProgressTable, live_rate, progress_snapshots, run_until_idle
+
+    rows, root = instances(spark, sf_small), str(tmp_path)
+    for low in (1, 301, 601):
+        streams.encode(rows.filter(F.col("instance_id").between(low, low + 299))).coalesce(1).write.mode("append").text(f"{root}/in")
+    received = streams.decode(streams.read_files(spark, f"{root}/in", "value string", "text", files_per_trigger=1))
+    runs = received.select("dataset", "task", F.lit("sgd").alias("model"), "instance_id", "features", streams.actual().alias("actual"))
+    logged = stream_metrics(runs, KEYS, detection=None, log_every=500, log_seconds=0)
+    progress, views = ProgressTable(spark, f"{root}/progress"), []
+    spark.streams.addListener(progress)
+    try:
+        run_until_idle(
+            logged, f"{root}/out", f"{root}/checkpoint", interval="500 milliseconds", idle_seconds=6, name="live",
+            refresh=lambda query: views.append(query.id),
+        )
+        assert progress.ended.wait(20)
+    finally:
+        spark.streams.removeListener(progress)
+    assert views
+    got = sorted(r.instance for r in spark.read.parquet(f"{root}/out").collect())
+    assert got[-1] == 900 and 500 in got and len(got) <= 4  # one row by count, the others at the end of a micro-batch
+    table = progress.table()
+    assert table.agg(F.sum("num_rows")).first()[0] == 900
+    snapshots = sorted(r.instances for r in progress_snapshots(table).collect())
+    assert snapshots[-1] == 900
+    row, = live_rate(table).collect()
+    assert (row["query"], row["instances"]) == ("live", 900) and row["rate"] >= 0
+
+
+def test_an_idle_stream_without_rows_ends(spark, tmp_path):
+    import time
+
+    from tidemark.streaming.monitor import run_until_idle
+
+    (tmp_path / "in").mkdir()
+    began = time.time()
+    run_until_idle(spark.readStream.text(f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/cp", interval="200 milliseconds", idle_seconds=2)
+    assert 2 <= time.time() - began < 40

@@ -352,6 +352,14 @@ ORACLES: dict[str, str] = {
         WINDOW r AS (PARTITION BY {KEYS} ORDER BY instance_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)""",
     ),
     "metrics_log_periodic": with_(MET, f"SELECT {KEYS}, instance, {LOGGED} FROM log WHERE instance % 1000 = 0"),
+    "metrics_log_timed": with_(
+        MET
+        + """,
+timed AS (
+  SELECT m.*, m.instance_id AS instance, row_number() OVER (PARTITION BY dataset, task, model, epoch_us(ts) // 3600000000 ORDER BY instance_id) AS place
+  FROM met m JOIN events e ON e.event_id + 1 = m.instance_id)""",
+        f"SELECT {KEYS}, instance, {LOGGED} FROM timed WHERE place = 1 OR instance % 1000 = 0",
+    ),
     "preq_run_summary": with_(
         SUMMARY,
         f"SELECT {KEYS}, total_instances, drift_events, first_drift, CASE WHEN drift_events > 0 THEN drift_events::INT END AS listed_drifts, {LOGGED}, window_mse FROM runs",

@@ -168,6 +168,14 @@ def metrics_log_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def metrics_log_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of the event streams by count and by time: every 1000th instance and the first one of each hour."""
+    scored = metrics.prequential_metrics(_pred(spark, sf_dir), KEYS)
+    times = table(spark, sf_dir, "events").select((F.col("event_id") + 1).alias("instance_id"), "ts")
+    log = metrics.timed_log(scored.join(times, "instance_id"), KEYS, "ts", 3600)
+    return log.select(*KEYS, "instance", "cumulative_accuracy", "window_accuracy", "cumulative_mae", "cumulative_mse", "window_mae")
+
+
 def preq_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = _pred(spark, sf_dir)
     events = metrics.drift_events(pred, KEYS)
@@ -718,6 +726,7 @@ QUERIES: dict[str, Query] = {
         preq_keyed_metrics,
         prediction_diversity,
         metrics_log_periodic,
+        metrics_log_timed,
         preq_run_summary,
         segment_assign,
         rows_since_drift,

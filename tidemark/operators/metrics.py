@@ -165,6 +165,22 @@ def metrics_log(metrics: DataFrame, every: int = LOG_EVERY, order: str = "instan
     return metrics.filter(F.col(order) % every == 0).withColumnRenamed(order, "instance")
 
 
+def timed_log(
+    metrics: DataFrame, keys: Sequence[str], at: str, seconds: int, every: int = LOG_EVERY, order: str = "instance_id"
+) -> DataFrame:
+    """The log by count and by time: one row per ``every`` instances, and the first row of each tick of ``seconds``.
+
+    Ticks are counted from the epoch on the timestamp ``at``, so a row's being logged does not depend on the rows
+    logged before, and a stream cut or resumed anywhere gives the same log. Quiet ticks give no row.
+    """
+    keys = list(keys)
+    tick = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (seconds * 1_000_000)).alias("__tick")
+    firsts = metrics.groupBy(*keys, tick).agg(F.min(order).alias(order)).select(*keys, order, F.lit(True).alias("__first"))
+    marked = metrics.join(firsts, [*keys, order], "left")
+    logged = marked.filter(F.col("__first") | (F.col(order) % every == 0)).drop("__first")
+    return logged.withColumnRenamed(order, "instance")
+
+
 def prediction_diversity(
     pred: DataFrame,
     keys: Sequence[str],

@@ -223,14 +223,17 @@ class _Run(StatefulProcessor):
         start: int | None,
         hold_rows: int | None,
         patience_ms: int | None,
+        log_seconds: float | None,
     ):
-        self.keys, self.make, self.log_every = list(keys), make, log_every
+        self.keys, self.make, self.log_every, self.log_seconds = list(keys), make, log_every, log_seconds
         self.start, self.hold_rows, self.patience_ms = start, hold_rows, patience_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.saved = handle.getValueState("run", T.StructType([T.StructField("state", T.StringType())]))
         self.waiting = handle.getMapState("waiting", "id long", "row string")
+        if self.log_seconds is not None:
+            self.logged = handle.getValueState("logged", "at long, instance long")
 
     def _load(self, named: dict[str, Any]) -> tuple[Any, RunningMetrics, Sequencer]:
         run, metrics = self.make(named), RunningMetrics()
@@ -265,9 +268,22 @@ class _Run(StatefulProcessor):
         out += logged(queue.ready())
         if queue.held and self.patience_ms is not None:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience_ms)
+        if self.log_seconds is not None:
+            out += self._timed(key, named["task"], out, metrics, queue, timerValues.getCurrentProcessingTimeInMs())
         self._save(run, metrics, queue)
         yield _log_frame(self.keys, out)
 
+    def _timed(self, key: tuple, task: str, out: list[tuple], metrics: RunningMetrics, queue: Sequencer, now: int) -> list[tuple]:
+        """One more log row if the last one is over ``log_seconds`` old and rows have been scored since."""
+        last = self.logged.get() if self.logged.exists() else (now, 0)
+        if out and out[-1][len(key)] == queue.last:
+            last = (now, queue.last)
+        elif metrics.n and queue.last > last[1] and now - last[0] >= 1000 * self.log_seconds:
+            self.logged.update((now, queue.last))
+            return [(*key, *metrics.row(task, queue.last), queue.late_rows, queue.duplicate_rows)]
+        self.logged.update(last)
+        return []
+
     def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         named = dict(zip(self.keys, key))
         run, metrics, queue = self._load(named)
@@ -334,20 +350,24 @@ def stream_metrics(
     hold_rows: int | None = None,
     patience_ms: int | None = None,
     classes: Sequence[int] = (0, 1),
+    log_seconds: float | None = None,
 ) -> DataFrame:
     """Metric-log rows of a stream of instances (``instance_id``, ``features``, ``actual``).
 
     ``start``: the first id of a key whose ids are dense, or None if they are not (then rows are taken in arrival
     order); ``hold_rows`` and ``patience_ms`` (processing time): when a gap in the ids is given up, never if both are
-    None. Log rows carry the numbers of late and duplicate rows so far.
+    None. Log rows carry the numbers of late and duplicate rows so far. With ``log_seconds`` (processing time) a micro-batch
+    also ends with a log row if the last one is older and rows came since; ids must be dense then.
     """
     instances.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     types = [instances.schema[k] for k in keys]
     return instances.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Run(keys, make or _default_run(detection, classes), log_every, start, hold_rows, patience_ms),
+        statefulProcessor=_Run(
+            keys, make or _default_run(detection, classes), log_every, start, hold_rows, patience_ms, log_seconds
+        ),
         outputStructType=T.StructType([*types, *METRIC_FIELDS.fields]),
         outputMode="Append",
-        timeMode="None" if patience_ms is None else "ProcessingTime",
+        timeMode="None" if patience_ms is None and log_seconds is None else "ProcessingTime",
     )
 
 
