@@ -116,3 +116,15 @@ def test_rows(spark):
     got = sorted(extract(frame).collect(), key=lambda r: (r["page_id"] or 0))
     assert [r["text"] if r["page_id"] != 3 else len(r["text"]) for r in got] == ["", TEXT, TEXT, None, 40000 + 2 * 39999]
     assert extract(frame.limit(0)).count() == 0
+
+
+def test_text_that_browsers_show_is_kept():
+    assert visible_text('<p style="backface-visibility: hidden; color:red">flip</p>') == "flip"
+    assert visible_text('<p style="color:red; visibility : hidden">veiled</p>') == ""
+    assert visible_text("<svg><title>no</title><defs><text>no</text></defs><text>chart label</text></svg>") == "chart label"
+    assert visible_text("<object data=x><p>fallback</p></object>") == "fallback"
+    assert visible_text("<map name=m><a href=x>area link</a><area></map>") == "area link"
+    assert visible_text("<select><option>one<option selected>two<option>three</select>") == "two"
+    assert visible_text("<select><optgroup label=g><option>first<option>second</optgroup></select>") == "first"
+    assert visible_text("<select multiple><option>one<option>two</select>").split() == ["one", "two"]
+    assert visible_text("<select></select>") == ""

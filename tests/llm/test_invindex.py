@@ -84,3 +84,11 @@ def test_decontaminate_keeps_columns_and_clean_rows(spark, tables):
     assert kept.columns == docs.columns
     clean = [i for i, t in tables[0] if not brute(t, tables[1])[4]]
     assert sorted(kept.collect(), key=str) == sorted((r for r in docs.collect() if r["doc_id"] in clean), key=str)
+
+
+def test_a_null_row_is_not_taken_for_the_document_whose_id_is_its_hash(spark):
+    passage = " ".join(f"b{i}" for i in range(12))
+    items = spark.createDataFrame([("q1", passage)], "item_id string, text string")
+    rows = [(42, passage), (None, None), (None, "clean words"), (None, f"x {passage} y"), (7, "clean")]
+    kept = invindex.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(None, None), (None, "clean words"), (7, "clean")], key=str)

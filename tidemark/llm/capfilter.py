@@ -27,6 +27,7 @@ from tidemark.llm.components import connected_components
 from tidemark.llm.simhash import shared_keys
 
 CHUNK = 1024
+LENGTHS = 4096  # a filter's key holds the vector length modulo this
 LISTED = 25  # about so many filters a vector and round
 
 
@@ -82,6 +83,8 @@ def _vectors(column: pa.Array) -> list[np.ndarray]:
 
 
 def _filter_rows(unique: DataFrame, spec: CapFilters) -> DataFrame:
+    lengths = LENGTHS
+
     def run(batch: pa.RecordBatch):
         uid, vectors = batch.column(0).to_numpy(), _vectors(batch.column(1))
         sizes = np.array([len(v) for v in vectors])
@@ -92,7 +95,7 @@ def _filter_rows(unique: DataFrame, spec: CapFilters) -> DataFrame:
             for number in range(spec.rounds):
                 for start in range(0, len(here), 1024):
                     rows, keys = spec.decode(matrix[start : start + 1024], number)
-                    yield [keys * 4096 + int(dims) % 4096, uid[here[start + rows]]]
+                    yield [keys * lengths + int(dims) % lengths, uid[here[start + rows]]]
 
     return mapped(unique.select("uid", "embedding"), run, "key long, uid long")
 
@@ -103,27 +106,27 @@ def _compare(members: DataFrame, spec: CapFilters) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in sorted_runs(batches, ["key", "pair"]):
             for start, end in run_bounds(columns, ["key", "pair"]):
-                key, uid, side = columns["key"][start], columns["uid"][start:end], columns["side"][start:end]
-                vectors = columns["embedding"][start:end]
-                dims = len(vectors[0])
-                if any(len(v) != dims for v in vectors):
-                    raise ValueError("vectors of different length met in one filter")
-                matrix = np.stack(vectors).astype(np.float64)
-                norms = np.linalg.norm(matrix, axis=1)
-                link = (matrix @ matrix.T) / (norms[:, None] * norms[None, :]) >= spec.cosine
-                np.fill_diagonal(link, False)
-                if side.any():
-                    link &= side[:, None] != side[None, :]
-                labels = min_labels(link)
-                linked = np.flatnonzero(link.any(axis=1))
-                if not len(linked):
-                    continue
-                fresh = link[np.ix_(linked, linked)] & ~_met_before(columns["keys"][start:end][linked], key)
-                links = fresh @ columns["copies"][start:end][linked].astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(uid[linked]), pa.array(links), pa.array(uid[labels[linked]])],
-                    names=["uid", "links", "tied"],
-                )
+                sizes = np.array([len(v) for v in columns["embedding"][start:end]])
+                for dims in np.unique(sizes):  # lengths with one remainder meet under one key
+                    yield from links_of({n: v[start:end][sizes == dims] for n, v in columns.items()})
+
+    def links_of(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key, uid, side = columns["key"][0], columns["uid"], columns["side"]
+        matrix = np.stack(columns["embedding"]).astype(np.float64)
+        norms = np.linalg.norm(matrix, axis=1)
+        link = (matrix @ matrix.T) / (norms[:, None] * norms[None, :]) >= spec.cosine
+        np.fill_diagonal(link, False)
+        if side.any():
+            link &= side[:, None] != side[None, :]
+        labels = min_labels(link)
+        linked = np.flatnonzero(link.any(axis=1))
+        if not len(linked):
+            return
+        fresh = link[np.ix_(linked, linked)] & ~_met_before(columns["keys"][linked], key)
+        links = fresh @ columns["copies"][linked].astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(uid[linked]), pa.array(links), pa.array(uid[labels[linked]])], names=["uid", "links", "tied"]
+        )
 
     placed = members.select("key", "pair", "side", "uid", "copies", "embedding", "keys")
     placed = placed.repartition("key", "pair").sortWithinPartitions("key", "pair")

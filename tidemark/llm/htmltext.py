@@ -20,7 +20,7 @@ from tidemark.llm.common import mapped
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(
-    "script style noscript template head title iframe object svg canvas audio video datalist select map noframes".split()
+    "script style noscript template head title desc metadata defs symbol iframe canvas audio video datalist noframes".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu pre blockquote table hr figure form fieldset".split())
 BLOCKS = SPACED | frozenset(
@@ -46,7 +46,7 @@ PARAGRAPH_WALLS = frozenset("table td th caption button object".split())
 DEPTH_LIMIT = 512
 PAD_LIMIT = 60  # columns wider than this are not padded
 
-_STYLE = re.compile(r"(display|visibility|white-space)\s*:\s*([a-z-]+)", re.I)
+_STYLE = re.compile(r"(?:^|;)\s*(display|visibility|white-space)\s*:\s*([a-z-]+)", re.I)
 _SPACE = re.compile(r"[ \t\r\n\f]+")
 
 
@@ -57,6 +57,21 @@ class Node:
     children: list = field(default_factory=list)
 
 
+def shown_options(select: Node) -> list[Node]:
+    """The options that a closed list shows: the last selected one, else the first; all of a list box."""
+    options, left = [], list(reversed(select.children))
+    while left:
+        node = left.pop()
+        if isinstance(node, Node) and node.tag == "optgroup":
+            left += reversed(node.children)
+        elif isinstance(node, Node) and node.tag == "option":
+            options.append(node)
+    if "multiple" in select.attrs or _number(select, "size", 1) > 1:
+        return options
+    chosen = [o for o in options if "selected" in o.attrs]
+    return chosen[-1:] or options[:1]
+
+
 class TreeBuilder(HTMLParser):
     """Builds ``root`` from tokens; unknown end tags are ignored, open elements end with the page."""
 
@@ -245,6 +260,8 @@ class Renderer:
                 children = node.children
                 if node.tag == "details" and "open" not in node.attrs:
                     children = [c for c in children if isinstance(c, Node) and c.tag == "summary"]
+                if node.tag == "select":
+                    children = shown_options(node)
                 if node.tag == "pre" and children and isinstance(children[0], str):
                     children = [re.sub(r"^\r?\n", "", children[0]), *children[1:]]
                 steps += [(c, False, veiled, keep) for c in reversed(children)]

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, text_bytes, texts
@@ -283,8 +283,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     The verdict of a doc_id holds for all its rows; rows with a null doc_id are judged by their own text.
     """
-    key = F.coalesce(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]))
-    keyed = docs.select(key.alias("doc_id"), docs["text"].alias("text"))
-    found = contamination(matches(keyed, benchmark, window)).filter("contaminated")
-    hit = materialize(found.select(F.col("doc_id").alias("hit_id")).distinct(), "hits")
-    return docs.join(hit, key == F.col("hit_id"), "left_anti")
+    def clean(rows: DataFrame, key: Column) -> DataFrame:
+        keyed = rows.select(key.alias("doc_id"), rows["text"].alias("text"))
+        found = contamination(matches(keyed, benchmark, window)).filter("contaminated")
+        hit = materialize(found.select(F.col("doc_id").alias("hit_id")).distinct(), "hits")
+        return rows.join(hit, key == F.col("hit_id"), "left_anti")
+
+    own, unnamed = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
+    kept = clean(own, own["doc_id"].cast("long"))
+    # hashes of texts must not meet ids: rows without an id are judged apart
+    return kept if unnamed.isEmpty() else kept.unionByName(clean(unnamed, F.xxhash64(unnamed["text"])))
