@@ -71,5 +71,5 @@ def test_vectors_of_lengths_with_one_remainder(spark, monkeypatch):
     short, long = rng.standard_normal(8), rng.standard_normal(16)
     rows = [(0, short.tolist()), (1, (2 * short).tolist()), (2, long.tolist()), (3, (3 * long).tolist()), (4, (-short).tolist())]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in capfilter.near_vectors(frame).collect()}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in capfilter.near_vectors(frame, CapFilters(codewords=16)).collect()}
     assert got == {0: (1, 0), 1: (1, 0), 2: (1, 2), 3: (1, 2), 4: (0, 4)}
