@@ -196,3 +196,70 @@ def checksums(data, size=512):
     """The checksum file that Hadoop keeps beside a local file."""
     sums = [zlib.crc32(bytes(data[i : i + size])) for i in range(0, len(data), size)]
     return b"crc\0" + size.to_bytes(4, "big") + b"".join(c.to_bytes(4, "big") for c in sums)
+
+
+def archive_rows(spark, path):
+    rows = warc.read_archives(spark, path).collect()
+    return Counter((r["record_id"], r["digest"], r["length"]) for r in rows), rows
+
+
+def test_compressed_archives_of_several_files_with_many_copies(spark, tmp_path, monkeypatch):
+    frame = pages(spark, 120)
+    hot = spark.createDataFrame([(7, "http://x/hot", "z" * 300, "d")] * 250 + [(8, None, None, "d"), (9, "http://x/9", "", "d")], PAGES)
+    frame = frame.union(hot)
+    warc.write_archives(frame, str(tmp_path / "plain"), records=100)
+    monkeypatch.setattr(warc, "FILE_BYTES", 8000)
+    warc.write_archives(frame, str(tmp_path / "packed"), records=100, compressed=True)
+    monkeypatch.setattr(warc, "MOST_CUTS", 0)  # more file starts than are searched in memory
+    warc.write_archives(frame, str(tmp_path / "joined"), records=100)
+    want, _ = archive_rows(spark, str(tmp_path / "plain"))
+    assert sum(want.values()) == frame.count() and max(want.values()) == 250
+    for other in ("packed", "joined"):
+        got, rows = archive_rows(spark, str(tmp_path / other))
+        assert got == want
+        assert any("archive=1-" in r["file"] for r in rows)
+        assert warc.audit_archives(spark, str(tmp_path / "plain"), str(tmp_path / other), frame).count() == 0
+
+
+def test_damage_to_a_packed_byte_reaches_one_record():
+    plain = [f"WARC/1.1\r\nWARC-Record-ID: <{i}>\r\nContent-Length: 400\r\n\r\n{str(i) * 400}\r\n\r\n".encode() for i in range(3)]
+    data = b"".join(warc._packed(record) + b"\0" for record in plain)
+    whole = list(warc.stored_records(data))
+    assert [r[3] for r in whole] == ["<0>", "<1>", "<2>"] and [r[1] for r in whole] == [len(r) for r in plain]
+    start, end = len(warc._packed(plain[0])) + 1, len(warc._packed(plain[0] + b"")) + 1 + len(warc._packed(plain[1])) + 1
+    for at in range(start, end):
+        broken = bytearray(data)
+        broken[at] ^= 4
+        found = list(warc.stored_records(bytes(broken)))
+        kept = {r[4] for r in found}
+        assert whole[0][4] in kept and whole[2][4] in kept
+        # bits that carry nothing (time and system in the header, padding before the trailer) leave the record as it is
+        assert whole[1][4] not in kept or start + 4 <= at < start + 10 or at == end - 9
+    assert [r[1] for r in warc.stored_records(data[:-5])][:2] == [len(r) for r in plain[:2]]
+
+
+def test_long_records_take_several_members(monkeypatch):
+    monkeypatch.setattr(warc, "MEMBER_BYTES", 100)
+    record = b"WARC/1.1\r\nWARC-Record-ID: <a>\r\nContent-Length: 1000\r\n\r\n" + b"0123456789" * 100 + b"\r\n\r\n"
+    (found,) = warc.stored_records(warc._packed(record) + b"\0")
+    assert found[1] == len(record) and len(found[5]) == 1000
+
+
+def test_descent_stays_below_differing_nodes(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(3000).select(
+        F.col("id").cast("string").alias("record_id"), F.struct("id").alias("name"), F.lit(0).cast("long").alias("archive"),
+        F.col("id").alias("record_no"), F.lit(0).cast("long").alias("offset"), F.lit(1).cast("long").alias("length"),
+        F.sha2(F.col("id").cast("string"), 256).alias("digest"),
+    )
+    lost = rows.filter("record_no != 1234").withColumn("record_no", F.col("record_no") - (F.col("record_no") > 1234).cast("int"))
+    one, two = warc.trees(rows, lost)
+    assert one[-1].count() == two[-1].count() == 1
+    first, second, compared = warc.descend(one, two)
+    assert [r["record_id"] for r in first.collect()] == ["1234"] and second.count() == 0
+    for level, (a, b) in enumerate(reversed(compared)):
+        assert a.count() + b.count() < (600 if level == 0 else 400)
+        if level + 1 < len(one):  # nothing below a node that has an equal is read
+            equal = one[level + 1].join(two[level + 1].select("start", "hash"), ["start", "hash"], "left_semi")
+            assert a.join(equal.select(F.col("start").alias(f"up_{level + 1}")), f"up_{level + 1}", "left_semi").count() == 0

@@ -71,8 +71,8 @@ def damaged(pages: DataFrame) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     root = scratch_path(spark, "archives")
-    warc.write_archives(pages, f"{root}/one")
-    warc.write_archives(damaged(pages), f"{root}/two")
+    warc.write_archives(pages, f"{root}/one", compressed=True)
+    warc.write_archives(damaged(pages), f"{root}/two", compressed=True)
     return warc.audit_archives(spark, f"{root}/one", f"{root}/two", pages)
 
 
