@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import adwin, analysis, blocked_sgd, chunk_linear, compare, gate, inject, learners, metrics, neighbours, preprocess, trees
+from tidemark.operators import adwin, analysis, blocked_sgd, chunk_linear, compare, gate, inject, learners, metrics, neighbours, preprocess, speculative, trees
 from tidemark.operators.prequential import TOY_DETECTION, Detection, TestThenTrain, compare_learners, prequential
 from tidemark.plans.ranked import rank_blocks
 from tidemark.session import materialize, scratch_path
@@ -360,6 +360,18 @@ def sgd_stream_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out.select("event_type", "instance_id", "prediction"))
 
 
+def sgd_drift_speculative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one stream with detector and reset, learned in parallel blocks."""
+    rows = table(spark, sf_dir, "events").select(
+        F.lit("events").alias("dataset"),
+        (F.col("event_id") + 1).alias("instance_id"),
+        F.array(F.get_json_object("props", "$.k").cast("double") / 100.0, F.hour("ts") / 24.0).alias("features"),
+        F.col("value").alias("actual"),
+    )
+    out = speculative.sgd_with_resets(rows, ["dataset"], block_rows=5000)
+    return _rounded(out.select("dataset", "instance_id", "prediction", "drift", "segment"))
+
+
 def _chunked(task: str, loss: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = _user_stream(spark, sf_dir, task, loss)
@@ -743,6 +755,7 @@ QUERIES: dict[str, Query] = {
         knn_classify,
         knn_regress,
         sgd_stream_blocked,
+        sgd_drift_speculative,
         multi_learner_compare,
         multiclass_linear,
         all_learner_compare,
