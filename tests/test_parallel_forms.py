@@ -3,10 +3,11 @@
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import analysis, chunk_linear, learners, metrics
+from tidemark.operators import analysis, chunk_linear, learners, metrics, neighbours
 
 
 @pytest.mark.parametrize("loss", [learners.SQUARED, learners.HINGE, learners.PERCEPTRON, learners.PASSIVE_AGGRESSIVE])
@@ -72,3 +73,25 @@ def test_one_summary_row_per_run(spark):
     by_model = {r.model: r for r in out}
     assert len(out) == 2 and by_model["m"].drift_events == 25 and by_model["none"].drift_details is None
     assert [d.instance_id for d in by_model["m"].drift_details] == list(range(2000, 20001, 2000))
+
+
+@pytest.mark.parametrize("kind", ["random", "ties", "far", "same", "not finite"])
+@pytest.mark.parametrize("memory", [1, 30, 1000])
+def test_nearest_by_matrix_products_keeps_the_exact_order(kind, memory):
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(700, 3))
+    if kind == "ties":
+        points = np.floor(points)
+    if kind == "far":
+        points += 1e7
+    if kind == "same":
+        points[:] = 0.1
+    if kind == "not finite":
+        points[50, 1], points[300, 0] = np.nan, np.inf
+    parts = np.sort(rng.integers(0, 3, 700))
+    own = np.arange(100, 700)
+    for i, best in zip(own, neighbours.nearest(points, parts, own, 5, memory), strict=True):
+        near = np.array([j for j in range(max(0, i - memory), i) if parts[j] == parts[i]], dtype=int)
+        gap = points[near] - points[i]
+        want = near[np.argsort(np.einsum("ij,ij->i", gap, gap), kind="stable")[:5]]
+        assert best.tolist() == want.tolist()

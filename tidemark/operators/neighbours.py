@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,6 +14,33 @@ from tidemark.operators.learners import MEMORY_ROWS, NEIGHBOURS
 from tidemark.plans.blocked import Scan, prefix_scan, with_halo
 
 TILE_ROWS = 4096
+BLOCK_ROWS = 256  # rows whose distances to their memory are one matrix product
+SLACK = 1e-11  # bound of the product's error, relative to the squared norms
+
+
+def nearest(points: np.ndarray, parts: np.ndarray, own: np.ndarray, k: int, memory: int) -> Iterator[np.ndarray]:
+    """For each position of ``own`` (ascending) the k nearest of the ``memory`` positions before it in the same part.
+
+    Ties go to the older position. Matrix products give distances up to rounding; whatever may be among the k nearest by
+    them is compared by its exact distance.
+    """
+    norms = np.einsum("ij,ij->i", points, points)
+    for first in range(0, len(own), BLOCK_ROWS):
+        rows = own[first : first + BLOCK_ROWS]
+        low = max(0, rows[0] - memory)
+        near = np.arange(low, rows[-1])
+        known = (near < rows[:, None]) & (near >= rows[:, None] - memory) & (parts[near] == parts[rows][:, None])
+        may = known
+        sums = norms[near] + norms[rows][:, None]
+        if len(near) > k and np.isfinite(sums).all():
+            gaps = np.where(known, sums - 2.0 * (points[rows] @ points[near].T), np.inf)
+            limit = np.partition(gaps, k - 1, axis=1)[:, k - 1 : k]
+            slack = SLACK * np.where(known, sums, 0.0).max(axis=1, keepdims=True)
+            may = known & (gaps <= limit + 2.0 * slack)
+        for i, chosen in zip(rows, may):
+            found = near[chosen]
+            gap = points[found] - points[i]
+            yield found[np.argsort(np.einsum("ij,ij->i", gap, gap), kind="stable")[:k]]
 
 
 def knn(
@@ -56,15 +83,11 @@ def knn(
         parts = tile[segment].to_numpy() if segment else np.zeros(len(tile))
         own = np.flatnonzero(tile["__own"].to_numpy())
         found: list[float | None] = []
-        for i in own:
-            low = max(0, i - memory)
-            near = low + np.flatnonzero(parts[low:i] == parts[i])
-            if len(near) == 0:
+        for best in nearest(points, parts, own, k, memory):
+            if len(best) == 0:
                 found.append(None)
-                continue
-            gap = points[near] - points[i]
-            best = near[np.argsort(np.einsum("ij,ij->i", gap, gap), kind="stable")[:k]]
-            found.append(float(actual[best].mean()) if task == "regression" else vote(actual[best]))
+            else:
+                found.append(float(actual[best].mean()) if task == "regression" else vote(actual[best]))
         out = tile.loc[own, [*keys, order, "actual"]]
         return out.assign(prediction=pd.Series(found, index=out.index, dtype="float64").astype(object).where(lambda s: s.notna(), None))[
             [*keys, order, "prediction", "actual"]
