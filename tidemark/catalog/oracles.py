@@ -606,3 +606,90 @@ def _multiclass() -> str:
 
 
 ORACLES["multiclass_linear"] = _multiclass()
+
+
+def _adwin(source: str, keys: str, grain: int = 1, cooldown: int = 2000, min_rows: int = 100, alarms: bool = True) -> str:
+    """The detector row by row: ``source`` gives keys, instance_id, t (1, 2, ...), n, s and q of each insertion.
+
+    The histogram is three lists (values, sum and squared deviations of each bucket, oldest first). A step either inserts or,
+    while ``pending``, looks for a further cut after the oldest bucket was dropped.
+    """
+    names = keys.split(", ")
+    same = " AND ".join(f"v.{k} = r.{k}" for k in names)
+    empty = "[]::BIGINT[] AS z, []::DOUBLE[] AS s, []::DOUBLE[] AS q, 0.0::DOUBLE AS total, 0.0::DOUBLE AS m2"
+    carried = f"{keys}, instance_id, t, n, last"
+    fresh = "r.drift AND NOT r.pending"
+    begin = f"""SELECT {', '.join('v.' + k for k in names)}, v.instance_id, v.t, v.n, r.last, r.pending AS again, v.s AS vs, v.q AS vq,
+        CASE WHEN r.pending THEN r.direction ELSE 0 END AS direction, CASE WHEN {fresh} THEN 0 ELSE r.seen END AS seen,
+        CASE WHEN {fresh} THEN [] ELSE r.z END AS z, CASE WHEN {fresh} THEN [] ELSE r.s END AS s, CASE WHEN {fresh} THEN [] ELSE r.q END AS q,
+        CASE WHEN {fresh} THEN 0.0::DOUBLE ELSE r.total END AS total, CASE WHEN {fresh} THEN 0.0::DOUBLE ELSE r.m2 END AS m2,
+        CASE WHEN {fresh} THEN 0 ELSE coalesce(list_sum(r.z), 0)::BIGINT END AS w
+      FROM r JOIN v ON {same} AND v.t = r.t + CASE WHEN r.pending THEN 0 ELSE 1 END"""
+    merges = (
+        f"coalesce(list_min(list_filter(range(0, 40), lambda k: len(list_filter(z, lambda x: x = {grain} * (1::BIGINT << k))) <> 5)), 0)"
+    )
+    insert = f"""SELECT {carried}, again, direction, CASE WHEN again THEN seen ELSE seen + {grain} END AS seen,
+        CASE WHEN again THEN 0 ELSE {merges} END AS r,
+        CASE WHEN again THEN z ELSE list_append(z, {grain}::BIGINT) END AS z, CASE WHEN again THEN s ELSE list_append(s, vs) END AS s,
+        CASE WHEN again THEN q ELSE list_append(q, vq) END AS q, CASE WHEN again THEN total ELSE total + vs END AS total,
+        CASE WHEN again THEN m2 WHEN w = 0 THEN vq
+             ELSE m2 + (vq + w * {grain} * pow(vs / {grain} - total / w, 2) / (w + {grain})) END AS m2 FROM ({begin})"""
+    flagged = f"""SELECT *, list_transform(range(1, len(z) + 1), lambda i: z[i] < {grain} * (1::BIGINT << r) AND (i = 1 OR z[i - 1] <> z[i])) AS f
+      FROM ({insert})"""
+    merged = f"""SELECT {carried}, again, direction, seen, total, m2,
+        list_transform(keep, lambda i: CASE WHEN f[i] THEN 2 * z[i] ELSE z[i] END) AS z,
+        list_transform(keep, lambda i: CASE WHEN f[i] THEN s[i] + s[i + 1] ELSE s[i] END) AS s,
+        list_transform(keep, lambda i: CASE WHEN f[i] THEN q[i] + q[i + 1] + z[i] * pow((s[i] - s[i + 1]) / z[i], 2) / 2 ELSE q[i] END) AS q
+      FROM (SELECT *, list_filter(range(1, len(z) + 1), lambda i: i = 1 OR NOT f[i - 1]) AS keep FROM ({flagged}))"""
+    ticked = f"""SELECT *, (again OR seen // 32 <> (seen - {grain}) // 32) AND w > 10 AS tick, ln(2 * ln(w) / 0.01::DOUBLE) AS bound
+      FROM (SELECT *, list_sum(z)::BIGINT AS w FROM ({merged}))"""
+    sides = f"""SELECT *, CASE WHEN tick THEN list_transform(range(1, len(z)), lambda i: list_sum(z[1:i])::DOUBLE) ELSE [] END AS n0,
+        CASE WHEN tick THEN list_transform(range(1, len(z)), lambda i: list_sum(s[1:i])) ELSE [] END AS s0 FROM ({ticked})"""
+    gap = "((total - s0[i]) / (w - n0[i]) - s0[i] / n0[i])"
+    inverse = "(1 / n0[i] + 1 / (w - n0[i]))"
+    cut = f"""SELECT *, list_filter(range(1, len(n0) + 1), lambda i: n0[i] >= 5 AND w - n0[i] >= 5 AND
+        abs({gap}) > sqrt(2 * {inverse} * m2 / w * bound) + 2.0::DOUBLE / 3 * {inverse} * bound)[1] AS i FROM ({sides})"""
+    found = f"SELECT *, CASE WHEN i IS NULL THEN 0 WHEN {gap} > 0 THEN 1 ELSE -1 END AS found FROM ({cut})"
+    rest = "(w - z[1])"
+    dropped = f"""SELECT {carried}, seen, found <> 0 AS pending, CASE WHEN found <> 0 THEN found ELSE direction END AS direction,
+        CASE WHEN found <> 0 THEN z[2:] ELSE z END AS z, CASE WHEN found <> 0 THEN s[2:] ELSE s END AS s, CASE WHEN found <> 0 THEN q[2:] ELSE q END AS q,
+        CASE WHEN found <> 0 THEN total - s[1] ELSE total END AS total,
+        CASE WHEN found <> 0 THEN greatest(0, m2 - q[1] - z[1] * {rest} * pow(s[1] / z[1] - (total - s[1]) / {rest}, 2) / w) ELSE m2 END AS m2
+      FROM ({found})"""
+    gated = f"""SELECT *, NOT pending AND direction <> 0 AND n > {min_rows} AND n - last >= {cooldown} AS accepted FROM ({dropped})"""
+    return f"""{source},
+      r AS (SELECT DISTINCT {keys}, NULL::BIGINT AS instance_id, 0::BIGINT AS t, 0::BIGINT AS n, 0::BIGINT AS last, 0::BIGINT AS seen, false AS pending,
+          0 AS direction, {empty}, false AS drift FROM v
+        UNION ALL SELECT {keys}, instance_id, t, n, CASE WHEN accepted THEN n ELSE last END, seen, pending, direction, z, s, q, total, m2, accepted
+        FROM ({gated}))
+      SELECT {keys}, instance_id, n, direction, drift FROM r WHERE t > 0 AND NOT pending{' AND direction <> 0' if alarms else ''}"""
+
+
+INJECTED = PRED.strip() + f""",
+e AS (SELECT {KEYS}, instance_id, CAST(CASE WHEN instance_id > half THEN error * 3 ELSE error END AS DOUBLE) AS e,
+        row_number() OVER (PARTITION BY {KEYS} ORDER BY instance_id) AS n
+      FROM pred JOIN (SELECT {KEYS}, max(instance_id) / 2 AS half FROM pred GROUP BY ALL) USING ({KEYS}) WHERE error IS NOT NULL)"""
+SINGLE = "n AS t, n, e AS s, 0.0::DOUBLE AS q"
+ORACLES["adwin_runs"] = _adwin(f"WITH RECURSIVE {INJECTED}, v AS MATERIALIZED (SELECT {KEYS}, instance_id, {SINGLE} FROM e)", KEYS)
+ORACLES["adwin_grained"] = _adwin(
+    f"""WITH RECURSIVE {INJECTED}, v AS MATERIALIZED (SELECT {KEYS}, max(instance_id) AS instance_id, max(n) // 32 AS t, max(n) AS n, sum(e) AS s,
+      var_pop(e) * 32 AS q FROM e GROUP BY {KEYS}, (n - 1) // 32 HAVING count(*) = 32)""",
+    KEYS,
+    grain=32,
+)
+ORACLES["adwin_keyed"] = _adwin(
+    f"""WITH RECURSIVE e AS (SELECT 'events' AS dataset, 'regression' AS task, user_id, event_id + 1 AS instance_id, value::DOUBLE AS e,
+      row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE value IS NOT NULL),
+      v AS MATERIALIZED (SELECT dataset, task, user_id, instance_id, {SINGLE} FROM e)""",
+    "dataset, task, user_id",
+    cooldown=0,
+    min_rows=0,
+    alarms=False,
+)
+ORACLES["adwin_stream_blocks"] = _adwin(
+    f"""WITH RECURSIVE e AS (SELECT 'events' AS dataset, event_id + 1 AS instance_id,
+      CASE WHEN event_id + 1 > (SELECT (max(event_id) + 1) / 2 FROM events) THEN value * 3 ELSE value END::DOUBLE AS e,
+      row_number() OVER (ORDER BY event_id) AS n FROM events WHERE value IS NOT NULL),
+      v AS MATERIALIZED (SELECT dataset, instance_id, {SINGLE} FROM e)""",
+    "dataset",
+)

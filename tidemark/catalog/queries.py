@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import adwin, analysis, blocked_sgd, chunk_linear, compare, gate, inject, learners, metrics, neighbours, preprocess, speculative, trees
+from tidemark.operators import adwin, adwin_blocks, analysis, blocked_sgd, chunk_linear, compare, gate, inject, learners, metrics, neighbours, preprocess, speculative, trees
 from tidemark.operators.prequential import TOY_DETECTION, Detection, TestThenTrain, compare_learners, prequential
 from tidemark.plans.ranked import rank_blocks
 from tidemark.session import materialize, scratch_path
@@ -289,6 +289,15 @@ def adwin_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adwin.detect_drift(rows, ["dataset", "task", "user_id"], F.col("target"), cooldown=0, min_rows=0)
 
 
+def adwin_stream_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One detector over all events, in parallel blocks; values are tripled in the second half."""
+    rows = tables.instances_regression(spark, sf_dir)
+    half = rows.groupBy("dataset").agg((F.max("instance_id") / 2).alias("half"))
+    value = F.when(F.col("instance_id") > F.col("half"), F.col("target") * 3).otherwise(F.col("target"))
+    out = adwin_blocks.detect_drift_blocks(rows.join(half, "dataset"), ["dataset"], value, block_rows=8192)
+    return out.filter("direction != 0")
+
+
 def _toy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         tables.instances_regression(spark, sf_dir)
@@ -751,6 +760,7 @@ QUERIES: dict[str, Query] = {
         adwin_runs,
         adwin_grained,
         adwin_keyed,
+        adwin_stream_blocks,
         adwin_toy,
         knn_classify,
         knn_regress,
