@@ -91,3 +91,48 @@ def test_document_frequency_counts_all_rows(spark, corpus):
     texts = [(r["text"] or "").encode() for r in docs.collect()]
     assert count == len(texts)
     assert frequency.tolist() == [sum(t in toxicity.analyze(x) for x in texts) for t in vocabulary]
+
+
+def test_toxicity_scores_equal_plain_search(spark, corpus):
+    docs, labels, _ = corpus
+    model = toxicity.fit(docs, labels)
+    sample = {r["doc_id"]: r for r in labelled.sample_labelled(docs, labels, "toxic").collect()}
+
+    def dense(text):
+        vector = np.zeros(len(model.idf) + 1)
+        for term, count in toxicity.analyze((text or "").encode()).items():
+            if term in model.numbers:
+                vector[model.numbers[term]] = (1 + np.log(count)) * model.idf[model.numbers[term]]
+        vector[-1] = toxicity.COMMON_WEIGHT
+        return vector / np.linalg.norm(vector)
+
+    examples = np.array([dense(sample[i]["text"]) for i in model.doc_ids.tolist()])
+    everything = np.array([dense(r["text"]) for r in sample.values()])
+    assert len(examples) < len(everything)
+    for row in docs.select("text").collect():
+        query = dense(row["text"])
+        similarity = np.round(examples @ query, 7)
+        best = np.argsort(-similarity, kind="stable")[: model.k]
+        assert np.allclose(np.sort(everything @ query)[::-1][: model.k], similarity[best], atol=1e-6)
+        weight = 1 / (1 - np.minimum(similarity[best], 1) + toxicity.SOFTEN)
+        y = np.array([sample[i]["y"] for i in model.doc_ids[best].tolist()])
+        want = 1 / (1 + np.exp(-(model.slope * (weight @ y / weight.sum()) + model.shift)))
+        assert model.score((row["text"] or "").encode())[0] == pytest.approx(want, abs=1e-4)
+
+
+def test_block_max_search_prunes_and_breaks_ties_by_row():
+    rng = np.random.default_rng(4)
+    matrix = np.zeros((600, 31))
+    matrix[np.arange(600), rng.integers(0, 30, 600)] = rng.random(600)
+    matrix[:, -1] = 1.0
+    matrix = labelled.unit_rows(matrix)
+    matrix = matrix[toxicity.similar_order(matrix, np.arange(600))]
+    index = toxicity.BlockMaxIndex.build(matrix)
+    scored = []
+    plain = toxicity.BlockMaxIndex._scores
+    index._scores = lambda terms, values, blocks: scored.append(len(blocks)) or plain(index, terms, values, blocks)
+    for i in range(0, 600, 7):
+        terms = np.flatnonzero(matrix[i])
+        rows, _ = index.nearest(terms, matrix[i][terms], 9)
+        assert rows.tolist() == np.argsort(-np.round(matrix @ matrix[i], 9), kind="stable")[:9].tolist()
+    assert sum(scored) < 0.5 * len(range(0, 600, 7)) * index.bounds.shape[1]

@@ -6,8 +6,10 @@ that occur twice or four times; those that tell the labels apart by a chi-square
 term lies near those without any. Inverse document frequencies count all
 documents. The examples' postings are cut into blocks with the largest weight of each term per block; a
 query sums those maxima to an upper bound per block and visits blocks in falling order until the k-th best
-similarity exceeds every bound left, which is exact. Votes weigh 1/distance; a logistic curve fitted to
-leave-one-out votes makes them probabilities. Index and examples are bounded by the parameters and broadcast.
+similarity exceeds every bound left, which is exact. Examples stand in the order of their heaviest term, so that a block
+holds like ones and its bound is tight; of equal vectors only the first k + 1 are indexed, since ties go to the first and no
+further one can be a neighbour. Votes weigh 1/distance; a logistic curve fitted to leave-one-out votes of all examples
+makes them probabilities. Index and examples are bounded by the parameters and broadcast.
 """
 
 from __future__ import annotations
@@ -29,8 +31,9 @@ from tidemark.llm.invindex import words
 TERMS = 1024
 CHI_SQUARE = 30.0  # some one in ten million by chance
 NEIGHBOURS = 15
-BLOCK = 64
-VISIT_FIRST = 4
+BLOCK = 16
+VISIT_FIRST = 2
+SLACK = 1e-8  # similarities are rounded to nine digits, bounds are not
 SOFTEN = 0.05
 PREFIXES = (4, 5, 6, 7, 8)
 LEVELS = (2, 4)
@@ -100,10 +103,10 @@ class BlockMaxIndex:
         return np.bincount(self.rows[at], weights=value * self.weights[at], minlength=self.size)
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` best (rows, similarities > 0); of equal ones at the end, those in blocks visited first.
+        """The ``k`` best (rows, similarities > 0), of equal ones the first rows.
 
-        The blocks with the largest bounds are scored first; of the others only those whose bound exceeds the
-        k-th best similarity so far.
+        Blocks are scored in falling order of their bounds, two, four, eight, ... at a time, until the next bound is below
+        the k-th best similarity so far.
         """
         if not self.size:
             return np.empty(0, dtype=np.int64), np.empty(0)
@@ -111,13 +114,17 @@ class BlockMaxIndex:
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
         scores = np.zeros(self.size)
-        for blocks in (order[:VISIT_FIRST], order[VISIT_FIRST:]):
+        done, step, least = 0, VISIT_FIRST, 0.0
+        while done < len(order):
+            wanted = order[done : done + step]
+            wanted = wanted[bounds[wanted] >= least - SLACK]
+            if not len(wanted):
+                break
+            scores += np.round(self._scores(terms, values, wanted), 9)
+            if 0 <= skip < self.size:
+                scores[skip] = 0
             least = np.partition(scores, -k)[-k] if k <= self.size else 0.0
-            wanted = blocks[bounds[blocks] > least]
-            if len(wanted):
-                scores += np.round(self._scores(terms, values, wanted), 9)
-                if 0 <= skip < self.size:
-                    scores[skip] = 0
+            done, step = done + step, step * 2
         best = np.argsort(-scores, kind="stable")[:k]
         best = best[scores[best] > 0]
         return best, scores[best]
@@ -166,6 +173,28 @@ def weigh(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return terms, values / np.linalg.norm(values)
 
 
+def similar_order(matrix: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Rows by their heaviest term but the common one, then by its weight, then by id; rows without a term last."""
+    own = matrix[:, :-1]
+    if not own.size:
+        return np.argsort(ids, kind="stable")
+    heaviest = own.max(axis=1)
+    term = np.where(heaviest > 0, own.argmax(axis=1), own.shape[1])
+    return np.lexsort((ids, -heaviest, term))
+
+
+def first_of_equal(matrix: np.ndarray, count: int) -> np.ndarray:
+    """Numbers of the rows that have fewer than ``count`` equal rows before them."""
+    seen: dict[bytes, int] = {}
+    kept = []
+    for i, row in enumerate(matrix):
+        key = row.tobytes()
+        seen[key] = seen.get(key, 0) + 1
+        if seen[key] <= count:
+            kept.append(i)
+    return np.array(kept, dtype=np.int64)
+
+
 def logistic(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     """Slope and shift by Newton steps on smoothed targets; a little damping keeps them finite."""
     pos = labels.sum()
@@ -210,14 +239,17 @@ def fit(
     for i, (_, _, counts) in enumerate(rows):
         at, values = weigh(counts, idf)
         matrix[i, at] = values
+    order = similar_order(matrix, np.array([r[0] for r in rows], dtype=np.int64))
+    matrix, rows = matrix[order], [rows[i] for i in order]
     y = np.array([r[1] for r in rows], dtype=np.float64)
-    model = ToxicityModel(
-        numbers, idf, BlockMaxIndex.build(matrix), y, np.array([r[0] for r in rows], dtype=np.int64), 1.0, 0.0, k, known
-    )
+    kept = first_of_equal(matrix, k + 1)
+    ids = np.array([r[0] for r in rows], dtype=np.int64)
+    model = ToxicityModel(numbers, idf, BlockMaxIndex.build(matrix[kept]), y[kept], ids[kept], 1.0, 0.0, k, known)
+    place = {int(i): at for at, i in enumerate(kept)}
     votes = np.zeros(len(rows))
     for i, row in enumerate(matrix):
         at = np.flatnonzero(row)
-        votes[i] = model.vote(*model.index.nearest(at, row[at], k, skip=i))
+        votes[i] = model.vote(*model.index.nearest(at, row[at], k, skip=place.get(i, -1)))
     if len(rows):
         model.slope, model.shift = logistic(votes, y)
     model.plain = model.score(b"")
