@@ -171,8 +171,9 @@ def detect_drift_blocks(
             (((F.col("n") - F.col("at")) % F.col("rows") == 0) | (F.col("n") == F.col("size"))).alias("closing"),
         )
         fed = rows.unionByName(seeds.withColumn("closing", F.lit(False)), allowMissingColumns=True)
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         ran = run_ordered(
-            fed, [*keys, "block"], "n", inputs, outputs, lambda _: _Replay(delta, clock, cooldown, min_rows), bounded=True
+            fed, [*keys, "block"], "n", inputs, outputs, lambda _: _Replay(delta, clock, cooldown, min_rows), bounded=True, tasks=tasks
         ).filter("direction is not null")
         ran = materialize(ran.select(*keys, "block", "n", order, "direction", "drift", "state"), "ran")
         alarm = F.min(F.when(F.col("direction") != 0, F.col("block")))

@@ -99,11 +99,13 @@ def run_ordered(
     make: Callable[[dict], Machine],
     slice_rows: int | None = None,
     bounded: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Feed ``inputs`` of every key through ``make(key)`` in ``order``.
 
     Returns keys, inputs and the machine's outputs. ``inputs[0]`` must be ``order``. ``bounded`` says
-    that no key can exceed ``slice_rows`` (the key is a block), which saves counting.
+    that no key can exceed ``slice_rows`` (the key is a block), which saves counting. ``tasks`` sets the number of tasks of
+    bounded keys, which are else few for few bytes, however much work the rows are.
     """
     keys, inputs = list(keys), list(inputs)
     if inputs[0] != order:
@@ -114,7 +116,8 @@ def run_ordered(
     plain = T.StructType([*rows.schema.fields, *outputs.fields])
     longest = 0 if bounded else rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if longest <= size:
-        ordered = rows.repartition(*keys).sortWithinPartitions(*keys, order)
+        dealt = rows.repartition(tasks, *keys) if tasks else rows.repartition(*keys)
+        ordered = dealt.sortWithinPartitions(*keys, order)
         return ordered.mapInArrow(_runner(make, keys, inputs, outputs, False), _nullable(plain))
 
     sliced = prefix_scan(rows, keys, order, {"__pos": Scan("count", F.lit(True))})
