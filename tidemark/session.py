@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Input rows behind one shuffle partition, and the bytes that adaptive execution may join into one or a scan reads at once.
+SHUFFLE_ROWS = 50_000
+TASK_BYTES = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m", "spark.sql.files.maxPartitionBytes": "16m"}
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -46,6 +50,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def size_shuffles(spark: SparkSession, rows: int) -> None:
+    """Let the number of tasks grow with an input of ``rows`` rows, so that what one task sorts does not.
+
+    By default adaptive execution joins a shuffle into about one partition per core, up to 64 MB of it packed, which are
+    gigabytes of rows once a window sorts them. Settings are only ever tightened. Writers keep a file open for each of a few runs, without sorting.
+    """
+    wanted = -(-rows // SHUFFLE_ROWS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    for name, most in TASK_BYTES.items():
+        if _bytes(spark.conf.get(name)) > _bytes(most):
+            spark.conf.set(name, most)
+    if int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) <= 0:
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "64")
+
+
+def _bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 

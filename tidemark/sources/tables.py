@@ -7,14 +7,25 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import absolute_error, zero_one_error
 from tidemark.plans.blocked import Scan, prefix_scan
+from tidemark.session import size_shuffles
 
 KEYS = ["dataset", "task", "model"]
 AMOUNT = "decimal(12,2)"
 
 
+_rows: dict[tuple[str, str], int] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; the shuffles that follow are sized by its rows, which the files' footers tell."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _rows:
+        _rows[key] = df.count()
+    size_shuffles(spark, _rows[key])
+    return df
 
 
 def _event_features() -> Column:
