@@ -3,7 +3,9 @@
 The rows after a reset are run in parallel blocks as if no drift came. The first accepted drift among their errors settles the
 rows up to it, and only the tail from it is run anew, with a fresh model. A run looks at ``first_rows`` rows after the
 reset; without a drift there it is repeated over twice as many, so that rows are run a bounded number of times on
-average, however far apart drifts are. What stays sequential is the detector, which sees one number a row.
+average, however far apart drifts are. What stays sequential is the detector, which sees one number a row. A stream that
+drifted ``speculated`` times goes on row by row in one ordered run: speculation gains nothing where drifts are frequent, and
+the number of jobs does not grow with the number of drifts.
 """
 
 from __future__ import annotations
@@ -17,12 +19,14 @@ from pyspark.sql import types as T
 
 from tidemark.operators.adwin import Adwin, Gate
 from tidemark.operators.blocked_sgd import BLOCK_ROWS, sgd_regression
-from tidemark.operators.prequential import Detection
+from tidemark.operators.learners import SQUARED, Linear
+from tidemark.operators.prequential import OUTPUTS, Detection, TestThenTrain
 from tidemark.plans.blocked import Scan, prefix_scan
 from tidemark.plans.ordered import run_ordered
 from tidemark.session import materialize, scratch_path
 
 FIRST_ROWS = 1 << 15
+SPECULATED = 3
 
 
 class _FirstDrift:
@@ -55,6 +59,18 @@ class _FirstDrift:
             self.detector.from_state(state["detector"])
 
 
+class _GoOn(TestThenTrain):
+    """The row form from a reset on."""
+
+    def step(self, row: tuple) -> tuple:
+        n, features, actual, last, segment = row
+        if not self.n:
+            self.n, self.segment, self.gate.last = n - 1, segment, last
+            if self.detection.delta_after is not None:
+                self.detector = Adwin(self.detection.delta_after)
+        return super().step((n, features, actual))
+
+
 def sgd_with_resets(
     instances: DataFrame,
     keys: Sequence[str],
@@ -65,11 +81,12 @@ def sgd_with_resets(
     power: float = 0.25,
     block_rows: int = BLOCK_ROWS,
     first_rows: int = FIRST_ROWS,
+    speculated: int = SPECULATED,
 ) -> DataFrame:
     """The rows that ``prequential`` gives for the squared-loss learner with ``detection``, features taken as they are.
 
     Columns: keys, ``order``, ``prediction``, ``actual``, ``error``, ``drift``, ``segment``. A row without a prediction has no error.
-    Rounds follow one another: one for each drift of the stream with most of them, and one for each doubling between drifts.
+    Rounds follow one another: one for each of the first ``speculated`` drifts, and one for each doubling between them.
     All streams take part in a round, each with its own range of rows. Key columns must not be null.
     """
     keys = list(keys)
@@ -82,7 +99,7 @@ def sgd_with_resets(
     )
     bounds = materialize(bounds, "bounds")
     base, rounds = scratch_path(placed.sparkSession, "settled"), 0
-    schema = None
+    schema, frequent = None, []
     while not bounds.isEmpty():
         inside = (F.col("n") >= F.col("start")) & (F.col("n") < F.col("start") + F.col("horizon"))
         tail = placed.join(bounds.select(*keys, "start", "horizon"), keys).filter(inside)
@@ -108,12 +125,24 @@ def sgd_with_resets(
         reset = judged.filter("at < size").select(
             *keys, "size", begins.alias("start"), F.col("at").alias("last"), F.col("segment") + 1, F.lit(first_rows).cast("long")
         )
+        frequent.append(materialize(reset.toDF(*bounds.columns).filter(F.col("segment") >= speculated), "frequent"))
+        reset = reset.toDF(*bounds.columns).filter(F.col("segment") < speculated)
         longer = judged.filter("upto is null").select(*keys, "size", "start", "last", "segment", F.col("horizon") * 2)
         bounds = materialize(longer.union(reset).toDF(*bounds.columns), "bounds")
     spark = placed.sparkSession
     if not rounds:
         empty = placed.withColumn("prediction", F.lit(None).cast("double")).withColumn("error", F.lit(None).cast("double"))
         return empty.select(*keys, order, "prediction", "actual", "error", F.lit(False).alias("drift"), none.alias("segment"))
+    onward = frequent[0]
+    for more in frequent[1:]:
+        onward = onward.unionByName(more)
+    fed = placed.join(onward.select(*keys, "start", "last", "segment"), keys).filter("n >= start").withColumnRenamed("segment", "before")
+    went = run_ordered(
+        fed, keys, "n", ["n", "features", "actual", "last", "before"], OUTPUTS,
+        lambda _: _GoOn("regression", lambda: Linear(SQUARED, eta, schedule, power), detection, False),
+    ).filter("n > last").select(*keys, "n", "prediction", "actual", "error", "drift", "segment")
+    went.write.parquet(f"{base}/round={rounds}")
+    rounds += 1
     done = spark.read.schema(schema).parquet(*[f"{base}/round={r}" for r in range(rounds)])
     named = placed.select(*keys, "n", order)
     return done.join(named, [*keys, "n"]).select(*keys, order, "prediction", "actual", "error", "drift", "segment")
