@@ -52,3 +52,18 @@ def test_empty_stream(spark):
     df = spark.createDataFrame([], "k string, instance_id long, e double")
     out = detect_drift_blocks(df, ["k"], F.col("e"))
     assert out.count() == 0 and out.columns == ["k", "instance_id", "n", "direction", "drift"]
+
+
+def test_frequent_alarms_cost_few_rounds(spark, monkeypatch):
+    from tidemark.operators import adwin_blocks
+
+    rng = random.Random(3)
+    rows = [("a", i, float((i // 300) % 2 * 40 + rng.randrange(5))) for i in range(12000)]
+    frame = spark.createDataFrame(rows, "k string, instance_id long, v double")
+    options = {"cooldown": 100, "min_rows": 10}
+    want = sorted(map(tuple, adwin.detect_drift(frame, ["k"], F.col("v"), **options).filter("direction != 0").collect()))
+    rounds, whole = [], adwin_blocks.run_ordered
+    monkeypatch.setattr(adwin_blocks, "run_ordered", lambda *a, **b: rounds.append(1) or whole(*a, **b))
+    out = adwin_blocks.detect_drift_blocks(frame, ["k"], F.col("v"), block_rows=64, first_blocks=2, **options)
+    assert sorted(map(tuple, out.filter("direction != 0").collect())) == want
+    assert len(want) > 30 and len(rounds) <= 16

@@ -27,6 +27,7 @@ from tidemark.session import materialize, scratch_path
 
 BLOCK_ROWS = 1 << 15
 FIRST_BLOCKS = 8
+MOST_ROWS = 4_000_000  # of a block
 STATE = "counts array<long>, start long, reset long, last long"
 
 
@@ -187,8 +188,8 @@ def detect_drift_blocks(
             *keys, F.col("block").alias("upto"), F.col("n").alias("end"), F.from_json("state", STATE).alias("s")
         )
         after = states.select(*keys, "size", "rows", "blocks").join(judged, keys).join(ends, [*keys, "upto"]).filter("end < size")
-        dense = F.col("hit") == 0
-        rows_next = F.when(dense, F.col("rows") * 2).otherwise(F.greatest(F.floor(F.col("rows") / 2), F.lit(block_rows)))
+        # blocks only ever grow: frequent alarms cost a number of rounds that grows with the logarithm of the length
+        rows_next = F.when(F.col("hit").isNull(), F.col("rows")).otherwise(F.least(F.col("rows") * 2, F.lit(max(MOST_ROWS, block_rows))))
         blocks_next = F.when(F.col("hit").isNull(), F.col("blocks") * 2).otherwise(F.lit(first_blocks))
         states = materialize(
             after.select(
