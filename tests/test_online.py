@@ -261,3 +261,22 @@ def test_registry_serves_declared_classes(model):
     for asked in ((0, 1), (3, 5)):
         with pytest.raises(ValueError):
             learners.create_learner("classification", model, asked).learn([1.0], 9.0)
+
+
+@pytest.mark.parametrize("task", ["classification", "regression"])
+def test_neighbours_keep_order_of_age_and_state(task):
+    from tidemark.operators.learners import Neighbours
+
+    rng = random.Random(4)
+    model, rows = Neighbours(task, 5, 40), []
+    for i in range(400):
+        x, y = [rng.randrange(4) / 3, rng.randrange(4) / 3], float(rng.randrange(3))
+        scored = sorted((sum((a - b) * (a - b) for a, b in zip(f, x)), j, v) for j, (f, v) in enumerate(rows[-40:]))
+        near = [v for _, _, v in scored[:5]]
+        want = None if not near else sum(near) / len(near) if task == "regression" else min(set(near), key=lambda c: (-near.count(c), c))
+        assert model.predict(x) == want
+        model.learn(x, y)
+        rows.append((x, y))
+        if i % 90 == 50:
+            saved, model = model.to_state(), Neighbours(task, 5, 40)
+            model.from_state(saved)
