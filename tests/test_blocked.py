@@ -162,3 +162,26 @@ def test_no_window_sees_more_rows_than_blocks(spark, monkeypatch):
         row_level = order.startswith("i#")
         assert not row_level or "__blk" in partition
         assert row_level or "__grp" in partition or order.startswith(("__grp", "__task"))
+
+
+@pytest.mark.parametrize("slice_rows", ["4000000", "700"])
+def test_exact_blocked_sgd_has_every_digit(spark, slice_rows):
+    import random
+
+    from tidemark.operators.blocked_sgd import sgd_regression
+    from tidemark.operators.learners import SQUARED, Linear
+
+    rng = random.Random(6)
+    rows = [("a", i, [rng.random(), rng.random()], rng.expovariate(0.02)) for i in range(1, 2001)]
+    frame = spark.createDataFrame(rows, "k string, instance_id long, features array<double>, actual double")
+    model, want = Linear(SQUARED), {}
+    for _, i, x, y in rows:
+        want[i] = model.predict(x)
+        model.learn(x, y)
+    kept = spark.conf.get("spark.tidemark.sliceRows", None)
+    spark.conf.set("spark.tidemark.sliceRows", slice_rows)
+    try:
+        out = sgd_regression(frame, ["k"], block_rows=100, exact=True).collect()
+    finally:
+        spark.conf.unset("spark.tidemark.sliceRows") if kept is None else spark.conf.set("spark.tidemark.sliceRows", kept)
+    assert {r["instance_id"]: r["prediction"] for r in out} == want

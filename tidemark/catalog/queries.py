@@ -365,7 +365,7 @@ def sgd_stream_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.get_json_object("props", "$.k").cast("double") / 100.0, F.hour("ts") / 24.0).alias("features"),
         F.col("value").alias("actual"),
     )
-    out = blocked_sgd.sgd_regression(rows, ["event_type"], block_rows=500)
+    out = blocked_sgd.sgd_regression(rows, ["event_type"], block_rows=500, exact=True)
     return _rounded(out.select("event_type", "instance_id", "prediction"))
 
 

@@ -64,6 +64,24 @@ class _Fold:
         self.v = state["v"]
 
 
+class _Entries:
+    """Weights of the row-by-row run after each full block."""
+
+    def __init__(self, eta: float, schedule: str, power: float, block_rows: int):
+        self.model, self.block_rows = Linear(SQUARED, eta, schedule, power), block_rows
+
+    def step(self, row: tuple) -> tuple:
+        pos, features, y = row
+        self.model.learn(features, y)
+        return (None if pos % self.block_rows else [*self.model.w, self.model.b],)
+
+    def to_state(self) -> dict[str, Any]:
+        return self.model.to_state()
+
+    def from_state(self, state: dict[str, Any]) -> None:
+        self.model.from_state(state)
+
+
 class _Replay:
     def __init__(self, eta: float, schedule: str, power: float):
         self.model = Linear(SQUARED, eta, schedule, power)
@@ -89,11 +107,15 @@ def sgd_regression(
     schedule: str = "inverse",
     power: float = 0.25,
     block_rows: int = BLOCK_ROWS,
+    exact: bool = False,
 ) -> DataFrame:
     """Test-then-train predictions of the squared-loss learner without drift resets.
 
     Columns: keys, ``order``, ``prediction`` (null for a key's first row), ``actual``. Keys that fit one
     block skip the composing step.
+
+    Composed maps round differently than single steps: the predictions are those of the row-by-row run to about twelve digits.
+    ``exact`` learns (without predicting) each key's rows in order for the weights between its blocks, which gives every digit.
     """
     keys = list(keys)
     rows = instances.select(*keys, order, "features", F.col("actual").cast("double").alias("actual"))
@@ -102,6 +124,32 @@ def sgd_regression(
     )
     ends = placed.groupBy(*keys).agg(F.max("part").alias("__end")).filter("__end > 0")
     inner = placed.join(ends, keys).filter("part < __end")
+    if exact:
+        weights = run_ordered(
+            inner,
+            keys,
+            "pos",
+            ["pos", "features", "actual"],
+            T.StructType([T.StructField("entry", VECTOR)]),
+            lambda _: _Entries(eta, schedule, power, block_rows),
+        )
+        weights = weights.filter("entry is not null").withColumn("part", F.expr(f"pos div {block_rows}"))
+    else:
+        weights = _composed(inner, keys, eta, schedule, power, block_rows)
+    replayed = run_ordered(
+        placed.join(weights.select(*keys, "part", "entry"), [*keys, "part"], "left"),
+        [*keys, "part"],
+        "pos",
+        ["pos", "features", "actual", "entry", order],
+        T.StructType([T.StructField("prediction", T.DoubleType())]),
+        lambda _: _ReplayRows(eta, schedule, power),
+        bounded=True,
+    )
+    return replayed.select(*keys, order, "prediction", "actual")
+
+
+def _composed(inner: DataFrame, keys: list[str], eta: float, schedule: str, power: float, block_rows: int) -> DataFrame:
+    """Entry weights of each block but the first, from the maps of the blocks before it."""
     maps = run_ordered(
         inner,
         [*keys, "part"],
@@ -111,7 +159,7 @@ def sgd_regression(
         lambda _: _Compose(eta, schedule, power, block_rows),
         bounded=True,
     ).filter("map is not null")
-    weights = run_ordered(
+    return run_ordered(
         maps.select(*keys, "part", "map"),
         keys,
         "part",
@@ -120,16 +168,6 @@ def sgd_regression(
         lambda _: _Fold(),
         bounded=True,
     ).select(*keys, (F.col("part") + 1).alias("part"), "entry")
-    replayed = run_ordered(
-        placed.join(weights, [*keys, "part"], "left"),
-        [*keys, "part"],
-        "pos",
-        ["pos", "features", "actual", "entry", order],
-        T.StructType([T.StructField("prediction", T.DoubleType())]),
-        lambda _: _ReplayRows(eta, schedule, power),
-        bounded=True,
-    )
-    return replayed.select(*keys, order, "prediction", "actual")
 
 
 class _ReplayRows(_Replay):
