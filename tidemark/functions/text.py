@@ -13,10 +13,12 @@ MISSING = "N/A"
 
 def run_of_path(path: Column) -> dict[str, Column]:
     """dataset, task and model of a log or result file; ``unknown`` where the name has too few parts."""
-    found = F.regexp_extract(path, RUN_FILE, 1) != ""
+    # only the last two names can match; a long path would be searched from each of its folders, for every row
+    tail = F.substring_index(path, "/", -2)
+    found = F.regexp_extract(tail, RUN_FILE, 1) != ""
 
     def part(i: int) -> Column:
-        return F.when(found, F.regexp_extract(path, RUN_FILE, i)).otherwise(F.lit("unknown"))
+        return F.when(found, F.regexp_extract(tail, RUN_FILE, i)).otherwise(F.lit("unknown"))
 
     return {"dataset": part(1), "task": part(2), "model": part(3)}
 
