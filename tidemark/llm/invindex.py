@@ -184,7 +184,7 @@ def search(index: DataFrame, phrases: Phrases, slack: int = SLACK) -> DataFrame:
 def _slices(benchmark: DataFrame, slice_words: int) -> Iterator[list[tuple[int, list[bytes]]]]:
     """Benchmark items (id, words) streamed to the driver in slices of a bounded number of words."""
     held, size = [], 0
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
     for row in rows.filter("text is not null").toLocalIterator():
         found = words(row["text"].encode())
         if not found:
