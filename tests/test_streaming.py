@@ -175,3 +175,47 @@ def test_an_idle_stream_without_rows_ends(spark, tmp_path):
     began = time.time()
     run_until_idle(spark.readStream.text(f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/cp", interval="200 milliseconds", idle_seconds=2)
     assert 2 <= time.time() - began < 40
+
+
+def test_waiting_rows_share_entries_of_the_state():
+    import random
+
+    from tidemark.streaming.prequential import StateRows
+
+    class Store(dict):
+        calls = 0
+
+        def _count(self):
+            Store.calls += 1
+
+        def getValue(self, key):
+            self._count()
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            self._count()
+            self[key] = value
+
+        def removeKey(self, key):
+            self._count()
+            self.pop(key, None)
+
+        def iterator(self):
+            return iter(list(self.items()))
+
+    store, ids = Store(), list(range(1, 5001))
+    late, early = ids[:2500], ids[2500:]
+    random.Random(2).shuffle(early)
+    queue, seen = Sequencer(1, held=StateRows(store)), []
+    for part in (early[:1000], early[1000:], late):
+        for i in part:
+            queue.push(i, [i])
+        seen += [(o, r) for o, r in queue.ready(skip=False)]
+        if part is not late:
+            assert sorted(queue.held) == sorted(early[: len(queue.held)])
+        queue.held.settle()
+        saved = queue.to_state()
+        queue = Sequencer(1, held=StateRows(store))
+        queue.from_state(saved)
+    assert seen == [(i, [i]) for i in ids] and not store and not queue.held
+    assert Store.calls < 500
