@@ -3,7 +3,7 @@
 A stream is cut into chunks. The rows of a chunk are predicted by the trees as they stood before it
 (test-then-train at chunk grain), then added to per-leaf histograms, from which leaves are split
 (Domingos and Hulten 2000; Ikonomovska et al. 2011; Gomes et al. 2017). The work inside a chunk is
-one parallel aggregate over its rows, however large; chunks double in size up to a ceiling and depend
+one parallel pass over blocks of its rows (``forest``), however large; chunks double in size up to a ceiling and depend
 on the row position only (``plans.chunks``), so more rows or other streams never change earlier output. A
 tree grows by at most one level per chunk, to 60 levels at most (node numbers are longs). A tree is two small tables:
 
@@ -20,20 +20,20 @@ import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import forest
 from tidemark.operators.adwin import DELTA, Adwin, Gate
 from tidemark.plans.blocked import Scan, prefix_scan
 from tidemark.plans.chunks import chunk_count, chunk_of
-from tidemark.plans.ordered import run_ordered
+from tidemark.plans.ordered import ARROW, run_ordered
 from tidemark.session import materialize, scratch_path
 
-SALTS = 64
-
 
 @dataclass(frozen=True)
 class TreeOptions:
@@ -191,9 +191,8 @@ def apply_splits(stats: DataFrame, decided: DataFrame, keys: Sequence[str]) -> D
     )
 
 
-def _models(stats: DataFrame, splits: DataFrame, keys: Sequence[str], o: TreeOptions) -> DataFrame:
-    """One row per key: per member its split map, leaf guesses and vote weight. As large as the trees
-    themselves, which grow with chunks and learners but not with rows; one shuffle by key."""
+def _nodes(stats: DataFrame, splits: DataFrame, keys: Sequence[str], o: TreeOptions) -> DataFrame:
+    """One row per node: its split, or a leaf's guess; node -1 holds a member's vote."""
     member = [*keys, "member"]
     nothing = [F.lit(None).cast(t).alias(c) for c, t in (("feature", "int"), ("threshold", "double"))]
     known = stats.filter("f < 0").select(*member, "node", "f", "cls", "w", "sy", *nothing)
@@ -208,7 +207,7 @@ def _models(stats: DataFrame, splits: DataFrame, keys: Sequence[str], o: TreeOpt
     )
     by_class = (
         known.unionByName(inner)
-        .repartition(*keys)
+        .repartition(*member, "node")
         .groupBy(*member, "node", "f", "cls")
         .agg(*[F.sum(c).alias(c) for c in ("w", "sy")], *[F.max(c).alias(c) for c in ("feature", "threshold")])
     )
@@ -217,145 +216,107 @@ def _models(stats: DataFrame, splits: DataFrame, keys: Sequence[str], o: TreeOpt
         guess = -F.max(F.when(is_mass, F.struct(F.col("w"), (-F.col("cls").cast("double")).alias("c"))))["c"]
     else:
         guess = F.sum(F.when(is_mass, F.col("sy"))) / F.sum(F.when(is_mass, F.col("w")))
-    by_node = by_class.groupBy(*member, "node").agg(
+    return by_class.groupBy(*member, "node").agg(
         guess.alias("g"),
         F.max("feature").alias("feature"),
         F.max("threshold").alias("threshold"),
         F.max(F.when(F.col("f") == -2, F.col("sy") / F.col("w"))).alias("vote"),
     )
-    cut = F.struct(F.col("node"), F.struct("feature", "threshold").alias("s"))
-    by_member = by_node.groupBy(*member).agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("feature").isNotNull(), cut))).alias("split"),
-        F.map_from_entries(F.collect_list(F.when(F.col("g").isNotNull(), F.struct("node", "g")))).alias("guess"),
-        F.coalesce(F.max("vote"), F.lit(1.0)).alias("vote"),
-    )
-    return by_member.groupBy(*keys).agg(
-        F.array_sort(
-            F.collect_list(F.struct("member", "split", "guess", "vote")), lambda a, b: a["member"] - b["member"]
-        ).alias("trees")
-    )
-
 
-def _leaf(split: Column, x: Column, depth: int) -> Column:
-    def descend(at: Column, _: Column) -> Column:
-        here = split[at]
-        left = F.get(x, here["feature"]) < here["threshold"]
-        return F.when(here.isNull(), at).otherwise(at * 2 + F.when(left, 1).otherwise(2))
-
-    start = F.lit(0).cast("long")
-    if depth == 0:
-        return start
-    return F.when(split.isNull(), start).otherwise(
-        F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, lambda a, i: descend(a, i).cast("long"))
-    )
 
+ROW, CELL, GROUP = 0, 1, 2
 
-def _vote(found: Column, task: str) -> Column:
-    """Weighted majority (ties to the smaller class) or mean of the members that have a guess."""
-    known = F.filter(found, lambda m: m["guess"].isNotNull())
-    if task == "regression":
-        total = F.aggregate(known, F.lit(0.0), lambda a, m: a + m["guess"])
-        return F.when(F.size(known) > 0, total / F.size(known))
-    tallies = F.transform(
-        F.array_distinct(F.transform(known, lambda m: m["guess"])),
-        lambda c: F.struct(
-            F.aggregate(known, F.lit(0.0), lambda a, m: a + F.when(m["guess"] == c, m["vote"]).otherwise(0.0)).alias("v"),
-            (-c).alias("c"),
-        ),
-    )
-    return -F.array_max(tallies)["c"]
 
+def block_rows(n_features: int, o: TreeOptions) -> int:
+    """Rows that one call works on: about two million feature values, in whole groups of the detector."""
+    return o.detector_grain * max(1, (1 << 21) // max(n_features, 16) // o.detector_grain)
 
-def score_chunk(rows: DataFrame, models: DataFrame, keys: Sequence[str], o: TreeOptions, depth: int) -> DataFrame:
-    """Predict a chunk. Rows meet their model over salted keys, so one large stream spreads out when
-    the models are too big for Spark to broadcast."""
-    salted = models.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    met = rows.withColumn("__salt", F.pmod(F.col("n"), F.lit(SALTS)).cast("int")).join(salted, [*keys, "__salt"], "left")
 
-    def visit(tree: Column) -> Column:
-        leaf = _leaf(tree["split"], F.col("features"), depth)
-        return F.struct(
-            tree["member"].alias("member"), leaf.alias("leaf"), tree["guess"][leaf].alias("guess"), tree["vote"].alias("vote")
-        )
+def learn_chunk(rows: DataFrame, nodes: DataFrame, keys: Sequence[str], order: str, o: TreeOptions, n_features: int) -> DataFrame:
+    """Predict the rows of a chunk and sum what its trees learn from them, block by block.
 
-    blank = F.array(
-        *[
-            F.struct(
-                F.lit(m).alias("member"),
-                F.lit(0).cast("long").alias("leaf"),
-                F.lit(None).cast("double").alias("guess"),
-                F.lit(1.0).alias("vote"),
-            )
-            for m in range(o.members)
+    A block of a key's rows meets the nodes of its trees. ``kind`` tells the rows that come out: ``ROW`` a row with prediction
+    and error, ``CELL`` a partial sum of a leaf's histogram (or a member's record), ``GROUP`` a full group of errors of a
+    member for its detector (-1: the whole run). Rows without ``actual`` are predicted, not learned.
+    """
+    keys = list(keys)
+    size = block_rows(n_features, o)
+    placed = rows.withColumn("__block", F.expr(f"(n - 1) div {size}"))
+    found = placed.select(*keys, "__block").distinct().withColumn("__h", F.xxhash64(F.lit(o.seed), *keys))
+    met = found.join(nodes, keys, "left")
+    met = met.select(*[F.col(c).alias(c) for c in met.columns])
+    schema = T.StructType(
+        [
+            T.StructField("kind", T.IntegerType()),
+            *[rows.schema[c] for c in (*keys, order, "n", "actual")],
+            *[T.StructField(c, T.DoubleType()) for c in ("prediction", "error")],
+            T.StructField("member", T.IntegerType()),
+            T.StructField("node", T.LongType()),
+            *[T.StructField(c, T.IntegerType()) for c in ("f", "bin", "cls")],
+            *[T.StructField(c, T.DoubleType()) for c in ("w", "sy", "syy")],
         ]
     )
-    visited = F.transform("trees", visit)
-    # a member without mass (just replaced) is missing from its model: it stands at the root
-    missing = F.filter(
-        blank, lambda b: ~F.exists(F.coalesce(visited, blank), lambda v: v["member"] == b["member"])
-    )
-    seen = met.withColumn("visits", F.concat(F.coalesce(visited, blank), missing)).drop("trees", "__salt")
-    prediction = _vote(F.col("visits"), o.task)
-    if o.task == "classification":
-        error = (F.col("prediction") != F.col("actual")).cast("double")
-    else:
-        error = F.abs(F.col("prediction") - F.col("actual"))
-    return seen.withColumn("prediction", prediction).withColumn("error", error)
-
-
-def chunk_stats(scored: DataFrame, keys: Sequence[str], o: TreeOptions, n_features: int) -> DataFrame:
-    """Histogram rows of one chunk; aggregated map-side to leaves x features x bins x classes."""
-    flat = scored.select(*keys, "n", "features", "actual", F.explode("visits").alias("v")).select(
-        *keys, "n", "features", "actual", "v.member", F.col("v.leaf").alias("node"), "v.guess"
-    )
-    weight = F.lit(1) if o.members == 1 else poisson_weight(o.poisson_mean, F.lit(o.seed), *keys, F.col("n"), F.col("member"))
-    weighted = flat.withColumn("w", weight.cast("double"))
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
     chosen = min(n_features, int(math.sqrt(n_features)) + 1) if o.members > 1 else n_features
-    weighted = weighted.filter("w > 0")
-    # one extra cell per row carries the leaf's mass
-    if chosen < n_features:
-        picked = F.transform(
-            feature_subset(n_features, chosen, F.lit(o.seed), *keys, "member", "node"),
-            lambda p: F.struct(p.alias("pos"), F.get("features", p).alias("x")),
-        )
-        mass = F.array(F.struct(F.lit(n_features).alias("pos"), F.lit(0.0).alias("x")))
-        cells = weighted.select(*keys, "member", "node", "w", "actual", F.inline(F.concat(picked, mass)))
-    else:
-        every = F.posexplode(F.concat("features", F.array(F.lit(0.0)))).alias("pos", "x")
-        cells = weighted.select(*keys, "member", "node", "w", "actual", every)
-    is_mass = F.col("pos") == n_features
-    cls = F.col("actual").cast("int") if o.task == "classification" else F.lit(0)
-    cells = cells.groupBy(
-        *keys,
-        "member",
-        "node",
-        F.when(is_mass, -1).otherwise(F.col("pos")).alias("f"),
-        F.when(is_mass, 0).otherwise(bin_of(F.col("x"), o.bins)).alias("bin"),
-        cls.alias("cls"),
-    ).agg(
-        F.sum("w").alias("w"),
-        F.sum(F.col("w") * F.col("actual")).alias("sy"),
-        F.sum(F.col("w") * F.col("actual") * F.col("actual")).alias("syy"),
-    )
-    if o.members == 1:
-        return cells
-    right = (F.col("guess") == F.col("actual")).cast("double") if o.task == "classification" else F.lit(1.0)
-    record = flat.filter("guess is not null").groupBy(*keys, "member").agg(
-        F.count(F.lit(1)).cast("double").alias("w"), F.sum(right).alias("sy")
-    )
-    return cells.unionByName(
-        record.select(
-            *keys,
-            "member",
-            F.lit(-1).cast("long").alias("node"),
-            F.lit(-2).alias("f"),
-            F.lit(0).alias("bin"),
-            F.lit(0).alias("cls"),
-            "w",
-            "sy",
-            F.lit(0.0).alias("syy"),
-        )
-    )
+    classify = o.task == "classification"
+
+    def run(block: pa.Table, model: pa.Table) -> pa.Table:
+        block = block.sort_by("n")
+        target = pa.schema([(f.name, block.schema.field(f.name).type if f.name in block.schema.names else ARROW[f.dataType]) for f in schema])
+        if not block.num_rows:
+            return target.empty_table()
+        grown, votes = forest.forest(model, o.members)
+        start = model["__h"][:1].to_numpy().view(np.uint64)
+        n, x = block["n"].to_numpy(), forest.features_matrix(block["features"], n_features)
+        y, labelled = block["actual"].fill_null(0.0).to_numpy(), block["actual"].is_valid().to_numpy()
+        at = np.stack([tree.leaves(x) for tree in grown], axis=1)
+        guesses = np.stack([tree.guess[at[:, m]] for m, tree in enumerate(grown)], axis=1)
+        prediction = forest.majority(guesses, votes) if classify else forest.average(guesses)
+
+        def errors(guess: np.ndarray) -> np.ndarray:
+            missed = (guess != y).astype(np.float64) if classify else np.abs(guess - y)
+            return np.where(labelled & ~np.isnan(guess), missed, np.nan)
+
+        def table(kind: int, **columns: np.ndarray | pa.ChunkedArray) -> pa.Table:
+            rows_ = len(next(iter(columns.values())))
+            columns |= {"kind": np.full(rows_, kind)} | {k: pa.repeat(block[k][0], rows_) for k in keys}
+            arrays = [
+                pa.nulls(rows_, f.type) if f.name not in columns
+                else columns[f.name] if isinstance(columns[f.name], (pa.Array, pa.ChunkedArray))
+                else pa.array(columns[f.name], type=f.type, from_pandas=True)
+                for f in target
+            ]
+            return pa.table(arrays, schema=target)
+
+        error = errors(prediction)
+        out = [table(ROW, prediction=prediction, error=error, **{c: block[c] for c in (order, "n", "actual")})]
+        if o.detect:
+            g = forest.grain_groups(n, error, o.detector_grain)
+            out.append(table(GROUP, member=np.full(len(g["n"]), -1), **g))
+        learned = np.flatnonzero(labelled)
+        for m, tree in enumerate(grown):
+            member = np.full(1, m)
+            if o.members > 1:
+                missed = errors(guesses[:, m])
+                known = ~np.isnan(missed)
+                if o.detect:
+                    g = forest.grain_groups(n, missed, o.detector_grain)
+                    out.append(table(GROUP, member=np.repeat(member, len(g["n"])), **g))
+                if known.any():
+                    right = np.sum(missed[known] == 0) if classify else known.sum()
+                    record = {"node": -1, "f": -2, "bin": 0, "cls": 0, "w": float(known.sum()), "sy": float(right), "syy": 0.0}
+                    out.append(table(CELL, member=member, **{c: np.array([v]) for c, v in record.items()}))
+                w = forest.poisson_weights(o.poisson_mean, forest.hash_int(member, forest.hash_long(n, start)))
+                used = learned[w[learned] > 0]
+            else:
+                w, used = np.ones(len(n)), learned
+            subsets = forest.feature_subsets(n_features, chosen, forest.hash_long(tree.node, forest.hash_int(member, start)))
+            cls = y[used].astype(np.int32) if classify else np.zeros(len(used), dtype=np.int32)
+            for cells in forest.histograms(tree, at[used, m], x[used], y[used], w[used], subsets, o.bins, cls):
+                out.append(table(CELL, member=np.repeat(member, len(cells["w"])), **cells))
+        return pa.concat_tables(out)
+
+    return placed.groupBy(*keys, "__block").cogroup(met.groupBy(*keys, "__block")).applyInArrow(run, schema)
 
 
 class _ChunkDetector:
@@ -380,25 +341,10 @@ class _ChunkDetector:
         return alarm, json.dumps({"detector": self.detector.to_state(), "last": self.gate.last})
 
 
-def _detect(scored: DataFrame, state: DataFrame | None, keys: Sequence[str], o: TreeOptions) -> DataFrame:
+def _detect(groups: DataFrame, state: DataFrame | None, keys: Sequence[str], o: TreeOptions) -> DataFrame:
     """Alarm position (or null) and detector state per key and member; member -1 is the whole run."""
-    whole = scored.select(*keys, "n", F.lit(-1).alias("member"), "error")
-    if o.members > 1:
-        visits = scored.select(*keys, "n", "actual", F.explode("visits").alias("v"))
-        miss = (F.col("v.guess") != F.col("actual")).cast("double") if o.task == "classification" else F.abs(F.col("v.guess") - F.col("actual"))
-        whole = whole.unionByName(visits.select(*keys, "n", "v.member", miss.alias("error")))
     member = [*keys, "member"]
-    groups = (
-        whole.filter("error is not null")
-        .groupBy(*member, F.expr(f"(n - 1) div {o.detector_grain}").alias("__g"))
-        .agg(
-            F.max("n").alias("n"),
-            F.count(F.lit(1)).alias("__c"),
-            F.sum("error").alias("total"),
-            (F.var_pop("error") * F.count(F.lit(1))).alias("m2"),
-        )
-        .filter(F.col("__c") == o.detector_grain)
-    )
+    groups = groups.select(*member, "n", F.col("sy").alias("total"), F.col("syy").alias("m2"))
     saved = F.lit(None).cast("string").alias("saved")
     fed = groups.select("*", saved) if state is None else groups.join(state.select(*member, F.col("state").alias("saved")), member, "left")
     out = run_ordered(
@@ -413,6 +359,8 @@ def _detect(scored: DataFrame, state: DataFrame | None, keys: Sequence[str], o:
     now = out.groupBy(*member).agg(F.max_by("state", "n").alias("state"), F.min(F.when(F.col("alarm"), F.col("n"))).alias("drift_n"))
     if state is None:
         return now
+    # read twice below, and the detector's groups are run in order
+    now = materialize(now, "tree-alarms")
     # runs without a full group in this chunk keep their state
     idle = state.join(now, member, "left_anti").select(*member, "state", F.lit(None).cast("long").alias("drift_n"))
     return now.unionByName(idle)
@@ -456,13 +404,13 @@ def prequential_trees(
     count = chunk_count(longest, o.first_rows, o.most_rows)
     for chunk in range(count):
         part = spark.read.schema(placed.schema).parquet(f"{base}/rows/chunk={chunk}")
-        scored = score_chunk(part, _models(stats, splits, keys, o), keys, o, min(chunk, 60))
-        scored.write.parquet(f"{base}/scored/chunk={chunk}")
+        scored = learn_chunk(part, _nodes(stats, splits, keys, o), keys, order, o, n_features)
+        scored.write.partitionBy("kind").parquet(f"{base}/scored/chunk={chunk}")
         if chunk + 1 == count and not o.detect:
             break
         scored = spark.read.schema(scored.schema).parquet(f"{base}/scored/chunk={chunk}")
         merged = (
-            stats.unionByName(chunk_stats(scored, keys, o, n_features).select(stats.columns))
+            stats.unionByName(scored.filter(F.col("kind") == CELL).select(stats.columns))
             .groupBy(*cell)
             .agg(*[F.sum(c).alias(c) for c in ("w", "sy", "syy")])
         )
@@ -473,7 +421,7 @@ def prequential_trees(
             decided.select(*member, "node", "feature", ((F.col("cut") + 1) / o.bins).alias("threshold"))
         )
         if o.detect:
-            state = materialize(_detect(scored, state, keys, o), "tree-detector")
+            state = materialize(_detect(scored.filter(F.col("kind") == GROUP), state, keys, o), "tree-detector")
             gone = state.filter("drift_n is not null")
             found = gone.filter("member = -1").select(*keys, F.col("drift_n").alias("n"))
             drifts = found if drifts is None else drifts.unionByName(found)
@@ -481,6 +429,8 @@ def prequential_trees(
             reset = reset.unionByName(gone.filter("member >= 0").select(*member)).distinct()
             stats = stats.join(reset, member, "left_anti")
             splits = splits.join(reset, member, "left_anti")
+        # else each chunk's plan holds those of all chunks before
+        splits = materialize(splits, "tree-nodes")
     scored_schema = T.StructType(
         [*placed.schema.fields, T.StructField("prediction", T.DoubleType()), T.StructField("error", T.DoubleType())]
     )
@@ -488,7 +438,7 @@ def prequential_trees(
     if not count:
         empty = spark.createDataFrame([], scored_schema).select(*plain)
         return empty.withColumns({"drift": F.lit(False), "segment": F.lit(0).cast("long")})
-    out = spark.read.schema(scored_schema).parquet(*[f"{base}/scored/chunk={c}" for c in range(count)])
+    out = spark.read.schema(scored_schema).parquet(*[f"{base}/scored/chunk={c}/kind={ROW}" for c in range(count)])
     if drifts is None:
         return out.select(*plain).withColumns({"drift": F.lit(False), "segment": F.lit(0).cast("long")})
     flagged = out.select(*plain, "n").join(drifts.withColumn("drift", F.lit(True)), [*keys, "n"], "left")
