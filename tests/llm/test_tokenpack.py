@@ -58,6 +58,23 @@ def test_encoder_equals_library(library):
             assert part.tolist() == library(text), repr(text)
 
 
+def test_a_full_store_keeps_the_common_chunks(library):
+    """Words of every text are asked for once, however many rare ones pass; emptying the store would ask again."""
+    rng = random.Random(3)
+    common = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(40)]
+    batches = [
+        [" ".join(common + ["".join(rng.choice("ijklmnop") for _ in range(9)) for _ in range(60)] + common)] for _ in range(12)
+    ]
+    encoder = tokenpack.Encoder(VOCABULARY, 2)
+    encoder.LIMIT = 200
+    asked, word = [], encoder._word
+    encoder._word = lambda chunk: asked.append(chunk) or word(chunk)
+    for batch in batches:
+        ids, sizes = encoder.encode(batch)
+        assert ids.tolist() == library(batch[0]) and sizes.tolist() == [len(ids)]
+    assert max(asked.count(c) for c in common) == 1 and len(encoder.chunks) <= 200 + 100
+
+
 def test_documents_in_order(spark, library, monkeypatch):
     rows = [(None, "null id"), *((i, t) for i, t in enumerate(ODD)), (3, "again"), (999, "long word " * 20000)]
     random.Random(1).shuffle(rows)

@@ -174,7 +174,7 @@ class Encoder:
     to the library whole if it is not Latin-1 or holds a rare separator or what may be a special token.
     """
 
-    LIMIT = 500_000  # chunks kept; beyond, the store is emptied
+    LIMIT = 700_000  # chunks kept; beyond, those met most go on, at most half
     TAIL = ".,;:!?"  # punctuation that may stand behind a word
 
     def __init__(self, path: str, end_id: int):
@@ -188,28 +188,30 @@ class Encoder:
         single = [chr(c) for c in range(256) if chr(c).isalpha() and chr(c).lower() == chr(c)]
         probe = [*single, "".join(single), "hello", "naïve", "straße", "überall", "thés"]
         probe += [w + t for w in probe[-5:] for t in (".", ",", "?!", "...", ";:")]
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
         try:
-            self.by_word = [self._word(w) for w in probe] == self._library(probe)
+            self.by_word = [self._word(w) for w in probe] == [tuple(ids) for ids in self._library(probe)]
         except Exception:  # a model that takes no single words
             self.by_word = False
         self._empty()
 
-    def _word(self, chunk: str) -> list[int] | None:
+    def _word(self, chunk: str) -> tuple[int, ...] | None:
         """The ids of a chunk that is a word with or without a tail; None if the whole library must see it."""
         word = chunk.rstrip(self.TAIL)
         if not (self.by_word and word.isalpha()):
             return None
         ids = self.words.get(word)
         if ids is None:
-            ids = self.words[word] = [t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))]
+            # tuples of numbers are nothing for the garbage collector to walk
+            letters = word if word.isascii() else word.translate(self.letters)
+            ids = self.words[word] = tuple([t.id for t in self.tokenizer.model.tokenize(letters)])
         if len(word) == len(chunk):
             return ids
         tail = chunk[len(word) :]
         if tail not in self.tails:
             if len(self.tails) > 1000:
                 self.tails.clear()
-            self.tails[tail] = self._library([tail])[0]
+            self.tails[tail] = tuple(self._library([tail])[0])
         return ids + self.tails[tail]
 
     def _library(self, batch: list[str]) -> list[list[int]]:
@@ -223,6 +225,27 @@ class Encoder:
         self.store[0] = self.end_id
         self.used = 1
         self.starts, self.sizes = np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.int64)
+        self.met = np.zeros(1, dtype=np.int64)
+
+    def _keep_common(self) -> None:
+        """Forget the chunks met once, and so many of the rarer others that at most half of ``LIMIT`` is left."""
+        counts = self.met[1:]
+        rarest = np.partition(counts, len(counts) - self.LIMIT // 2)[-(self.LIMIT // 2)] if len(counts) > self.LIMIT // 2 else 0
+        kept = np.flatnonzero(counts > max(1, rarest)) + 1
+        place = np.concatenate([[0], kept])
+        stays = np.zeros(len(counts) + 1, dtype=bool)
+        stays[kept] = True
+        common = [chunk for chunk, stay in zip(self.chunks, stays[1:].tolist()) if stay]
+        self.chunks = Chunks(zip(common, range(1, len(common) + 1)))
+        self.chunks.pending = []
+        # a chunk found again must be met as often to stay next time
+        self.met = self.met[place] // 2
+        begins, self.sizes = self.starts[place], self.sizes[place]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.used = int(self.sizes.sum())
+        held = self.store[np.repeat(begins - self.starts, self.sizes) + np.arange(self.used)]
+        self.store[: self.used] = held
+        self.words = {word: ids for word, ids in self.words.items() if word in self.chunks}
 
     def _by_offsets(self, chunks: list[str]) -> Iterator[list[int]]:
         """The ids of each chunk, told apart by their offsets in joined texts."""
@@ -249,6 +272,7 @@ class Encoder:
         starts = self.used + np.cumsum(size) - size
         self.used += len(ids)
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, size])
+        self.met = np.concatenate([self.met, np.zeros(len(size), dtype=np.int64)])
 
     @staticmethod
     def _plain(text: str) -> bool:
@@ -261,7 +285,7 @@ class Encoder:
     def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, an end id after each, and their numbers."""
         if len(self.chunks) > self.LIMIT:
-            self._empty()
+            self._keep_common()
         plain = [self.by_chunk and self._plain(t) for t in batch]
         rows = [t.lower().split() if p else [] for t, p in zip(batch, plain)]
         number = self.chunks.__getitem__
@@ -270,6 +294,7 @@ class Encoder:
             self._learn()
         end = np.zeros(1, dtype=np.int64)
         flat = np.concatenate([x for p in places for x in (p, end)])
+        self.met += np.bincount(flat, minlength=len(self.met))
         size = self.sizes[flat]
         ahead = np.cumsum(size) - size
         ids = self.store[np.repeat(self.starts[flat] - ahead, size) + np.arange(int(size.sum()))]
