@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import adwin, adwin_blocks, analysis, blocked_sgd, chunk_linear, compare, gate, inject, learners, metrics, neighbours, preprocess, speculative, trees
+from tidemark.operators import adwin, adwin_blocks, analysis, blocked_sgd, chunk_linear, compare, cumulative, gate, inject, learners, metrics, neighbours, preprocess, speculative, trees
 from tidemark.operators.prequential import TOY_DETECTION, Detection, TestThenTrain, compare_learners, prequential
 from tidemark.plans.ranked import rank_blocks
 from tidemark.session import materialize, scratch_path
@@ -44,8 +44,21 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative metrics of every evaluated row: the log if it is at hand, else these columns alone."""
+    if (spark.sparkContext.applicationId, sf_dir, "metric_log") in _derived:
+        return _log(spark, sf_dir)
+    return _once(
+        spark,
+        sf_dir,
+        "cumulative_log",
+        lambda: cumulative.cumulative_metrics(_pred(spark, sf_dir), KEYS).withColumnRenamed("instance_id", "instance"),
+    )
+
+
 def _drifts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pred(spark, sf_dir).filter("drift").select(*KEYS, "instance_id")
+    """Written once too, so that joins are planned by the size of the drifts, not of the predictions."""
+    return _once(spark, sf_dir, "drifts", lambda: _pred(spark, sf_dir).filter("drift").select(*KEYS, "instance_id"))
 
 
 def _task(df: DataFrame, task: str) -> DataFrame:
@@ -522,11 +535,11 @@ def split_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mean_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(analysis.mean_shift(_log(spark, sf_dir), _drifts(spark, sf_dir)))
+    return _rounded(analysis.mean_shift(_history(spark, sf_dir), _drifts(spark, sf_dir)))
 
 
 def accuracy_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(analysis.accuracy_variance(_log(spark, sf_dir), _drifts(spark, sf_dir)))
+    return _rounded(analysis.accuracy_variance(_history(spark, sf_dir), _drifts(spark, sf_dir)))
 
 
 def class_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -536,11 +549,11 @@ def class_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(analysis.drift_impact(_log(spark, sf_dir), _drifts(spark, sf_dir)))
+    return _rounded(analysis.drift_impact(_history(spark, sf_dir), _drifts(spark, sf_dir)))
 
 
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log, drifts = _log(spark, sf_dir), _drifts(spark, sf_dir)
+    log, drifts = _history(spark, sf_dir), _drifts(spark, sf_dir)
     shifts = materialize(analysis.mean_shift(log, drifts), "shifts")
     impact = materialize(analysis.drift_impact(log, drifts), "impact")
     spread = analysis.accuracy_variance(log, drifts)
@@ -555,7 +568,7 @@ def drift_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(analysis.mean_shift(_log(spark, sf_dir), _drifts(spark, sf_dir)))
+    return _rounded(analysis.mean_shift(_history(spark, sf_dir), _drifts(spark, sf_dir)))
 
 
 def shift_boxstats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -579,7 +592,7 @@ def drift_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis.metric_trajectory(_log(spark, sf_dir), _drifts(spark, sf_dir))
+    return analysis.metric_trajectory(_history(spark, sf_dir), _drifts(spark, sf_dir))
 
 
 def series_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -623,7 +636,7 @@ def processing_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis.first_models(analysis.drift_impact(_log(spark, sf_dir), _drifts(spark, sf_dir)))
+    return analysis.first_models(analysis.drift_impact(_history(spark, sf_dir), _drifts(spark, sf_dir)))
 
 
 def distinct_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
