@@ -105,3 +105,37 @@ def test_more_rows_and_other_streams_change_nothing_earlier(spark):
     prefix = run(long[:700])
     assert {k: both[k] for k in prefix} == prefix
     assert sum(v[0] is not None for v in alone.values()) == 800
+
+
+def test_what_the_instances_are_made_of_is_worked_once(spark):
+    """Block totals and the rows are two reads; an expensive step before the trees must not run for each."""
+    worked = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            worked.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame(concept(600, "classification"), SCHEMA)
+    o = trees.TreeOptions(first_rows=200, most_rows=400)
+    assert trees.prequential_trees(rows.mapInArrow(counted, SCHEMA), ["dataset"], 3, o).count() == 600
+    assert worked.value == 600
+
+
+def test_detector_keeps_the_state_of_runs_without_groups(spark):
+    """Two chunks of groups in two calls are the groups in one call; a run that has none in the second keeps its state."""
+    rng = random.Random(4)
+    groups = [("d", m, 100 * i, float(rng.randrange(5) + 60 * (i > 40)), 1.0) for m in (-1, 0) for i in range(1, 81)]
+    groups += [("idle", 0, 100 * i, 3.0, 1.0) for i in range(1, 21)]
+    df = spark.createDataFrame(groups, "dataset string, member int, n long, sy double, syy double")
+    o = trees.TreeOptions()
+
+    def states(frame):
+        return {(r.dataset, r.member): (r.state, r.drift_n) for r in frame.collect()}
+
+    whole = states(trees._detect(df, None, ["dataset"], o))
+    first = trees._detect(df.filter("n <= 4000"), None, ["dataset"], o)
+    second = states(trees._detect(df.filter("n > 4000"), first, ["dataset"], o))
+    assert second.keys() == whole.keys() and {k: v[0] for k, v in second.items()} == {k: v[0] for k, v in whole.items()}
+    assert whole["d", -1][1] > 4000 and second["d", -1][1] == whole["d", -1][1]
+    assert second["idle", 0] == (states(first)["idle", 0][0], None)

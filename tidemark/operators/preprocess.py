@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.vectors import fill, scale
+from tidemark.operators.forest import features_matrix
 from tidemark.plans.blocked import BLOCK, Scan, attach, prefix_scan, with_block
 
 WARMUP_ROWS = 100
@@ -67,7 +68,7 @@ def normalize_stream(
     Up to ``WIDE`` features are scanned as columns; longer vectors as arrays.
     """
     if n_features > WIDE and not sticky_nan:
-        return _normalize_wide(df, keys, order, features, warmup_rows, block_rows)
+        return _normalize_wide(df, keys, n_features, order, features, warmup_rows, block_rows)
     ranged = running_range(df, keys, n_features, order, features, sticky_nan, block_rows)
     cells = [
         fill(
@@ -81,7 +82,7 @@ def normalize_stream(
 
 
 def _normalize_wide(
-    df: DataFrame, keys: Sequence[str], order: str, features: str, warmup_rows: int, block_rows: int | None
+    df: DataFrame, keys: Sequence[str], n_features: int, order: str, features: str, warmup_rows: int, block_rows: int | None
 ) -> DataFrame:
     """Block ranges come from a map-side aggregate per (block, feature); inside a block, which holds a
     bounded number of rows, the running range is a cumulative minimum over a matrix."""
@@ -108,20 +109,22 @@ def _normalize_wide(
 
     columns = df.columns
 
-    def scaled(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(order, ignore_index=True)
-        x = np.stack(block[features].to_numpy()).astype("float64")
-        low, high = (np.array([np.nan if v is None else v for v in block[c].iloc[0]], "float64") for c in ("__lo", "__hi"))
+    def scaled(block: pa.Table) -> pa.Table:
+        block = block.take(pa.array(np.argsort(block[order].to_numpy(), kind="stable")))
+        x = features_matrix(block[features], n_features)
+        low, high = (features_matrix(block[c].slice(0, 1), n_features) for c in ("__lo", "__hi"))
         low = np.fmin.accumulate(np.vstack([low, x]))[1:]
         high = np.fmax.accumulate(np.vstack([high, x]))[1:]
         span = np.where(high == low, 1.0, high - low)
-        n = block["__seen"].iloc[0] + np.arange(1, len(block) + 1)
+        n = block["__seen"][0].as_py() + np.arange(1, len(x) + 1)
         with np.errstate(invalid="ignore"):
             z = np.where((n < warmup_rows)[:, None], x, (x - low) / span)
-        block[features] = list(np.nan_to_num(z, nan=0.0))
-        return block[columns]
+        ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * n_features)
+        lists = pa.ListArray.from_arrays(ends, pa.array(np.nan_to_num(z, nan=0.0).ravel()))
+        target = block.schema.field(features).type
+        return block.set_column(block.schema.get_field_index(features), features, lists.cast(target)).select(columns)
 
-    return attach(src, carry, [*keys, BLOCK]).groupBy(*keys, BLOCK).applyInPandas(scaled, df.schema)
+    return attach(src, carry, [*keys, BLOCK]).groupBy(*keys, BLOCK).applyInArrow(scaled, df.schema)
 
 
 def running_moments(

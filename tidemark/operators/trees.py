@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,7 @@ from tidemark.operators import forest
 from tidemark.operators.adwin import DELTA, Adwin, Gate
 from tidemark.plans.blocked import Scan, prefix_scan
 from tidemark.plans.chunks import chunk_count, chunk_of
-from tidemark.plans.ordered import ARROW, run_ordered
+from tidemark.plans.ordered import ARROW
 from tidemark.session import materialize, scratch_path
 
 
@@ -319,51 +319,46 @@ def learn_chunk(rows: DataFrame, nodes: DataFrame, keys: Sequence[str], order: s
     return placed.groupBy(*keys, "__block").cogroup(met.groupBy(*keys, "__block")).applyInArrow(run, schema)
 
 
-class _ChunkDetector:
-    """Detector over groups of errors; its state arrives with the first group of a chunk."""
-
-    def __init__(self, o: TreeOptions, gated: bool):
-        self.o, self.gated = o, gated
-        self.detector = Adwin(o.detector_delta, grain=o.detector_grain)
-        self.gate = Gate(o.cooldown) if gated else Gate(0, 0)
-        self.started = False
-
-    def step(self, row: tuple) -> tuple:
-        n, total, m2, saved = row
-        if not self.started and saved is not None:
-            state = json.loads(saved)
-            self.detector.from_state(state["detector"])
-            self.gate.last = state["last"]
-        self.started = True
-        alarm = bool(self.detector.update(total, m2)) and self.gate.accepts(n)
-        if alarm:
-            self.detector = Adwin(self.o.detector_delta, grain=self.o.detector_grain)
-        return alarm, json.dumps({"detector": self.detector.to_state(), "last": self.gate.last})
-
-
 def _detect(groups: DataFrame, state: DataFrame | None, keys: Sequence[str], o: TreeOptions) -> DataFrame:
-    """Alarm position (or null) and detector state per key and member; member -1 is the whole run."""
+    """First alarm of the chunk (or null) and detector state per key and member; member -1 is the whole run.
+
+    A member's groups of a chunk are few (its rows by the detector's grain), and one call feeds them in order. Runs without a
+    full group in this chunk keep their state.
+    """
     member = [*keys, "member"]
     groups = groups.select(*member, "n", F.col("sy").alias("total"), F.col("syy").alias("m2"))
-    saved = F.lit(None).cast("string").alias("saved")
-    fed = groups.select("*", saved) if state is None else groups.join(state.select(*member, F.col("state").alias("saved")), member, "left")
-    out = run_ordered(
-        fed,
-        member,
-        "n",
-        ["n", "total", "m2", "saved"],
-        T.StructType([T.StructField("alarm", T.BooleanType()), T.StructField("state", T.StringType())]),
-        lambda key: _ChunkDetector(o, gated=key["member"] < 0),
-        bounded=True,
+    schema = T.StructType(
+        [*[groups.schema[c] for c in member], T.StructField("state", T.StringType()), T.StructField("drift_n", T.LongType())]
     )
-    now = out.groupBy(*member).agg(F.max_by("state", "n").alias("state"), F.min(F.when(F.col("alarm"), F.col("n"))).alias("drift_n"))
+
+    def feed(fed: pa.Table, saved: pa.Table | None) -> pa.Table:
+        known = saved is not None and saved.num_rows > 0
+        source = fed if fed.num_rows else saved
+        gated = source["member"][0].as_py() < 0
+        detector = Adwin(o.detector_delta, grain=o.detector_grain)
+        gate = Gate(o.cooldown) if gated else Gate(0, 0)
+        if known:
+            last = json.loads(saved["state"][0].as_py())
+            detector.from_state(last["detector"])
+            gate.last = last["last"]
+        first = None
+        fed = fed.sort_by("n")
+        for n, total, m2 in zip(*(fed[c].to_pylist() for c in ("n", "total", "m2"))):
+            if detector.update(total, m2) and gate.accepts(n):
+                detector = Adwin(o.detector_delta, grain=o.detector_grain)
+                first = n if first is None else first
+        values = [pa.array([json.dumps({"detector": detector.to_state(), "last": gate.last})]), pa.array([first], pa.int64())]
+        return pa.table([*[source[c].slice(0, 1) for c in member], *values], names=schema.names)
+
     if state is None:
-        return now
-    # read twice below, and the detector's groups are run in order
-    now = materialize(now, "tree-alarms")
-    # runs without a full group in this chunk keep their state
-    idle = state.join(now, member, "left_anti").select(*member, "state", F.lit(None).cast("long").alias("drift_n"))
-    return now.unionByName(idle)
+        return groups.groupBy(*member).applyInArrow(lambda fed: feed(fed, None), schema)
+    saved = state.select(*member, "state")
+    return groups.groupBy(*member).cogroup(saved.groupBy(*member)).applyInArrow(feed, schema)
+
+
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, and no tasks for them."""
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).filter(F.lit(False))
 
 
 def prequential_trees(
@@ -377,21 +372,23 @@ def prequential_trees(
     keys = list(keys)
     spark = instances.sparkSession
     rows = instances.select(*keys, order, "features", F.col("actual").cast("double").alias("actual"))
-    numbered = prefix_scan(rows, keys, order, {"n": Scan("count", F.lit(True))})
-    placed = materialize(numbered, "tree-rows")
-    longest = placed.agg(F.max("n")).first()[0] or 0
+    # read twice, for block totals and for the rows: what the instances are made of is worked once
+    numbered = prefix_scan(materialize(rows, "tree-instances"), keys, order, {"n": Scan("count", F.lit(True))})
     base = scratch_path(spark, "trees")
-    placed.withColumn("chunk", chunk_of(F.col("n"), o.first_rows, o.most_rows)).write.partitionBy("chunk").parquet(f"{base}/rows")
+    numbered.withColumn("chunk", chunk_of(F.col("n"), o.first_rows, o.most_rows)).write.partitionBy("chunk").parquet(f"{base}/rows")
+    placed = spark.read.schema(numbered.schema).parquet(f"{base}/rows")
+    longest = placed.agg(F.max("n")).first()[0] or 0
+    placed = placed.select(numbered.columns)
     member = [*keys, "member"]
     fields = [placed.schema[k] for k in keys] + [
         T.StructField("member", T.IntegerType()),
         T.StructField("node", T.LongType()),
     ]
-    splits = spark.createDataFrame(
-        [], T.StructType([*fields, T.StructField("feature", T.IntegerType()), T.StructField("threshold", T.DoubleType())])
+    splits = _empty(
+        spark, T.StructType([*fields, T.StructField("feature", T.IntegerType()), T.StructField("threshold", T.DoubleType())])
     )
-    stats = spark.createDataFrame(
-        [],
+    stats = _empty(
+        spark,
         T.StructType(
             [
                 *fields,
@@ -416,27 +413,34 @@ def prequential_trees(
         )
         stats = materialize(merged, "tree-stats")
         decided = materialize(decide_splits(stats, keys, o), "tree-splits")
-        stats = apply_splits(stats, decided, keys)
-        splits = splits.unionByName(
-            decided.select(*member, "node", "feature", ((F.col("cut") + 1) / o.bins).alias("threshold"))
-        )
+        # most chunks split something and replace nothing: each join left out is some jobs less in the next chunk
+        grown = not decided.isEmpty()
+        if grown:
+            stats = apply_splits(stats, decided, keys)
+            splits = splits.unionByName(
+                decided.select(*member, "node", "feature", ((F.col("cut") + 1) / o.bins).alias("threshold"))
+            )
+        replaced = False
         if o.detect:
             state = materialize(_detect(scored.filter(F.col("kind") == GROUP), state, keys, o), "tree-detector")
             gone = state.filter("drift_n is not null")
+            replaced = not gone.isEmpty()
+        if replaced:
             found = gone.filter("member = -1").select(*keys, F.col("drift_n").alias("n"))
             drifts = found if drifts is None else drifts.unionByName(found)
             reset = gone.filter("member = -1").select(*keys, F.explode(F.sequence(F.lit(0), F.lit(o.members - 1))).alias("member"))
             reset = reset.unionByName(gone.filter("member >= 0").select(*member)).distinct()
             stats = stats.join(reset, member, "left_anti")
             splits = splits.join(reset, member, "left_anti")
-        # else each chunk's plan holds those of all chunks before
-        splits = materialize(splits, "tree-nodes")
+        if grown or replaced:
+            # else each chunk's plan holds those of all chunks before
+            splits = materialize(splits, "tree-nodes")
     scored_schema = T.StructType(
         [*placed.schema.fields, T.StructField("prediction", T.DoubleType()), T.StructField("error", T.DoubleType())]
     )
     plain = [*keys, order, "actual", "prediction", "error"]
     if not count:
-        empty = spark.createDataFrame([], scored_schema).select(*plain)
+        empty = _empty(spark, scored_schema).select(*plain)
         return empty.withColumns({"drift": F.lit(False), "segment": F.lit(0).cast("long")})
     out = spark.read.schema(scored_schema).parquet(*[f"{base}/scored/chunk={c}/kind={ROW}" for c in range(count)])
     if drifts is None:
