@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import trees
+from tidemark.operators import preprocess, trees
 
 SCHEMA = "dataset string, instance_id long, features array<double>, actual double"
 
@@ -139,3 +139,54 @@ def test_detector_keeps_the_state_of_runs_without_groups(spark):
     assert second.keys() == whole.keys() and {k: v[0] for k, v in second.items()} == {k: v[0] for k, v in whole.items()}
     assert whole["d", -1][1] > 4000 and second["d", -1][1] == whole["d", -1][1]
     assert second["idle", 0] == (states(first)["idle", 0][0], None)
+
+
+@pytest.fixture
+def small_blocks(spark):
+    spark.conf.set("spark.tidemark.blockRows", "700")
+    yield
+    spark.conf.unset("spark.tidemark.blockRows")
+
+
+def test_flags_and_segments_take_no_window_over_the_rows(spark, small_blocks):
+    """Two runs with drifts and a short one without, sparse ids: segments are the drifts up to a row, looked up by block."""
+    rows = [(d, 3 * r[1] + 7, *r[2:]) for d, seed in (("a", 2), ("b", 3)) for r in concept(6000, "classification", 3001, seed)]
+    rows += [("calm", *r[1:]) for r in concept(300, "classification")]
+    o = trees.TreeOptions(first_rows=1000, most_rows=1000)
+    out = trees.prequential_trees(spark.createDataFrame(rows, SCHEMA), ["dataset"], 3, o)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("Window" in line and "instance_id" in line for line in plan)
+    got = sorted(out.collect(), key=lambda r: (r.dataset, r.instance_id))
+    assert len(got) == 12300 and {r.dataset for r in got if r.drift} == {"a", "b"}
+    run, drifts = None, 0
+    for r in got:
+        drifts = (drifts if r.dataset == run else 0) + r.drift
+        run = r.dataset
+        assert r.segment == drifts
+
+
+def test_flags_of_drifts_on_the_edges_of_blocks(spark, small_blocks):
+    drifts = {"a": {1, 700, 701, 1400, 2101}, "b": {1399}, "c": set()}
+    rows = spark.createDataFrame([(k, n) for k in drifts for n in range(1, 2102)], "k string, n long")
+    flagged = spark.createDataFrame([(k, n) for k, ns in drifts.items() for n in ns], "k string, n long")
+    ends = spark.createDataFrame([(k, 2101) for k in drifts], "k string, last long")
+    got = trees._flagged(rows, flagged, ends, ["k"]).collect()
+    assert len(got) == 3 * 2101
+    assert all(r.drift == (r.n in drifts[r.k]) and r.segment == sum(d <= r.n for d in drifts[r.k]) for r in got)
+
+
+def test_numbers_of_the_normalisation_are_those_of_a_scan(spark, small_blocks):
+    rows = [(d, 5 * r[1], *r[2:]) for d, n in (("a", 1500), ("b", 640)) for r in concept(n, "regression", seed=n)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    o = trees.TreeOptions("regression", first_rows=200)
+
+    def run(position):
+        scaled = preprocess.normalize_stream(df, ["dataset"], 3, position=position)
+        assert scaled.columns == df.columns + ([position] if position else [])
+        return sorted(trees.prequential_trees(scaled, ["dataset"], 3, o, position=position).collect())
+
+    numbered, scanned = run("place"), run(None)
+    assert [r[:3] + r[5:] for r in numbered] == [r[:3] + r[5:] for r in scanned] and len(numbered) == 2140
+    assert [r.prediction for r in numbered] == pytest.approx([r.prediction for r in scanned], nan_ok=True)
+    with pytest.raises(ValueError, match="up to 16 features"):
+        preprocess.normalize_stream(df, ["dataset"], 17, position="place")

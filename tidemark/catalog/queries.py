@@ -513,8 +513,9 @@ def _trees(task: str, members: int, wide: bool) -> Query:
         else:
             rows, size = tables.instances_regression(spark, sf_dir).withColumn("actual", F.col("target")), 2
             options = trees.TreeOptions(task, members)
-        scaled = preprocess.normalize_stream(rows, ["dataset", "task"], size)
-        return trees.prequential_trees(scaled, ["dataset", "task"], size, options)
+        position = None if wide else "n"
+        scaled = preprocess.normalize_stream(rows, ["dataset", "task"], size, position=position)
+        return trees.prequential_trees(scaled, ["dataset", "task"], size, options, position=position)
 
     return run
 

@@ -61,13 +61,17 @@ def normalize_stream(
     warmup_rows: int = WARMUP_ROWS,
     sticky_nan: bool = False,
     block_rows: int | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """Replace ``features`` by its scaled form: raw during the first ``warmup_rows - 1`` rows, then
     min-max with the range seen so far; missing cells become 0.
 
-    Up to ``WIDE`` features are scanned as columns; longer vectors as arrays.
+    Up to ``WIDE`` features are scanned as columns; longer vectors as arrays. The scan of columns numbers the rows of the keys
+    from 1; ``position`` names a column that keeps the number (the pass over arrays does not count missing vectors and has none).
     """
     if n_features > WIDE and not sticky_nan:
+        if position:
+            raise ValueError(f"rows are numbered up to {WIDE} features")
         return _normalize_wide(df, keys, n_features, order, features, warmup_rows, block_rows)
     ranged = running_range(df, keys, n_features, order, features, sticky_nan, block_rows)
     cells = [
@@ -78,7 +82,8 @@ def normalize_stream(
         )
         for i in range(n_features)
     ]
-    return ranged.withColumn(features, F.array(*cells)).select(*df.columns)
+    number = [F.col("n").alias(position)] if position else []
+    return ranged.withColumn(features, F.array(*cells)).select(*df.columns, *number)
 
 
 def _normalize_wide(

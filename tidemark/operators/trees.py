@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import forest
 from tidemark.operators.adwin import DELTA, Adwin, Gate
-from tidemark.plans.blocked import Scan, prefix_scan
+from tidemark.plans.blocked import BLOCK, Scan, block_rows_of, prefix_scan
 from tidemark.plans.chunks import chunk_count, chunk_of
 from tidemark.plans.ordered import ARROW
 from tidemark.session import materialize, scratch_path
@@ -361,23 +361,53 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).filter(F.lit(False))
 
 
+def _flagged(rows: DataFrame, drifts: DataFrame, ends: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``drift`` and ``segment``, the number of drifts up to the row, by a look-up in the block of its position ``n``.
+
+    A run has one drift per chunk at most, so the blocks of all runs (to the last position ``last``) with the drifts in and before them
+    are a small table, and the rows need no window.
+    """
+    block = F.expr(f"(n - 1) div {block_rows_of(rows)}")
+    found = drifts.groupBy(*keys, block.alias(BLOCK)).agg(F.collect_list("n").alias("__own"))
+    blocks = ends.select(*keys, F.explode(F.expr(f"sequence(0L, (last - 1) div {block_rows_of(rows)})")).alias(BLOCK))
+    blocks = blocks.join(found, [*keys, BLOCK], "left")
+    blocks = blocks.withColumn("__own", F.coalesce("__own", F.array().cast("array<bigint>")))
+    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__before", F.coalesce(F.sum(F.size("__own")).over(earlier), F.lit(0)).cast("long"))
+    met = rows.withColumn(BLOCK, block).join(blocks, [*keys, BLOCK])
+    upto = F.when(F.size("__own") > 0, F.size(F.filter("__own", lambda d: d <= F.col("n")))).otherwise(0)
+    flags = {"drift": F.array_contains("__own", F.col("n")), "segment": F.col("__before") + upto}
+    return met.withColumns(flags).select(*rows.columns, "drift", "segment")
+
+
 def prequential_trees(
-    instances: DataFrame, keys: Sequence[str], n_features: int, o: TreeOptions = TreeOptions(), order: str = "instance_id"
+    instances: DataFrame,
+    keys: Sequence[str],
+    n_features: int,
+    o: TreeOptions = TreeOptions(),
+    order: str = "instance_id",
+    position: str | None = None,
 ) -> DataFrame:
     """Predictions, errors, drift flags and segments of one tree (or forest) per key.
 
     ``instances``: keys, ``order``, ``features`` (array in [0, 1]), ``actual``. A drift is flagged on the
-    last row of the group that raised it; the trees start anew with the next chunk.
+    last row of the group that raised it; the trees start anew with the next chunk. ``position`` names a column that
+    numbers the rows of a key from 1 in ``order`` (``normalize_stream`` has it); without, a scan more numbers them.
     """
     keys = list(keys)
     spark = instances.sparkSession
-    rows = instances.select(*keys, order, "features", F.col("actual").cast("double").alias("actual"))
-    # read twice, for block totals and for the rows: what the instances are made of is worked once
-    numbered = prefix_scan(materialize(rows, "tree-instances"), keys, order, {"n": Scan("count", F.lit(True))})
+    columns = [*keys, order, "features", F.col("actual").cast("double").alias("actual")]
+    if position:
+        numbered = instances.select(*columns, F.col(position).cast("long").alias("n"))
+    else:
+        # read twice, for block totals and for the rows: what the instances are made of is worked once
+        rows = materialize(instances.select(*columns), "tree-instances")
+        numbered = prefix_scan(rows, keys, order, {"n": Scan("count", F.lit(True))})
     base = scratch_path(spark, "trees")
     numbered.withColumn("chunk", chunk_of(F.col("n"), o.first_rows, o.most_rows)).write.partitionBy("chunk").parquet(f"{base}/rows")
     placed = spark.read.schema(numbered.schema).parquet(f"{base}/rows")
-    longest = placed.agg(F.max("n")).first()[0] or 0
+    ends = materialize(placed.groupBy(*keys).agg(F.max("n").alias("last")), "tree-ends")
+    longest = ends.agg(F.max("last")).first()[0] or 0
     placed = placed.select(numbered.columns)
     member = [*keys, "member"]
     fields = [placed.schema[k] for k in keys] + [
@@ -445,6 +475,4 @@ def prequential_trees(
     out = spark.read.schema(scored_schema).parquet(*[f"{base}/scored/chunk={c}/kind={ROW}" for c in range(count)])
     if drifts is None:
         return out.select(*plain).withColumns({"drift": F.lit(False), "segment": F.lit(0).cast("long")})
-    flagged = out.select(*plain, "n").join(drifts.withColumn("drift", F.lit(True)), [*keys, "n"], "left")
-    flagged = flagged.withColumn("drift", F.coalesce("drift", F.lit(False)))
-    return prefix_scan(flagged, keys, order, {"segment": Scan("count", F.col("drift"))}).drop("n")
+    return _flagged(out.select(*plain, "n"), drifts, ends, keys).drop("n")
